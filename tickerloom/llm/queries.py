@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from tickerloom.llm.decontaminate import op3_decontaminate
+from tickerloom.llm.simhash_dedup import op2_simhash_dedup
 from tickerloom.llm.substring_dedup import op9_substring_dedup
 
 QUERIES = {
+    "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_decontaminate": op3_decontaminate,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
