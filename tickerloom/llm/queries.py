@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from tickerloom.llm.decontaminate import op3_decontaminate
+from tickerloom.llm.language_id import op7_language_id
 from tickerloom.llm.lm_score import op5_lm_score
 from tickerloom.llm.media import op8_media
+from tickerloom.llm.packing import op6_packing
+from tickerloom.llm.quality import op4_quality
 from tickerloom.llm.simhash_dedup import op2_simhash_dedup
 from tickerloom.llm.substring_dedup import op9_substring_dedup
 from tickerloom.llm.token_counts import op10_token_counts
@@ -12,7 +15,10 @@ from tickerloom.llm.token_counts import op10_token_counts
 QUERIES = {
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_decontaminate": op3_decontaminate,
+    "op4_quality": op4_quality,
     "op5_lm_score": op5_lm_score,
+    "op6_packing": op6_packing,
+    "op7_language_id": op7_language_id,
     "op8_media": op8_media,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
