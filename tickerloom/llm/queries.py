@@ -8,11 +8,13 @@ from tickerloom.llm.lm_score import op5_lm_score
 from tickerloom.llm.media import op8_media
 from tickerloom.llm.packing import op6_packing
 from tickerloom.llm.quality import op4_quality
+from tickerloom.llm.secret_scan import op1_secret_scan
 from tickerloom.llm.simhash_dedup import op2_simhash_dedup
 from tickerloom.llm.substring_dedup import op9_substring_dedup
 from tickerloom.llm.token_counts import op10_token_counts
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op4_quality": op4_quality,
