@@ -169,6 +169,17 @@ class _Shard:
         at = np.concatenate(self.places)[index.locate(_ranges(low, high - low))]
         return window, at, self.windows.lengths[window]
 
+    def clean(self) -> Iterator[pa.RecordBatch]:
+        """The batches without the rows that have an occurrence."""
+        _, at, _ = self.found()
+        first = np.append(0, np.cumsum(np.concatenate(self.counts))) if self.counts else np.zeros(1, np.int64)
+        stays = np.ones(len(first) - 1, bool)
+        stays[np.searchsorted(first, at, "right") - 1] = False
+        d = 0
+        for batch in self.batches:
+            yield batch.filter(pa.array(stays[d : d + batch.num_rows]))
+            d += batch.num_rows
+
     def rows(self) -> Iterator[pa.RecordBatch]:
         if not self.batches:
             return
@@ -221,24 +232,29 @@ def _scan(batches: Iterator[pa.RecordBatch], windows: Windows) -> Iterator[pa.Re
     yield from shard.rows()
 
 
-def benchmark_spans(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_bytes: int = BENCHMARK_BYTES) -> DataFrame:
-    """(doc_id, text_key, n_words, starts, untils, items) of each row of docs: merged spans of hit words, and the ids of the items whose windows occur, as strings."""
+def _blocks(benchmark: DataFrame, size: int, block_bytes: int) -> list[Windows]:
+    """The benchmark's windows in blocks of about block_bytes of text, so that what is sent to the tasks at once is bounded."""
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
     blocks = max(1, math.ceil((items.select(F.sum(F.octet_length("text"))).first()[0] or 0) / block_bytes))
+    parts = [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) for b in range(blocks)] if blocks > 1 else [items]
+    return [Windows([tuple(r) for r in own.collect()], size) for own in parts]
+
+
+def benchmark_spans(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_bytes: int = BENCHMARK_BYTES) -> DataFrame:
+    """(doc_id, text_key, n_words, starts, untils, items) of each row of docs: merged spans of hit words, and the ids of the items whose windows occur, as strings."""
+    blocks = _blocks(benchmark, size, block_bytes)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
     found = None
-    for block in range(blocks):  # each holds about block_bytes, whatever the size of the benchmark
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block) if blocks > 1 else items
-        windows = Windows([tuple(r) for r in own.collect()], size)
+    for windows in blocks:
         one = keyed.mapInArrow(lambda batches, windows=windows: _scan(batches, windows), FOUND)
         found = one if found is None else found.unionByName(one)
-    if blocks == 1:
+    if len(blocks) == 1:
         return found
     merged = found.groupBy("doc_id", "text_key").agg(
         F.first("n_words").alias("n_words"), F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("untils")).alias("untils"),
         F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"), F.count(F.lit(1)).alias("n"),
     )
-    return merged.withColumn("copy", F.explode(F.sequence(F.lit(1), (F.col("n") / blocks).cast("int")))).drop("copy", "n").mapInArrow(_merge, FOUND)
+    return merged.withColumn("copy", F.explode(F.sequence(F.lit(1), (F.col("n") / len(blocks)).cast("int")))).drop("copy", "n").mapInArrow(_merge, FOUND)
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,8 +288,20 @@ def op3_decontaminate(spark, sf_dir: str) -> DataFrame:
     return spans.mapInArrow(_digests, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
-    """The rows of docs in which no window of the benchmark occurs, with all their columns."""
-    hit = benchmark_spans(docs, benchmark, size).where(F.size("starts") > 0).select("doc_id", "text_key").distinct()
-    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
-    return keyed.join(hit, keyed["doc_id"].eqNullSafe(hit["doc_id"]) & (keyed["_text_key"] == hit["text_key"]), "left_anti").drop("_text_key")
+def _clean(batches: Iterator[pa.RecordBatch], windows: Windows) -> Iterator[pa.RecordBatch]:
+    """The rows without a hit, with all their columns."""
+    shard = _Shard(windows)
+    for chunk in W.chunks(batches):
+        shard.add(chunk)
+        if shard.words >= SHARD_WORDS:
+            yield from shard.clean()
+            shard = _Shard(windows)
+    yield from shard.clean()
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_bytes: int = BENCHMARK_BYTES) -> DataFrame:
+    """The rows of docs in which no window of the benchmark occurs, with all their columns; each block of the benchmark is one more pass without a shuffle."""
+    out = docs
+    for windows in _blocks(benchmark, size, block_bytes):
+        out = out.mapInArrow(lambda batches, windows=windows: _clean(batches, windows), docs.schema)
+    return out

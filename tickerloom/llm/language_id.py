@@ -33,6 +33,8 @@ SAMPLE_DOCS = 800
 SAMPLE_ALL = 6400
 BUCKETS = 1 << 12
 STEPS, RATE, RIDGE = 300, 20.0, 1e-4
+#: Bytes of text whose features are held at once.
+FEATURE_BYTES = 1 << 19
 #: Difference of losses under which a text is ambiguous.
 MARGIN = 0.02
 UNDETERMINED = "und"
@@ -131,32 +133,52 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> OutputCodes | None:
     return OutputCodes(x, sample["lang"].to_pylist())
 
 
+def _answers(texts: pa.Array, model: OutputCodes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Name, score and ambiguity of each text."""
+    n = len(texts)
+    letter = pc.match_substring_regex(texts, r"\p{L}").fill_null(False).to_numpy(zero_copy_only=False)
+    name, score, close = np.full(n, UNDETERMINED, object), np.zeros(n), np.zeros(n, bool)
+    if model is not None:
+        loss = model.losses(features(texts))
+        order = np.sort(loss, 1)
+        share = np.exp(order[:, 0][:, None] - loss)
+        name[letter] = np.array(model.names, object)[loss.argmin(1)][letter]
+        score[letter] = (1 / share.sum(1))[letter]
+        close = letter & (order[:, min(1, loss.shape[1] - 1)] - order[:, 0] < MARGIN) & (loss.shape[1] > 1)
+    return name, score, close
+
+
 def _predicted(batches: Iterator[pa.RecordBatch], model: OutputCodes | None) -> Iterator[pa.RecordBatch]:
-    for chunk in W.chunks(batches, limit=1 << 19):
-        n = chunk.num_rows
-        letter = pc.match_substring_regex(chunk["text"], r"\p{L}").fill_null(False).to_numpy(zero_copy_only=False)
-        name, score, close = np.full(n, UNDETERMINED, object), np.zeros(n), np.zeros(n, bool)
-        if model is not None:
-            loss = model.losses(features(chunk["text"]))
-            order = np.sort(loss, 1)
-            share = np.exp(order[:, 0][:, None] - loss)
-            name[letter] = np.array(model.names, object)[loss.argmin(1)][letter]
-            score[letter] = (1 / share.sum(1))[letter]
-            close = letter & (order[:, min(1, loss.shape[1] - 1)] - order[:, 0] < MARGIN) & (loss.shape[1] > 1)
-        keep = [i for i, k in enumerate(chunk.schema.names) if k != "text"]
-        columns = [chunk.column(i) for i in keep] + [pa.array(name.tolist(), pa.string()), pa.array(score), pa.array(close)]
-        yield pa.RecordBatch.from_arrays(columns, names=[chunk.schema.names[i] for i in keep] + ["lang_pred", "score", "ambiguous"])
+    for chunk in W.chunks(batches, limit=FEATURE_BYTES):
+        name, score, close = _answers(chunk["text"], model)
+        yield pa.RecordBatch.from_pydict({"doc_id": chunk["doc_id"], "held_out": chunk["held_out"], "lang_pred": pa.array(name.tolist(), pa.string()), "score": score, "ambiguous": close})
 
 
-def identify(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, held_out, lang_pred, score, ambiguous) of each row; see the module."""
+def _kept(batches: Iterator[pa.RecordBatch], model: OutputCodes | None) -> Iterator[pa.RecordBatch]:
+    for chunk in W.chunks(batches, limit=FEATURE_BYTES):
+        name, _, close = _answers(chunk["text"], model)
+        yield chunk.filter(pa.array((name != UNDETERMINED) & ~close))
+
+
+def _learned(docs: DataFrame) -> tuple[DataFrame, OutputCodes | None]:
+    """The columns for learning with held_out, and the model of the rows that aren't."""
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(FOLDS))
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"), F.coalesce(fold == HELD_FOLD, F.lit(True)).alias("held_out"))
-    model = fit(docs.where("not held_out and lang is not null and text is not null").select("text", "lang", F.xxhash64("doc_id", F.lit(11)).alias("h")))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"), F.coalesce(fold == HELD_FOLD, F.lit(True)).alias("held_out"))
+    return own, fit(own.where("not held_out and lang is not null and text is not null").select("text", "lang", F.xxhash64("doc_id", F.lit(11)).alias("h")))
+
+
+def identify(docs: DataFrame) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score, ambiguous) of each row; see the module."""
+    own, model = _learned(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "held_out", "text").mapInArrow(
-        lambda b: _predicted(b, shared.value), "doc_id long, text_key long, held_out boolean, lang_pred string, score double, ambiguous boolean")
+    return own.select("doc_id", "held_out", "text").mapInArrow(lambda b: _predicted(b, shared.value), "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
+
+
+def identified_documents(docs: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, whose language is found: neither und nor ambiguous."""
+    shared = docs.sparkSession.sparkContext.broadcast(_learned(docs)[1])
+    return docs.mapInArrow(lambda b: _kept(b, shared.value), docs.schema)
 
 
 def op7_language_id(spark, sf_dir: str) -> DataFrame:
-    return identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+    return identify(table(spark, sf_dir, "documents"))

@@ -107,6 +107,11 @@ def op2_simhash_dedup(spark, sf_dir: str) -> DataFrame:
 
 def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """The rows of docs, with all their columns, less those that share a component with a row of smaller doc_id; of repeated rows of one doc_id one stays, and rows without doc_id stay."""
-    found = near_duplicates(docs, radius).where("doc_id > component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.join(found, "doc_id", "left_anti").select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    found = saved(near_duplicates(docs, radius), "components")
+    gone = found.where("doc_id > component_id").select("doc_id").distinct()
+    repeated = found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    if repeated.isEmpty():
+        return kept
+    one = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(one)
