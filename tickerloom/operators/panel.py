@@ -58,11 +58,16 @@ def dense_returns(quotes: DataFrame, cal: DataFrame | None = None) -> DataFrame:
     return full.select("symbol", "date", "cal_idx", "close_raw", "volume", "close", "ret", "first_close", "last_valid")
 
 
-def adv(dense: DataFrame, rows: int = 30, least: int = 10) -> DataFrame:
-    """(symbol, date, cal_idx, adv): exact rolling median of traded value over the last rows, null below `least` values."""
+def with_adv(dense: DataFrame, rows: int = 30, least: int = 10) -> DataFrame:
+    """dense with adv: exact rolling median of traded value over the last rows, null below `least` values."""
     value = F.col("close_raw") * F.col("volume")
     w = Window.partitionBy("symbol").orderBy("cal_idx").rowsBetween(-(rows - 1), 0)
-    return dense.select("symbol", "date", "cal_idx", F.when(F.count(value).over(w) >= least, F.percentile(value, 0.5).over(w)).alias("adv"))
+    return dense.withColumn("adv", F.when(F.count(value).over(w) >= least, F.percentile(value, 0.5).over(w)))
+
+
+def adv(dense: DataFrame, rows: int = 30, least: int = 10) -> DataFrame:
+    """(symbol, date, cal_idx, adv)."""
+    return with_adv(dense, rows, least).select("symbol", "date", "cal_idx", "adv")
 
 
 def value_asof(dates: DataFrame, panel: DataFrame, cal: DataFrame, on: str, columns: list[str]) -> DataFrame:

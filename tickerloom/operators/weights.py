@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tickerloom.operators.signals import KEYS
 from tickerloom.schemas import CASH
+from tickerloom.sources.staging import staged
 
 PASSES = 20
 CONVERGED = 1e-10
@@ -110,7 +111,7 @@ def capped(df: DataFrame) -> DataFrame:
         before = df.withColumn("_before", F.col("weight"))
         for step in steps:
             before = step(before)
-        df = before.checkpoint()
+        df = staged(before)
         moved = df.agg(F.max(F.abs(F.col("weight") - F.col("_before")))).first()[0]
         df = df.drop("_before")
         if moved is None or moved <= CONVERGED:
