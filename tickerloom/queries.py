@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickerloom import fixtures
@@ -779,3 +779,148 @@ def end_tilt(spark, sf_dir):
 @query("trade_date one_way_turnover~ drag_bps~6", "select * from turn")
 def trade_bars(spark, sf_dir):
     return reports.trade_bars(result(spark, sf_dir)[1].turnover)
+
+
+# ---- quality checks ----------------------------------------------------------------------------------------------
+
+AS_OF = "2001-11-10"
+step("meta", "select symbol, min(quarter_end_date) as first_in_universe_date, max(quarter_end_date) as last_in_universe_date from universe group by 1")
+
+
+def checks_sql(*rows: tuple[str, str, str, str]) -> str:
+    """(name, metric, condition that passes, condition that warns) to one table."""
+    return " union all ".join(f"select '{n}' as name, case when {p} then 'PASS' when {w} then 'WARN' else 'FAIL' end as status, cast(metric as double) as metric from (select {m} as metric)" for n, m, p, w in rows)
+
+
+def few(name: str, bad: str, warn: int | None) -> tuple[str, str, str, str]:
+    return name, f"(select count(*) from ({bad}))", "metric = 0", "true" if warn is None else f"metric <= {warn}"
+
+
+def quality_tables(spark, sf_dir) -> quality.Tables:
+    m = market(spark, sf_dir)
+    q = quotes(spark, sf_dir)
+    gaps = spark.createDataFrame([("prices", "S1", "x"), ("prices", "S2", "x"), ("financials", "S3", "x")], "script string, symbol string, reason string")
+    return quality.Tables(
+        prices=staged(panel.melt_panel(q)), shares=fx("shares")(spark, sf_dir), universe=m.universe, metadata=staged(universe.metadata(m.universe)), financials=m.financials, classification=m.sectors,
+        published=m.sectors.select("symbol", F.col("macro_sector").alias("sector")), ledger=fx("actions")(spark, sf_dir), fallback=q.where("symbol <> 'S1'"), gaps=gaps)
+
+
+def all_of(parts):
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("name status metric~", checks_sql(
+    few("shares_parts_add_up", "select 1 from fx_shares where abs(promoter_shares + public_shares + non_pub_nonp_shares - total_shares) > 1", 5),
+    few("shares_in_range", "select 1 from fx_shares where free_float_shares <= 0 or free_float_shares > total_shares or promoter_shares < 0", 5),
+    few("metadata_without_filings", "select symbol from meta where symbol not in (select symbol from fx_shares)", None)))
+def shares_checks(spark, sf_dir):
+    return all_of(quality.shares_checks(quality_tables(spark, sf_dir)))
+
+
+@query("name status metric~", checks_sql(
+    ("universe_quarters", "(select count(distinct quarter_end_date) from universe)", "metric >= 28", "metric >= 20"),
+    ("universe_size", "(select min(n) from (select count(*) as n from universe group by quarter_end_date))", "metric >= 490", "metric >= 480"),
+    ("universe_no_repeats", "(select sum(n - 1) from (select count(*) as n from universe group by quarter_end_date, symbol))", "metric = 0", "false"),
+    ("metadata_size", "(select count(*) from meta)", "metric between 500 and 1500", "metric > 0"),
+    few("universe_in_metadata", "select 1 from universe where symbol not in (select symbol from meta)", 10)))
+def universe_checks(spark, sf_dir):
+    return all_of(quality.universe_checks(quality_tables(spark, sf_dir)))
+
+
+step("cover", """
+select m.symbol, count(*) / greatest(1.0, (m.last_in_universe_date - m.first_in_universe_date + 1) * 5.0 / 7) as coverage from meta m
+join fx_quotes q on q.symbol = m.symbol and q.date between m.first_in_universe_date and m.last_in_universe_date and q.close is not null group by m.symbol, m.first_in_universe_date, m.last_in_universe_date""")
+step("moves", "select * from (select symbol, date, close, round(close / lag(close) over (partition by symbol order by date) - 1, 4) as change from fx_quotes) where abs(change) > 0.05")
+
+
+@query("name status metric~", checks_sql(
+    ("price_symbol_coverage", "(select avg(case when symbol in (select symbol from fx_quotes) then 1.0 else 0 end) from meta)", "metric >= 0.95", "metric >= 0.8"),
+    few("price_fields", "select 1 where false", 5),
+    ("price_no_repeats", "0", "metric = 0", "metric <= 10"),
+    few("close_coverage", "select 1 from cover where coverage < 0.8", 5),
+    few("no_negative_prices", "select 1 from fx_quotes where least(open, high, low, close) < 0", 5),
+    few("ohlc_order", "select 1 from fx_quotes where high < low or high < open or high < close or low > open or low > close", 10),
+    few("large_moves", "select 1 from moves", None),
+    ("price_staleness", f"(select date '{AS_OF}' - max(date) from fx_quotes)", "metric <= 5", "metric <= 14"),
+    ("fallback_coverage", "0.5", "metric >= 0.8", "metric >= 0.5"),
+    few("action_types", "select 1 from fx_actions where action_type not in ('split', 'bonus', 'dividend')", 0),
+    few("action_symbols", "select distinct symbol from fx_actions where symbol not in (select symbol from fx_quotes)", 2)))
+def price_checks(spark, sf_dir):
+    return all_of(quality.price_checks(quality_tables(spark, sf_dir), AS_OF, 0.05))
+
+
+@query("symbol date close~ change~4", "select * from moves")
+def price_outliers(spark, sf_dir):
+    return quality.outliers(panel.melt_panel(quotes(spark, sf_dir)), 0.05)
+
+
+@query("symbol coverage~", "select * from cover")
+def close_coverage(spark, sf_dir):
+    t = quality_tables(spark, sf_dir)
+    return quality.close_coverage(t.prices, t.metadata)
+
+
+@query("name status metric~", checks_sql(
+    few("financials_or_logged", "select 1 from meta where symbol not in (select symbol from fin) and symbol <> 'S3'", 10),
+    ("quarter_alignment", "(select avg(case when month(date) % 3 = 0 then 1.0 else 0 end) from fin_derived)", "metric >= 0.9", "metric >= 0.75"),
+    few("core_line_items", "select distinct symbol from fin", 10),
+    few("no_future_periods", f"select 1 from fin_derived where date > date '{AS_OF}'", 5),
+    ("financial_depth", "1.0", "metric >= 0.8", "metric >= 0.6")))
+def financial_checks(spark, sf_dir):
+    return all_of(quality.financial_checks(quality_tables(spark, sf_dir), AS_OF))
+
+
+@query("name status metric~", checks_sql(
+    few("classification_coverage", "select 1 from meta where symbol not in (select symbol from fx_sector)", 10),
+    ("classification_unknown", "0.0", "metric <= 0.05", "metric <= 0.1"),
+    few("new_macro_sectors", "select distinct macro_sector from fx_sector", None),
+    few("new_sectors", "select distinct sector from fx_sector", None),
+    few("sector_agreement", "select 1 from fx_sector where sector <> macro_sector", None)))
+def classification_checks(spark, sf_dir):
+    return all_of(quality.classification_checks(quality_tables(spark, sf_dir)))
+
+
+@query("name status metric~", checks_sql(
+    few("prices_in_metadata", "select distinct symbol from fx_quotes where symbol not in (select symbol from meta)", 5),
+    few("financials_in_metadata", "select distinct symbol from fin where symbol not in (select symbol from meta)", 5),
+    few("universe_in_a_panel", "select 1 from universe where symbol not in (select symbol from fx_quotes)", 10),
+    ("failure_ratio", "(select 3.0 / count(*) from meta)", "metric < 0.15", "metric < 0.3")))
+def cross_checks(spark, sf_dir):
+    return all_of(quality.cross_checks(quality_tables(spark, sf_dir)))
+
+
+step("part_universe", """
+select symbol, quarter_end_date from (select symbol, last_day(date_trunc('quarter', date) + interval 2 month) as quarter_end_date, row_number() over (partition by last_day(date_trunc('quarter', date) + interval 2 month) order by max(close) desc, symbol) as r
+from fx_part_quotes group by 1, 2) where r <= 100""")
+step("part_events", "select cast(o_orderdate as date) as event_date, concat('P', cast(o_custkey as string)) as p, concat('P', cast(o_custkey + 1 as string)) as s from orders where o_orderkey % 3 = 0")
+step("part_spans", "select symbol, min(quarter_end_date) as a, max(quarter_end_date) as z from part_universe group by 1")
+
+
+def part_changes(spark, sf_dir):
+    q = fx("part_quotes")(spark, sf_dir)
+    u = q.groupBy("symbol", F.last_day(F.add_months(F.trunc("date", "quarter"), 2)).alias("quarter_end_date")).agg(F.max("close").alias("c"))
+    u = u.withColumn("r", F.row_number().over(Window.partitionBy("quarter_end_date").orderBy(F.desc("c"), "symbol"))).where("r <= 100")
+    events = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderkey % 3 = 0").selectExpr("cast(o_orderdate as date) as event_date", "'merger' as event_type", "concat('P', o_custkey) as predecessor_symbols", "concat('P', o_custkey + 1) as successor_symbols")
+    return quality.unexplained_changes(u, events, part_history(spark, sf_dir))
+
+
+@query("symbol last_quarter", """
+select x.symbol, x.z as last_quarter from part_spans x join part_history h using (symbol) where x.z < (select max(quarter_end_date) from part_universe)
+and not exists (select 1 from part_events e where e.p = x.symbol and e.event_date between x.z - interval 12 month and x.z + interval 12 month) and (h.last_seen_date is null or abs(h.last_seen_date - x.z) > 365)""")
+def unexplained_exits(spark, sf_dir):
+    return part_changes(spark, sf_dir)[0]
+
+
+@query("symbol first_quarter", """
+select x.symbol, x.a as first_quarter from part_spans x join part_history h using (symbol) where x.a > (select min(quarter_end_date) from part_universe)
+and not exists (select 1 from part_events e where e.s = x.symbol and e.event_date between x.a - interval 12 month and x.a + interval 12 month) and (h.first_seen_date is null or abs(h.first_seen_date - x.a) > 365)""")
+def unexplained_entries(spark, sf_dir):
+    return part_changes(spark, sf_dir)[1]
+
+
+@query("status passed warned failed")
+def overall_quality(spark, sf_dir):
+    return quality.overall(quality.validate(quality_tables(spark, sf_dir), spark, AS_OF, 0.05))
