@@ -156,8 +156,7 @@ def _predicted(batches: Iterator[pa.RecordBatch], model: OutputCodes | None) ->
 
 def _kept(batches: Iterator[pa.RecordBatch], model: OutputCodes | None) -> Iterator[pa.RecordBatch]:
     for chunk in W.chunks(batches, limit=FEATURE_BYTES):
-        name, _, close = _answers(chunk["text"], model)
-        yield chunk.filter(pa.array((name != UNDETERMINED) & ~close))
+        yield chunk.filter(pa.array(_answers(chunk["text"], model)[0] != UNDETERMINED))
 
 
 def _learned(docs: DataFrame) -> tuple[DataFrame, OutputCodes | None]:
@@ -175,7 +174,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def identified_documents(docs: DataFrame) -> DataFrame:
-    """The rows of docs, with all their columns, whose language is found: neither und nor ambiguous."""
+    """The rows of docs, with all their columns, that have a language; ambiguous ones stay, as clean texts in two languages are ambiguous too."""
     shared = docs.sparkSession.sparkContext.broadcast(_learned(docs)[1])
     return docs.mapInArrow(lambda b: _kept(b, shared.value), docs.schema)
 
