@@ -11,15 +11,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Folders of local applications without spark.checkpoint.dir.
+_local: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; only a local session without one gets a temporary folder of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="staging-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    context = spark.sparkContext
+    if not context.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if context.applicationId not in _local:
+        _local[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="staging-")
+    return _local[context.applicationId]
 
 
 def staged(df: DataFrame) -> DataFrame:
