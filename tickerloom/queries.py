@@ -17,7 +17,6 @@ from tickerloom.operators import asof, attribution, corpact, fundamentals, holdi
 from tickerloom.plans.runs import Config, Market, Result, configs_table, run_bounds, run_strategies, targets
 from tickerloom.sources.staging import staged
 
-FLAGSHIP = "minimum_slice"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 TOP_N = 50
@@ -568,14 +567,24 @@ from (select * from gross union all select cal_idx, date, 0 from idle) r left jo
 step("weights_all", "select * from held union all select cal_idx, date, 'CASH', 1.0 from idle")
 
 
-@query("date gross~", "select date, gross from gross")
-def minimum_slice(spark, sf_dir):
-    """Daily gross returns of the quarterly free-float-capitalisation portfolio."""
+def slice_returns(spark, sf_dir, config: Config) -> DataFrame:
+    """(date, gross): from quotes, filings and the schedule to capped targets and their daily gross returns."""
     m = market(spark, sf_dir)
-    configs = configs_table(spark, [base_config()])
+    configs = configs_table(spark, [config])
     wanted = targets(m, configs)
     trade = timeline.trade_dates(wanted.select("run_id", "rebal_date").distinct().withColumn("rebal_offset", F.lit(1)), m.cal)
-    return holdings.gross_returns(holdings.values(wanted, holdings.segments(trade, run_bounds(configs, m.cal)), m))
+    return holdings.gross_returns(holdings.values(wanted, holdings.segments(trade, run_bounds(configs, m.cal)), m)).select("date", "gross")
+
+
+@query("date gross~", "select date, gross from gross")
+def minimum_slice(spark, sf_dir):
+    """Daily gross returns of the quarterly free-float-capitalisation portfolio."""
+    return slice_returns(spark, sf_dir, base_config())
+
+
+def flagship(spark, sf_dir) -> DataFrame:
+    """The same without the stock cap, which tables of a few names can't meet."""
+    return slice_returns(spark, sf_dir, base_config(max_stock_wt=None))
 
 
 @query("date symbol weight~", "select * from weights_all")
