@@ -1,0 +1 @@
+"""The panels are batch tables; there are no streaming operators to rebuild."""
