@@ -97,3 +97,11 @@ def primary_else_fallback(wanted: DataFrame, primary: DataFrame, fallback: DataF
     filled = fallback.join(missing, "symbol", "left_semi")
     gaps = missing.join(fallback.select("symbol").distinct(), "symbol", "left_anti").select(F.lit("prices").alias("script"), "symbol", F.lit("NoPriceData").alias("reason"), F.lit(None).cast("string").alias("error_msg"))
     return primary.unionByName(filled), gaps
+
+
+def vendor_long(frame: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A vendor's wide frame (date with time, symbol, fields) as a long panel of days without null rows; and the wanted symbols that it leaves empty."""
+    fields = [c for c in PRICE_FIELDS if c in frame.columns]
+    long = melt_panel(frame.withColumn("date", F.to_date("date")), fields)
+    missing = wanted.select("symbol").distinct().join(long.select("symbol").distinct(), "symbol", "left_anti")
+    return long, missing

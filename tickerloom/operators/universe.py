@@ -84,3 +84,8 @@ def lookup_by_isin_or_ticker(rows: DataFrame, master: DataFrame, value: str) ->
     by_isin = master.where("isin is not null").groupBy("isin").agg(F.min(value).alias("_a"))
     by_ticker = master.where("ticker is not null").groupBy("ticker").agg(F.min(value).alias("_b"))
     return rows.join(by_isin, "isin", "left").join(by_ticker, "ticker", "left").withColumn(value, F.coalesce("_a", "_b")).drop("_a", "_b")
+
+
+def source_counts(resolved: DataFrame) -> DataFrame:
+    """(source, n): how many symbols each source classified."""
+    return resolved.groupBy("source").agg(F.count(F.lit(1)).alias("n"))

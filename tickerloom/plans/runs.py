@@ -122,10 +122,11 @@ def targets(market: Market, configs: DataFrame, extra: list[Callable] | None = N
 
 
 def run_bounds(configs: DataFrame, cal: DataFrame) -> DataFrame:
-    """(run_id, first_idx, last_idx): the trading days of each run."""
-    span = configs.select("run_id", "start", "end").join(F.broadcast(cal), F.lit(True))
+    """(run_id, first_idx, last_idx): the trading days of each run; the calendar is searched once for each distinct pair of bounds."""
+    spans = configs.select("start", "end").distinct()
     inside = (F.col("start").isNull() | (F.col("date") >= F.col("start"))) & (F.col("end").isNull() | (F.col("date") <= F.col("end")))
-    return span.where(inside).groupBy("run_id").agg(F.min("cal_idx").alias("first_idx"), F.max("cal_idx").alias("last_idx"))
+    found = spans.join(F.broadcast(cal), inside).groupBy(F.col("start").alias("_start"), F.col("end").alias("_end")).agg(F.min("cal_idx").alias("first_idx"), F.max("cal_idx").alias("last_idx"))
+    return configs.join(found, F.col("start").eqNullSafe(F.col("_start")) & F.col("end").eqNullSafe(F.col("_end"))).select("run_id", "first_idx", "last_idx")
 
 
 def run_strategies(market: Market, configs: DataFrame, extra: list[Callable] | None = None, buckets: dict | None = None) -> Result:

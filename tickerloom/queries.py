@@ -933,3 +933,37 @@ def unexplained_entries(spark, sf_dir):
 @query("status passed warned failed")
 def overall_quality(spark, sf_dir):
     return quality.overall(quality.validate(quality_tables(spark, sf_dir), spark, AS_OF, 0.05))
+
+
+# ---- remaining panel and lookup operators ------------------------------------------------------------------------
+
+
+@query("symbol missing n", """
+select symbol, false as missing, count(close) as n from fx_quotes where symbol not like '%6' group by 1 union all select distinct symbol, true, 0 from fx_quotes where symbol like '%6'""")
+def vendor_frame(spark, sf_dir):
+    q = quotes(spark, sf_dir)
+    frame = q.where("symbol not like '%6'").withColumn("date", F.col("date").cast("timestamp"))
+    long, missing = panel.vendor_long(frame, q)
+    have = long.where("parameter = 'close'").groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).withColumn("missing", F.lit(False))
+    return have.unionByName(missing.withColumns({"n": F.lit(0).cast("long"), "missing": F.lit(True)}))
+
+
+@query("script symbol reason", "select distinct 'prices' as script, symbol, 'UnadjustedFallback' as reason from fx_quotes where symbol not in (select symbol from fx_actions where action_type = 'split')")
+def fallback_gaps(spark, sf_dir):
+    return corpact.adjusted_fallback(quotes(spark, sf_dir), fx("actions")(spark, sf_dir).where("action_type = 'split'"))[1]
+
+
+@query("source n", "select case when symbol like '%2' then 'override' when symbol like '%9' then 'none' else 'page' end as source, count(*) as n from fx_sector group by 1")
+def classification_sources(spark, sf_dir):
+    s = fx("sector")(spark, sf_dir)
+    return universe.source_counts(universe.resolve_classification(s, [("override", s.where("symbol like '%2'")), ("page", s.where("symbol not like '%9'"))]))
+
+
+@query("ticker sector", """
+select concat('S', cast(s_suppkey as string)) as ticker, case when s_suppkey % 4 = 0 then concat('by isin ', cast(s_suppkey as string)) when s_suppkey % 3 = 0 then concat('by ticker ', cast(s_suppkey as string)) end as sector from supplier""")
+def two_key_lookup(spark, sf_dir):
+    s = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    rows = s.selectExpr("if(s_suppkey % 2 = 0, concat('I', s_suppkey), null) as isin", "concat('S', s_suppkey) as ticker")
+    master = s.where("s_suppkey % 4 = 0").selectExpr("concat('I', s_suppkey) as isin", "cast(null as string) as ticker", "concat('by isin ', s_suppkey) as sector").unionByName(
+        s.where("s_suppkey % 3 = 0").selectExpr("cast(null as string) as isin", "concat('S', s_suppkey) as ticker", "concat('by ticker ', s_suppkey) as sector"))
+    return universe.lookup_by_isin_or_ticker(rows, master, "sector")
