@@ -10,7 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Arrow batches of texts that fit a small executor twice over.
+_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8388608"}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send texts to Python in batches of a few MB, unless the session has sizes of its own."""
+    for key, small in _BATCHES.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, small)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
