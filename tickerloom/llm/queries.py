@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tickerloom.llm import sql
 from tickerloom.llm.decontaminate import op3_decontaminate
 from tickerloom.llm.language_id import op7_language_id
 from tickerloom.llm.lm_score import op5_lm_score
@@ -26,4 +27,8 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: The others hash with XXH64, learn models, tokenize or transform samples, which SQL can't express.
+ORACLE_SQL: dict[str, str] = {
+    "op3_decontaminate": sql.DECONTAMINATE,
+    "op9_substring_dedup": sql.SUBSTRING_DEDUP,
+}
