@@ -69,7 +69,8 @@ def test_words_and_hashes():
     assert W.sliding_min(np.array([5, 3, 4, 9, 1, 7], np.uint64), 3).tolist() == [3, 3, 1, 1]
 
 
-def test_substring_dedup(docs):
+@pytest.mark.parametrize("hot_windows", [substring_dedup.HOT_WINDOWS, 100])
+def test_substring_dedup(docs, hot_windows):
     rows = plain(docs)
     first: dict = {}
     for i, t in rows:
@@ -87,7 +88,7 @@ def test_substring_dedup(docs):
                 gone[j : j + 13] = [True] * 13
         kept = " ".join(x for x, g in zip(w, gone, strict=True) if not g)
         expected.append((i, len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
-    got = substring_dedup.remove_duplicates(docs)
+    got = substring_dedup.remove_duplicates(docs, hot_windows=hot_windows)
     same([tuple(r) for r in got.select("doc_id", "n_words", "n_removed", "kept_sha256").collect()], expected)
     assert sum(r[2] for r in expected) > 20_000
     assert substring_dedup.remove_duplicates(empty(docs)).count() == 0

@@ -10,6 +10,11 @@ at the first that doesn't. Windows across a factor's boundary belong to another
 its own index, so no boundary hides a match. Batches drop their own repeats before anything is
 shuffled: a passage that a third of all documents share reaches its block once a batch, not once a document.
 
+A frequent run of three words may be the minimizer of any number of windows. The windows of every block are
+therefore counted first. A block of over HOT_WINDOWS is worked in two steps: its batches are dealt into groups of bounded size,
+each of which drops its own repeats and deals what is left by the hashes of the windows, so that neither different
+windows behind one minimizer nor a window that every batch holds meets in one task.
+
 Results by case: a null text has no words; a null doc_id has no order, so its row is kept whole and removes
 nothing from others; rows with one doc_id don't remove each other's words (none is smaller), and a repeated row
 gets the result once for each row; an empty table gives an empty result; other columns are passed over.
@@ -26,12 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.llm import words as W
-from tickerloom.llm.tables import block_count, text_bytes
+from tickerloom.llm.tables import block_count, saved, text_bytes
 
 #: Words whose windows are deduplicated together before they are sent to their blocks.
 BATCH_WORDS = 1_500_000
 MINIMIZER_WORDS = 3
 BLOCK_BYTES = 6 << 20
+#: Windows of a block that one task may hold.
+HOT_WINDOWS = 3_000_000
 
 OFFER = "block int, ids binary, keys binary, doc binary, start binary, length binary, windows binary, known boolean"
 SPAN = "doc_id long, text_key long, start int, until int"
@@ -42,6 +49,20 @@ def _runs(broken: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(broken), len(broken))
 
 
+def _minimizers(h: np.ndarray, ok: np.ndarray, size: int) -> np.ndarray:
+    """The minimizer of each whole window, from the hashes of the words."""
+    return W.sliding_min(W.rolled(h, MINIMIZER_WORDS), size - MINIMIZER_WORDS + 1)[: len(ok)][ok]
+
+
+def _loads(batches: Iterator[pa.RecordBatch], size: int, blocks: int) -> Iterator[pa.RecordBatch]:
+    """How many windows a run of documents has for each block, repeats included."""
+    for chunk in W.chunks(batches):
+        w = W.Words(chunk["text"], W.SPACE_WORD)
+        block = _minimizers(w.hashes(), W.whole_windows(w.text_of(), size), size) % np.uint64(blocks)
+        own, n = np.unique(block.astype(np.int32), return_counts=True)
+        yield pa.RecordBatch.from_pydict({"block": pa.array(own, pa.int32()), "n": pa.array(n, pa.int64())})
+
+
 class _Batch:
     """Windows of some documents."""
 
@@ -57,7 +78,7 @@ class _Batch:
         ok = W.whole_windows(text_of, size)
         h = w.hashes()
         windows = W.rolled(h, size)[ok]
-        short = W.sliding_min(W.rolled(h, MINIMIZER_WORDS), size - MINIMIZER_WORDS + 1)[: len(ok)][ok]
+        short = _minimizers(h, ok, size)
         at = np.flatnonzero(ok)
         doc = text_of[at]
         self.parts.append((windows, short, (doc + self.docs).astype(np.int32), (at - w.first[doc]).astype(np.int32)))
@@ -121,45 +142,92 @@ def _offer(batches: Iterator[pa.RecordBatch], size: int, blocks: int) -> Iterato
     yield from rows(batch)
 
 
+class _Factors:
+    """The factors of some offers, the spans already known, and which windows have an earlier document among them."""
+
+    def __init__(self, offered: pa.Table, size: int):
+        windows, self.spans = [np.zeros(0, np.uint64)], []
+        arrays = [[np.zeros(0, kind)] for kind in (np.int64, np.int64, np.int32, np.int32)]
+        for row in offered.to_pylist():
+            ids, keys = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["keys"], np.int64)
+            doc, start, length = (np.frombuffer(row[k], np.int32) for k in ("doc", "start", "length"))
+            if row["known"]:
+                self.spans.append((ids[doc], keys[doc], start, start + length + np.int32(size - 1)))
+                continue
+            windows.append(np.frombuffer(row["windows"], np.uint64))
+            for into, x in zip(arrays, (ids[doc], keys[doc], start, length), strict=True):
+                into.append(x)
+        self.windows = np.concatenate(windows)
+        self.ids, self.keys, self.start, length = (np.concatenate(x) for x in arrays)
+        self.factor = np.repeat(np.arange(len(self.ids)), length)
+        self.place = self.start[self.factor] + (np.arange(len(self.windows)) - np.append(0, np.cumsum(length)[:-1])[self.factor]).astype(np.int32) if len(self.ids) else np.zeros(0, np.int32)
+        order = np.argsort(self.windows)
+        of = self.ids[self.factor[order]]
+        self.later = np.zeros(len(order), bool)
+        if len(order):
+            ends = _runs(np.append(True, np.diff(self.windows[order]) != 0))
+            self.later[order] = of > np.repeat(np.minimum.reduceat(of, ends[:-1]), np.diff(ends))
+
+    def runs(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The windows at ascending places as runs of neighbours in one factor: the first of each, and their lengths."""
+        if not len(at):
+            return at, at
+        ends = _runs(np.append(True, (np.diff(at) != 1) | (np.diff(self.factor[at]) != 0)))
+        return at[ends[:-1]], np.diff(ends)
+
+    def found(self, size: int) -> list[tuple[np.ndarray, ...]]:
+        """Spans of (document, text, start, until): the known ones and those of windows with an earlier document."""
+        begin, n = self.runs(np.flatnonzero(self.later))
+        f = self.factor[begin]
+        return [*self.spans, (self.ids[f], self.keys[f], self.place[begin], (self.place[begin] + n + size - 1).astype(np.int32))]
+
+    def offer(self, at: np.ndarray) -> dict[str, bytes]:
+        """The windows at ascending places as an offer."""
+        begin, n = self.runs(at)
+        f = self.factor[begin]
+        return {"ids": self.ids[f].tobytes(), "keys": self.keys[f].tobytes(), "doc": np.arange(len(f), dtype=np.int32).tobytes(), "start": self.place[begin].tobytes(), "length": n.astype(np.int32).tobytes(), "windows": self.windows[at].tobytes()}
+
+
 def _parse(offered: pa.Table, size: int) -> pa.Table:
     """Index a block's windows by their earliest document and parse the factors against it."""
-    windows, spans = [], []
-    arrays: list[list[np.ndarray]] = [[], [], [], []]
-    for row in offered.to_pylist():
-        ids, keys = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["keys"], np.int64)
-        doc, start, length = (np.frombuffer(row[k], np.int32) for k in ("doc", "start", "length"))
-        if row["known"]:
-            spans.append((ids[doc], keys[doc], start, start + length + np.int32(size - 1)))
-            continue
-        windows.append(np.frombuffer(row["windows"], np.uint64))
-        for into, x in zip(arrays, (ids[doc], keys[doc], start, length), strict=True):
-            into.append(x)
-    if windows:
-        h = np.concatenate(windows)
-        ids, keys, start, length = (np.concatenate(x) for x in arrays)
-        factor = np.repeat(np.arange(len(ids)), length)
-        order = np.argsort(h)
-        of = ids[factor[order]]
-        ends = _runs(np.append(True, np.diff(h[order]) != 0))
-        found = np.empty(len(h), bool)
-        found[order] = of > np.repeat(np.minimum.reduceat(of, ends[:-1]), np.diff(ends))
-        runs = _runs(np.append(True, (np.diff(factor) != 0) | np.diff(found)))
-        begin = runs[:-1][found[runs[:-1]]]
-        f = factor[begin]
-        offset = begin - np.append(0, np.cumsum(length)[:-1])[f]
-        n = np.diff(runs)[found[runs[:-1]]]
-        spans.append((ids[f], keys[f], (start[f] + offset).astype(np.int32), (start[f] + offset + n + size - 1).astype(np.int32)))
-    columns = [np.concatenate(x) for x in zip(*spans, strict=True)] if spans else [np.zeros(0, np.int64)] * 2 + [np.zeros(0, np.int32)] * 2
+    columns = [np.concatenate(x) for x in zip(*_Factors(offered, size).found(size), strict=True)]
     return pa.table(dict(zip(("doc_id", "text_key", "start", "until"), columns, strict=True)))
 
 
-def duplicate_spans(docs: DataFrame, size: int = 13) -> DataFrame:
+def _thin(offered: pa.Table, size: int) -> pa.Table:
+    """Some offers of a hot block without their own repeats, which become known spans, dealt into parts by the windows."""
+    block, parts = offered["block"][0].as_py(), offered["parts"][0].as_py()
+    own = _Factors(offered, size)
+    ids, keys, start, until = (np.concatenate(x) for x in zip(*own.found(size), strict=True))
+    known = {"ids": ids.tobytes(), "keys": keys.tobytes(), "doc": np.arange(len(ids), dtype=np.int32).tobytes(), "start": start.tobytes(), "length": (until - start - size + 1).astype(np.int32).tobytes(), "windows": None}
+    rows = [known | {"block": block, "part": offered["salt"][0].as_py(), "known": True}] if len(ids) else []
+    left = np.flatnonzero(~own.later)
+    part = (W.mix(own.windows[left]) % np.uint64(parts)).astype(np.int64)
+    dealt = np.argsort(part, kind="stable")
+    bounds = _runs(np.append(True, np.diff(part[dealt]) != 0)) if len(left) else [0]
+    for a, z in zip(bounds[:-1], bounds[1:], strict=True):
+        rows.append(own.offer(left[dealt[a:z]]) | {"block": block, "part": int(part[dealt[a]]), "known": False})
+    kinds = [("block", pa.int32()), *((k, pa.binary()) for k in ("ids", "keys", "doc", "start", "length", "windows")), ("known", pa.bool_()), ("part", pa.int32())]
+    return pa.Table.from_pylist(rows, schema=pa.schema(kinds))
+
+
+def duplicate_spans(docs: DataFrame, size: int = 13, hot_windows: int = HOT_WINDOWS) -> DataFrame:
     """(doc_id, text_key, start, until): spans of words, from start to before until, that windows of size words cover whose words also start in a document with a smaller doc_id. Spans of one text may touch and overlap; text_key is xxhash64 of the text."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     blocks = block_count(text_bytes(docs), BLOCK_BYTES)
-    keyed = docs.where("doc_id is not null and text is not null").withColumn("text_key", F.xxhash64("text"))
+    known = docs.where("doc_id is not null and text is not null")
+    loads = known.select("text").mapInArrow(lambda batches: _loads(batches, size, blocks), "block int, n long")
+    hot = saved(loads.groupBy("block").agg(F.sum("n").alias("n")).where(F.col("n") > hot_windows).select("block", F.ceil(2 * F.col("n") / hot_windows).cast("int").alias("parts")), "hot")
+    keyed = known.withColumn("text_key", F.xxhash64("text"))
     offers = keyed.mapInArrow(lambda batches: _offer(batches, size, blocks), OFFER)
-    return offers.groupBy("block").applyInArrow(lambda offered: _parse(offered, size), SPAN)
+    parse = lambda offered: _parse(offered, size)
+    if hot.isEmpty():
+        return offers.groupBy("block").applyInArrow(parse, SPAN)
+    offers = saved(offers, "offers")
+    dealt = offers.join(hot, "block").withColumn("salt", F.pmod(F.xxhash64("ids", "start"), F.col("parts")).cast("int"))
+    thinned = dealt.groupBy("block", "salt").applyInArrow(lambda offered: _thin(offered, size), OFFER + ", part int")
+    rest = offers.join(hot, "block", "left_anti").groupBy("block").applyInArrow(parse, SPAN)
+    return rest.unionByName(thinned.groupBy("block", "part").applyInArrow(parse, SPAN))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,10 +261,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         })
 
 
-def remove_duplicates(docs: DataFrame, size: int = 13) -> DataFrame:
+def remove_duplicates(docs: DataFrame, size: int = 13, hot_windows: int = HOT_WINDOWS) -> DataFrame:
     """(doc_id, kept, n_words, n_removed, kept_sha256) of each row: its words without duplicate spans, joined by one space."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    spans = duplicate_spans(docs, size).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "until")).alias("spans"))
+    spans = duplicate_spans(docs, size, hot_windows).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "until")).alias("spans"))
     keyed = docs.withColumn("text_key", F.xxhash64("text"))
     both = keyed.join(spans, ["doc_id", "text_key"], "left").select("doc_id", "text", F.coalesce("spans", F.array().cast("array<struct<start:int,until:int>>")).alias("spans"))
     return both.mapInArrow(_cut, "doc_id long, kept string, n_words long, n_removed long, kept_sha256 string")
