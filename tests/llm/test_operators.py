@@ -190,14 +190,15 @@ def test_fm_index_counts_and_locates():
             assert sorted(index.locate(np.arange(a, z)).tolist()) == expected
 
 
-def test_lm_score(docs):
+@pytest.mark.parametrize("sum_rows", [lm_score.SUM_ROWS, 1])
+def test_lm_score(docs, sum_rows):
     rows = plain(docs)
     held = [i is None or zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows]
     tokens = [[*SPACE.findall((t or "").translate(LOW)), 0] for _, t in rows]
     c = collections.Counter(x for own, h in zip(tokens, held, strict=True) if not h for x in own)
     n, v = sum(c.values()), len(c)
     expected = collections.Counter((i, h, len(own), sum(c[x] > 0 for x in own), n, round(sum(math.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in own), 4)) for (i, _), h, own in zip(rows, held, tokens, strict=True))
-    got = lm_score.score_texts(docs).collect()
+    got = lm_score.score_texts(docs, sum_rows).collect()
     assert collections.Counter((*tuple(r)[:5], round(r.base_score, 4)) for r in got) == expected
     assert all(r.score < 0 for r in got)
     assert lm_score.score_texts(empty(docs)).count() == 0
