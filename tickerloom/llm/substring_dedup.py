@@ -39,6 +39,8 @@ MINIMIZER_WORDS = 3
 BLOCK_BYTES = 6 << 20
 #: Windows of a block that one task may hold.
 HOT_WINDOWS = 3_000_000
+#: Bytes and rows of an Arrow batch of offers.
+SENT_BYTES, SENT_ROWS = 1 << 20, 1000
 
 OFFER = "block int, ids binary, keys binary, doc binary, start binary, length binary, windows binary, known boolean"
 SPAN = "doc_id long, text_key long, start int, until int"
@@ -129,9 +131,21 @@ class _Batch:
 
 
 def _offer(batches: Iterator[pa.RecordBatch], size: int, blocks: int) -> Iterator[pa.RecordBatch]:
-    def rows(batch: _Batch):
-        for block, *arrays, known in batch.offers(size, blocks):
-            yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32())} | {k: pa.array([None if x is None else x.tobytes()], pa.binary()) for k, x in zip(("ids", "keys", "doc", "start", "length", "windows"), arrays, strict=True)} | {"known": [known]})
+    def sent(rows: list[tuple]) -> pa.RecordBatch:
+        block, *arrays, known = zip(*rows, strict=True)
+        packed = [pa.array([None if x is None else x.tobytes() for x in column], pa.binary()) for column in arrays]
+        return pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), *packed, pa.array(known)], ["block", "ids", "keys", "doc", "start", "length", "windows", "known"])
+
+    def rows(batch: _Batch) -> Iterator[pa.RecordBatch]:
+        own, room = [], SENT_BYTES
+        for offer in batch.offers(size, blocks):
+            own.append(offer)
+            room -= sum(x.nbytes for x in offer[1:-1] if x is not None)
+            if room <= 0 or len(own) == SENT_ROWS:
+                yield sent(own)
+                own, room = [], SENT_BYTES
+        if own:
+            yield sent(own)
 
     batch = _Batch()
     for chunk in W.chunks(batches):
