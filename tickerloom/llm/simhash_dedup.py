@@ -106,8 +106,13 @@ def op2_simhash_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The rows of docs, with all their columns, less those that share a component with a row of smaller doc_id; of repeated rows of one doc_id one stays, and rows without doc_id stay."""
-    found = saved(near_duplicates(docs, radius), "components")
+    """keep_least for the components of fingerprints within the radius."""
+    return keep_least(docs, near_duplicates(docs, radius))
+
+
+def keep_least(docs: DataFrame, components: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, less those that share a component (doc_id, component_id) with a row of smaller doc_id; of repeated rows of one doc_id one stays, and rows without doc_id stay."""
+    found = saved(components, "components")
     gone = found.where("doc_id > component_id").select("doc_id").distinct()
     repeated = found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
