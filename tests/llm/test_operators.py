@@ -69,6 +69,23 @@ def test_words_and_hashes():
     assert W.sliding_min(np.array([5, 3, 4, 9, 1, 7], np.uint64), 3).tolist() == [3, 3, 1, 1]
 
 
+def test_few_words_alone_in_a_chunk(spark):
+    """Each text is a chunk of its own, so that all numbers of words below and above a window's meet the minimizers alone."""
+    values = W.mix(np.arange(14, dtype=np.uint64))
+    for n in range(15):
+        for size in range(1, 15):
+            assert W.sliding_min(values[:n], size).tolist() == [values[i : i + size].min() for i in range(min(n, 14) - size + 1)]
+    words = [f"w{i}" for i in range(14)]
+    rows = [(100 * copy + n, " ".join(words[:n])) for copy in range(2) for n in range(15)]
+    for n in range(15):
+        text = pa.array([rows[n][1]], pa.string())
+        chunk = pa.RecordBatch.from_pydict({"doc_id": [n], "text": text, "text_key": [n]})
+        assert sum(sum(b["n"].to_pylist()) for b in substring_dedup._loads([chunk], 13, 48)) == max(0, n - 12)
+        assert len(list(substring_dedup._offer([chunk], 13, 48))) == (n > 12)
+    got = {r.doc_id: r.n_removed for r in substring_dedup.remove_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(30)).collect()}
+    assert got == {i: 13 if i == 14 else i - 100 if i in (113, 114) else 0 for i, _ in rows}
+
+
 @pytest.mark.parametrize("hot_windows", [substring_dedup.HOT_WINDOWS, 100])
 def test_substring_dedup(docs, hot_windows):
     rows = plain(docs)

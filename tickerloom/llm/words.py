@@ -134,7 +134,9 @@ def whole_windows(text_of: np.ndarray, size: int) -> np.ndarray:
 
 
 def sliding_min(h: np.ndarray, size: int) -> np.ndarray:
-    """The least of each run of size consecutive values."""
+    """The least of each run of size consecutive values; none if there are fewer."""
+    if len(h) < size:
+        return h[:0]
     reach = 1
     while reach * 2 <= size:
         h = np.minimum(h[: len(h) - reach], h[reach:])
