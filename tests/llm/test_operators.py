@@ -345,6 +345,21 @@ def test_landmarks_find_a_tone():
     assert (np.diff(codes) >= 0).all() and {int(c >> 14 & 1023) for c in codes} >= {32}
 
 
+def test_landmarks_cover_short_payloads_and_tails():
+    feature = lambda text: tuple(media.landmarks(np.frombuffer(text.encode() + bytes(-len(text) % media.UNIT), np.uint8)))
+    rng = random.Random(2)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    assert all(feature(prose(n)) for n in range(0, 710, 10))
+    short = [prose(n) for n in (60, 64, 120, 128, 200, 512, 700)]  # below, the zeros that fill the unit outweigh the text
+    assert len(set(map(feature, short))) == len(short)
+    for n in (576, 640, 704, 960, 2048 + 192):  # the tail behind the last full frame
+        body = prose(n)
+        assert len({feature(body[:-60] + prose(60)) for _ in range(5)}) == 5
+        assert len({feature(prose(60) + body[60:]) for _ in range(5)}) == 5
+    for n in range(0, 1200, 7):
+        assert len(media.peaks(np.zeros(n + 1, np.uint8))) >= media.REACH + 1
+
+
 def test_token_counts(docs):
     import public_tokenizers
 
