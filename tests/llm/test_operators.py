@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 pytest.importorskip("tickerloom.llm")
 
-from tickerloom.llm import decontaminate, language_id, lm_score, media, packing, quality, secret_scan, simhash_dedup, substring_dedup, token_counts  # noqa: E402
+from tickerloom.llm import decontaminate, language_id, lm_score, media, packing, quality, relative_lz, secret_scan, simhash_dedup, substring_dedup, token_counts  # noqa: E402
 from tickerloom.llm import words as W  # noqa: E402
 from tickerloom.llm.components import components  # noqa: E402
 
@@ -69,24 +69,109 @@ def test_words_and_hashes():
     assert W.sliding_min(np.array([5, 3, 4, 9, 1, 7], np.uint64), 3).tolist() == [3, 3, 1, 1]
 
 
+def thue_morse(n: int) -> tuple[str, str]:
+    """Two words that any polynomial hash modulo a power of two takes for one."""
+    bits = [i.bit_count() % 2 for i in range(n)]
+    return "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+
+
+def test_hashes_tell_structured_words_apart_and_codes_compare_words(monkeypatch):
+    long = [x for n in (64, 200, 256, 257, 1024, 2048) for x in thue_morse(n)]
+    w = W.Words(pa.array([" ".join(long), " ".join(long)]), W.SPACE_WORD)
+    assert len(set(w.hashes().tolist())) == len(long)
+    hashes = W.span_hashes
+    monkeypatch.setattr(W, "span_hashes", lambda b, s, e, seed=0: hashes(b, s, e, seed) & np.uint64(15 if seed < 2 else 2**64 - 1))
+    _, code = w.codes()
+    assert len(set(code.tolist())) == len(long) and (code[: len(long)] == code[len(long) :]).all()
+
+
+def naive_factors(runs: list[list], ids: list[int], size: int) -> set:
+    """(run, start, length) of greedy factors, by scanning every reference for every cursor."""
+    out = set()
+    for r, own in enumerate(runs):
+        at = 0
+        while at + size <= len(own):
+            best = None
+            for i, other in sorted((ids[k], other) for k, other in enumerate(runs) if ids[k] < ids[r]):
+                for p in range(len(other) - size + 1):
+                    n = 0
+                    while at + n < len(own) and p + n < len(other) and own[at + n] == other[p + n]:
+                        n += 1
+                    if n >= size and best is None:  # the earliest reference that has the window
+                        best = (i, n)
+            if best is None:
+                at += 1
+            else:
+                out.add((r, at, best[1]))
+                at += best[1] - size + 1
+    return out
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_relative_lz_matches_a_naive_parser(monkeypatch, weak):
+    rng = random.Random(12)
+    base = [[rng.randrange(50) for _ in range(40)] for _ in range(5)]
+    runs = [*base]
+    for _ in range(25):
+        own = []
+        for _ in range(rng.randrange(1, 6)):
+            b = rng.choice(base)
+            a = rng.randrange(35)
+            own += b[a : a + rng.randrange(2, 20)]
+        runs.append(own)
+    ids = [rng.randrange(1000) * 31 + i for i in range(len(runs))]
+    if weak:  # windows that share a hash are found out by comparing words
+        rolled, calls = W.rolled, []
+        monkeypatch.setattr(W, "rolled", lambda h, n: (calls.append(1), rolled(h, n) & np.uint64(3 if len(calls) < 3 else 2**64 - 1))[1])
+    first = np.append(0, np.cumsum([len(r) for r in runs]))
+    begin, length, source = relative_lz.parse(np.concatenate(runs).astype(np.int64), first, np.array(ids), 4)
+    got = {(int(np.searchsorted(first, b, "right") - 1), int(b - first[np.searchsorted(first, b, "right") - 1]), int(n)) for b, n in zip(begin, length, strict=True)}
+    # of several places in the earliest reference any may be the source, so lengths may differ; coverage may not
+    cover = lambda factors: {(r, a + i) for r, a, n in factors for i in range(n)}
+    expected = naive_factors(runs, ids, 4)
+    assert cover(got) == cover(expected) and len(got) > 20
+    every = np.concatenate(runs)
+    assert all((every[b : b + n] == every[s : s + n]).all() for b, n, s in zip(begin, length, source, strict=True))
+
+
 def test_few_words_alone_in_a_chunk(spark):
-    """Each text is a chunk of its own, so that all numbers of words below and above a window's meet the minimizers alone."""
+    """Texts of all numbers of words below and above a window's, each alone in its batch."""
     values = W.mix(np.arange(14, dtype=np.uint64))
     for n in range(15):
         for size in range(1, 15):
             assert W.sliding_min(values[:n], size).tolist() == [values[i : i + size].min() for i in range(min(n, 14) - size + 1)]
     words = [f"w{i}" for i in range(14)]
     rows = [(100 * copy + n, " ".join(words[:n])) for copy in range(2) for n in range(15)]
+    deal = substring_dedup.Deal(48, 13, [])
     for n in range(15):
-        text = pa.array([rows[n][1]], pa.string())
-        chunk = pa.RecordBatch.from_pydict({"doc_id": [n], "text": text, "text_key": [n]})
-        assert sum(sum(b["n"].to_pylist()) for b in substring_dedup._loads([chunk], 13, 48)) == max(0, n - 12)
-        assert len(list(substring_dedup._offer([chunk], 13, 48))) == (n > 12)
+        chunk = pa.RecordBatch.from_pydict({"doc_id": [n], "text": pa.array([rows[n][1]], pa.string())})
+        (batch,) = substring_dedup._batches([chunk], 13, deal)
+        assert sum(batch["loads"].to_pylist()[0]) == max(0, n - 12)
+        assert len(list(substring_dedup._offer([batch], deal))) == (n > 12)
     got = {r.doc_id: r.n_removed for r in substring_dedup.remove_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(30)).collect()}
     assert got == {i: 13 if i == 14 else i - 100 if i in (113, 114) else 0 for i, _ in rows}
 
 
-@pytest.mark.parametrize("hot_windows", [substring_dedup.HOT_WINDOWS, 100])
+def test_substring_dedup_tells_structured_words_apart(spark):
+    a, b = thue_morse(2048)
+    rest = [f"w{i}" for i in range(12)]
+    docs = spark.createDataFrame([(1, " ".join([*rest, a])), (2, " ".join([*rest, b])), (3, " ".join([*rest, a]))], "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.n_removed for r in substring_dedup.remove_duplicates(docs).collect()} == {1: 0, 2: 0, 3: 13}
+
+
+def test_substring_rows_grow_with_the_input(monkeypatch):
+    """Rows for blocks at two sizes, with more blocks than any batch has pieces: never over the pieces."""
+    monkeypatch.setattr(substring_dedup, "BATCH_WORDS", 500)
+    rng = random.Random(1)
+    rows = []
+    for n in (20, 80):
+        chunk = pa.RecordBatch.from_pydict({"doc_id": list(range(n)), "text": [" ".join(f"w{rng.randrange(10**6)}" for _ in range(100)) for _ in range(n)]})
+        deal = substring_dedup.Deal(100 * n, 13, [])
+        rows.append(sum(b.num_rows for i in range(n) for x in substring_dedup._batches([chunk.slice(i, 1)], 13, deal) for b in substring_dedup._offer([x], deal)))
+    assert rows[1] < 4.4 * rows[0] and rows[1] < 80 * 88 / 3
+
+
+@pytest.mark.parametrize("hot_windows", [substring_dedup.HOT_WINDOWS, 400, 20])
 def test_substring_dedup(docs, hot_windows):
     rows = plain(docs)
     first: dict = {}
@@ -360,28 +445,45 @@ def test_landmarks_cover_short_payloads_and_tails():
         assert len(media.peaks(np.zeros(n + 1, np.uint8))) >= media.REACH + 1
 
 
+def best_segmentation(word: bytes, scores: dict[bytes, int]) -> tuple[int, int]:
+    """(micro-nats, tokens) by trying every piece before every end, from the word's end on."""
+    least = min(scores.values()) - token_counts.UNKNOWN
+    best = {len(word): (0, 0)}
+    for at in reversed(range(len(word))):
+        ways = [(scores.get(word[at : at + 1], least) + best[at + 1][0], best[at + 1][1] - 1)]
+        ways += [(scores[word[at:z]] + best[z][0], best[z][1] - 1) for z in range(at + 2, min(len(word), at + 60) + 1) if word[at:z] in scores]
+        best[at] = max(ways)
+    return best[0][0], -best[0][1]
+
+
 def test_token_counts(docs):
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")
-    pieces = token_counts.Pieces(token_counts.read_pieces(path))
+    scores = token_counts.read_pieces(path)
+    a, b = thue_morse(1024)
+    # words of every width, a script of three bytes a character, and words that a weak hash takes for one
+    odd = [(3000, "x" * 39 + " " + "x" * 40), (3001, "abcdefgh" * 60), (3002, "the" * 1500), (3003, "数据处理" * 9 + " " + "数据" * 80), (3004, f"{a} {b} {a}")]
+    more = docs.select("doc_id", "text").unionByName(docs.sparkSession.createDataFrame(odd, "doc_id long, text string"))
+    cache: dict = {}
     expected = []
-    for i, t in plain(docs):
+    for i, t in plain(more):
         w = SPACE.findall(t or "")
-        each = [pieces.one(token_counts.MARK + x.encode()) for x in w]
+        each = [cache.setdefault(x, best_segmentation(token_counts.MARK + x.encode(), scores)) if x not in cache else cache[x] for x in w]
         expected.append((i, len(w), sum(n for _, n in each), sum(s for s, _ in each)))
-    same([tuple(r) for r in token_counts.token_counts(docs, path).collect()], expected)
+    same([tuple(r) for r in token_counts.token_counts(more, path).collect()], expected)
     assert token_counts.token_counts(empty(docs), path).count() == 0
 
 
 def test_trie_shares_prefixes_without_changing_results():
-    pieces = token_counts.Pieces({b"a": -3, b"b": -4, b"ab": -5, b"abc": -20, b"ca": -6, token_counts.MARK + b"a": -4})
+    scores = {b"a": -3, b"b": -4, b"ab": -5, b"abc": -20, b"ca": -6, token_counts.MARK + b"a": -4}
+    pieces = token_counts.Pieces(scores)
     words = sorted({"".join(random.Random(i).choice("abcx") for _ in range(1 + i % 9)).encode() for i in range(200)})
-    letters = np.zeros((len(words), token_counts.WIDTH), np.uint8)
+    letters = np.zeros((len(words), token_counts.WIDTHS[0]), np.uint8)
     for i, w in enumerate(words):
         letters[i, : len(w)] = np.frombuffer(w, np.uint8)
     score, count = pieces.many(letters, np.array([len(w) for w in words]))
-    assert list(zip(score.tolist(), count.tolist(), strict=True)) == [pieces.one(w) for w in words]
+    assert list(zip(score.tolist(), count.tolist(), strict=True)) == [best_segmentation(w, scores) for w in words] == [pieces.one(w) for w in words]
 
 
 def test_secret_scan(spark, docs):

@@ -68,18 +68,6 @@ def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, lengths
 
 
-def pack(x: np.ndarray) -> bytes:
-    """Whole numbers compressed, byte plane by byte plane."""
-    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes(), "zstd", asbytes=True) if len(x) else b""
-
-
-def unpack(b: bytes, kind: type, n: int) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    if not n:
-        return np.zeros(0, kind)
-    return np.ascontiguousarray(np.frombuffer(pa.decompress(b, n * size, "zstd", asbytes=True), np.uint8).reshape(size, n).T).view(kind).reshape(n)
-
-
 def _code(batches: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.RecordBatch]:
     parts: list[tuple] = []
     tokens = 0
@@ -97,7 +85,7 @@ def _code(batches: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.RecordB
         key = uuid.uuid4().hex
         null = pa.nulls(1, pa.binary())
         yield pa.RecordBatch.from_pydict({
-            "batch": [key], "block": pa.array([-1], pa.int32()), "hashes": [distinct[often].tobytes()], "counts": null, "codes": [pack(place[code])],
+            "batch": [key], "block": pa.array([-1], pa.int32()), "hashes": [distinct[often].tobytes()], "counts": null, "codes": [W.pack(place[code])],
             "ids": [ids.tobytes()], "held": [held.tobytes()], "lengths": [lengths.astype(np.int64).tobytes()],
         })
         block = distinct % np.uint64(blocks)
@@ -107,7 +95,7 @@ def _code(batches: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.RecordB
             each = [order[a:z] for a, z in zip(bounds[i : i + SENT_ROWS], bounds[i + 1 : i + 1 + SENT_ROWS], strict=False)]
             null = pa.nulls(len(each), pa.binary())
             yield pa.RecordBatch.from_pydict({
-                "batch": [key] * len(each), "block": pa.array([int(block[own[0]]) for own in each], pa.int32()), "hashes": [distinct[own].tobytes() for own in each], "counts": [pack(counts[own]) for own in each],
+                "batch": [key] * len(each), "block": pa.array([int(block[own[0]]) for own in each], pa.int32()), "hashes": [distinct[own].tobytes() for own in each], "counts": [W.pack(counts[own]) for own in each],
                 "codes": null, "ids": null, "held": null, "lengths": null,
             })
 
@@ -127,7 +115,7 @@ class _Sums:
 
     def __init__(self, asked: pa.Table):
         hashes = [np.frombuffer(x.as_py(), np.uint64) for x in asked["hashes"]]
-        counts = [unpack(x.as_py(), np.int64, len(h)) for x, h in zip(asked["counts"], hashes, strict=True)]
+        counts = [W.unpack(x.as_py(), np.int64, len(h)) for x, h in zip(asked["counts"], hashes, strict=True)]
         self.distinct, code = np.unique(np.concatenate(hashes), return_inverse=True)
         self.total = np.bincount(code, np.concatenate(counts), len(self.distinct)).astype(np.int64)
         self.codes = np.split(code, np.cumsum([len(h) for h in hashes])[:-1])
@@ -145,21 +133,21 @@ def _count(asked: pa.Table, classes: int) -> pa.Table:
     top = top[own.total[top] > 0]
     summary = {"total": int(own.total.sum()), "distinct": int((own.total > 0).sum()), "top_hash": own.distinct[top].view(np.int64).tolist(), "top_count": own.total[top].tolist()}
     none = {"total": 0, "distinct": 0, "top_hash": [], "top_count": []}
-    return _answer_table([{"batch": batch, "block": block, "counts": pack(own.total[code])} | (none if i else summary)
+    return _answer_table([{"batch": batch, "block": block, "counts": W.pack(own.total[code])} | (none if i else summary)
                           for i, (batch, block, code) in enumerate(zip(asked["batch"].to_pylist(), asked["block"].to_pylist(), own.codes, strict=True))])
 
 
 def _share_counts(asked: pa.Table) -> pa.Table:
     """The counts of a share of a block's rows, as one row that stands for them."""
     own = _Sums(asked)
-    return pa.table({"batch": [str(asked["share"][0].as_py())], "block": asked["block"][:1], "hashes": pa.array([own.distinct.tobytes()], pa.binary()), "counts": pa.array([pack(own.total)], pa.binary())})
+    return pa.table({"batch": [str(asked["share"][0].as_py())], "block": asked["block"][:1], "hashes": pa.array([own.distinct.tobytes()], pa.binary()), "counts": pa.array([W.pack(own.total)], pa.binary())})
 
 
 def _share_answers(asked: pa.Table, found: pa.Table) -> pa.Table:
     """Answer a share's rows from the answer that their share got."""
     own = _Sums(asked)
-    total = unpack(found["counts"][0].as_py(), np.int64, len(own.distinct))
-    return pa.table({"batch": asked["batch"], "block": asked["block"], "counts": pa.array([pack(total[code]) for code in own.codes], pa.binary())})
+    total = W.unpack(found["counts"][0].as_py(), np.int64, len(own.distinct))
+    return pa.table({"batch": asked["batch"], "block": asked["block"], "counts": pa.array([W.pack(total[code]) for code in own.codes], pa.binary())})
 
 
 def _counted(asked: DataFrame, batches: int, sum_rows: int) -> tuple[DataFrame, DataFrame]:
@@ -263,9 +251,9 @@ def _scores(rows: pa.Table, blocks: int, classes: Classes, tables, total: int, d
     of = (hashes % np.uint64(blocks)).astype(np.int64)
     place, sizes = np.lexsort((hashes, of)), np.unique(of, return_counts=True)[1].tolist()
     answers = rows.filter(pa.array(block >= 0)).select(["block", "counts"]).sort_by("block")["counts"].to_pylist()
-    c[place] = np.concatenate([unpack(x, np.int64, n) for x, n in zip(answers, sizes, strict=True)])
+    c[place] = np.concatenate([W.unpack(x, np.int64, n) for x, n in zip(answers, sizes, strict=True)])
     lengths = np.frombuffer(own["lengths"], np.int64)
-    code = unpack(own["codes"], np.uint32, int(lengths.sum()))
+    code = W.unpack(own["codes"], np.uint32, int(lengths.sum()))
     klass = classes.of(hashes)
     log = np.log10((c + SMOOTHING) / (total + SMOOTHING * (distinct + 1)))
     inside = np.where(klass == 0, np.log10((c + SMOOTHING) / (other_total + SMOOTHING * (other_distinct + 1))), 0)

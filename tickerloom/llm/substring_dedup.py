@@ -1,28 +1,35 @@
 """Operator 9: duplicate word spans by relative Lempel-Ziv parsing against indexed reference blocks.
 
-A document is parsed into factors: runs of words that also stand in the reference, which is all documents
-with smaller ids. To keep this linear in the corpus, the reference is dealt into blocks by content. Each
-window of `size` words belongs to the block of its minimizer (the least hash of its three-word runs), so equal
-windows always meet in one block, and neighbouring windows mostly share one, so that a document reaches a block
-as a few factors instead of single windows. A block indexes the earliest occurrence of each window and parses
-every factor offered to it greedily: a phrase goes on while the windows stand in the reference, and breaks
-at the first that doesn't. Windows across a factor's boundary belong to another block, which judges them by
-its own index, so no boundary hides a match. Batches drop their own repeats before anything is
-shuffled: a passage that a third of all documents share reaches its block once a batch, not once a document.
-
-A frequent run of three words may be the minimizer of any number of windows. The windows of every block are
-therefore counted first. A block of over HOT_WINDOWS is worked in two steps: its batches are dealt into groups of bounded size,
-each of which drops its own repeats and deals what is left by the hashes of the windows, so that neither different
-windows behind one minimizer nor a window that every batch holds meets in one task.
+A document is factored greedily into the longest runs of words that also stand in the reference, which is all
+documents with smaller ids; factors of `size` words and more are its duplicate spans (relative_lz). A parse
+against every block of a large corpus would take the square of its size, so the reference is dealt into blocks by
+content: each window of `size` words belongs to the block of its minimizer (the least hash of its three-word
+runs). Equal windows then always meet in one block, and a piece of a document has to be parsed only against the block
+that can hold its windows. A block's reference is the words of all pieces dealt to it, indexed by the earliest
+position of each window; factors are found by comparing words. A piece holds whole windows, and the cursor of a
+parse stops at every window across a factor's end, so neither boundaries of factors nor of pieces hide a match.
+
+A batch of documents is a block by itself first: what it repeats is known before anything is shuffled, so a passage
+that a third of all documents share reaches its block once a batch, not once a document. Pieces travel as
+compressed text. Blocks name spans by batch and place in it, so that spans meet their texts batch by batch.
+
+A frequent run of three words may be the minimizer of any number of windows. What each block will get is therefore
+counted. The windows of a block of over HOT_WINDOWS are dealt again, by the minimizer of their runs of eight words, and
+those of a part that is still too large by the whole window; neither changes which windows are equal.
+A batch sends a block one row, and never more rows than it has pieces, so rows grow with the input at most.
 
 Results by case: a null text has no words; a null doc_id has no order, so its row is kept whole and removes
 nothing from others; rows with one doc_id don't remove each other's words (none is smaller), and a repeated row
-gets the result once for each row; an empty table gives an empty result; other columns are passed over.
+gets the result once for each row; a very long text is a batch of its own, worked in memory of about 100 bytes a
+word; ties don't arise, as any earliest occurrence gives the same spans; an empty table gives an empty result; other
+columns are passed over.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,258 +37,245 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickerloom.llm import relative_lz
 from tickerloom.llm import words as W
 from tickerloom.llm.tables import block_count, saved, text_bytes
 
-#: Words whose windows are deduplicated together before they are sent to their blocks.
-BATCH_WORDS = 1_500_000
-MINIMIZER_WORDS = 3
-BLOCK_BYTES = 6 << 20
+#: Words of the documents that are parsed against each other before they are sent to their blocks.
+BATCH_WORDS = 1_000_000
+#: Words of the runs whose least hash deals a window, at first and for what is dealt again.
+MINIMIZER_WORDS = (3, 8)
+BLOCK_BYTES = 4 << 20
 #: Windows of a block that one task may hold.
-HOT_WINDOWS = 3_000_000
-#: Bytes and rows of an Arrow batch of offers.
+HOT_WINDOWS = 1_500_000
+#: Bytes and rows of an Arrow batch of pieces.
 SENT_BYTES, SENT_ROWS = 1 << 20, 1000
 
-OFFER = "block int, ids binary, keys binary, doc binary, start binary, length binary, windows binary, known boolean"
-SPAN = "doc_id long, text_key long, start int, until int"
+BATCH = "batch string, docs binary, n int, doc binary, start binary, until binary, blocks array<long>, loads array<long>"
+PIECES = "batch string, block long, n int, bytes long, doc binary, id binary, start binary, words binary"
+SPANS = "batch string, n int, doc binary, start binary, until binary"
+
+#: Ends a piece in a block's text; no UTF-8 text has this byte.
+_END = 0xFF
+_PIECE_WORD = W.SPACE_WORD.copy()
+_PIECE_WORD[_END] = False
+
+
+class Deal:
+    """The block of each window. hot: for each level of dealing again, the keys of blocks and into how many parts each goes."""
+
+    def __init__(self, blocks: int, size: int, hot: list[dict[int, int]]):
+        self.blocks, self.size = blocks, size
+        self.hot = [(np.array(sorted(x), np.int64), np.array([x[k] for k in sorted(x)], np.uint64)) for x in hot]
+
+    def of(self, h: np.ndarray, ok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The block of each whole window, from the hashes of the words, and whether all levels dealt it."""
+        least = lambda n: W.sliding_min(W.rolled(h, n), self.size - n + 1)[: len(ok)][ok]
+        runs = [min(n, self.size) for n in (*MINIMIZER_WORDS, self.size)]
+        key = (least(runs[0]) % np.uint64(self.blocks)).astype(np.int64)
+        dealt = np.ones(len(key), bool)
+        for (keys, parts), n in zip(self.hot, runs[1:], strict=False):
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            dealt &= keys[at] == key
+            own = np.flatnonzero(dealt)
+            part = W.mix(least(n)[own]) % parts[at[own]]
+            key[own] = (W.mix(key[own].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + part) >> np.uint64(1)).astype(np.int64)
+        return key, dealt
+
+
+class _Docs:
+    """The words of a batch's documents; those without an id have none here."""
+
+    def __init__(self, docs: pa.RecordBatch, size: int):
+        self.ids = docs["doc_id"].fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        texts = pa.compute.if_else(docs["doc_id"].is_valid(), docs["text"], pa.scalar(None, docs["text"].type))
+        self.w = W.Words(texts, W.SPACE_WORD)
+        self.size = size
+        self.text_of = self.w.text_of()
+
+    def known(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, start, until) of the factors that stand in the batch's own documents of smaller id."""
+        begin, length, _ = relative_lz.parse(self.w.codes()[1], self.w.first, self.ids, self.size)
+        doc = self.text_of[begin]
+        start = begin - self.w.first[doc]
+        return doc.astype(np.int32), start.astype(np.int32), (start + length).astype(np.int32)
+
+    def open_windows(self, known: tuple[np.ndarray, ...], deal: Deal) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First words and blocks of the windows that no known factor covers, and whether all levels dealt them."""
+        ok = W.whole_windows(self.text_of, self.size)
+        doc, start, until = known
+        steps = np.zeros(len(self.w) + 1, np.int64)
+        np.add.at(steps, self.w.first[doc] + start, 1)
+        np.add.at(steps, self.w.first[doc] + until - self.size + 1, -1)
+        ok &= np.cumsum(steps)[: len(ok)] == 0
+        block, dealt = deal.of(self.w.hashes(), ok)
+        return np.flatnonzero(ok), block, dealt
+
+    def pieces(self, at: np.ndarray, block: np.ndarray) -> Iterator[dict]:
+        """A row for each block: runs of neighbouring windows of one document, as text."""
+        if not len(at):
+            return
+        breaks = np.append(True, (np.diff(at) != 1) | (np.diff(block) != 0) | (np.diff(self.text_of[at]) != 0))
+        heads = np.flatnonzero(breaks)
+        first, last = at[heads], at[np.append(heads[1:], len(at)) - 1] + self.size - 1
+        a, z, doc = self.w.starts[first], self.w.ends[last], self.text_of[first]
+        start = (first - self.w.first[doc]).astype(np.int32)
+        data = self.w.buf.tobytes()
+        order = np.argsort(block[heads], kind="stable")
+        bounds = np.append(np.flatnonzero(np.append(True, np.diff(block[heads][order]) != 0)), len(order))
+        for i, j in zip(bounds[:-1], bounds[1:], strict=True):
+            own = order[i:j]
+            words = b"".join(data[x:y] + b"\xff" for x, y in zip(a[own].tolist(), z[own].tolist(), strict=True))
+            yield {"block": int(block[heads[own[0]]]), "n": len(own), "bytes": len(words), "doc": W.pack(doc[own].astype(np.int32)), "id": W.pack(self.ids[doc[own]]), "start": W.pack(start[own]), "words": pa.compress(words, "zstd", asbytes=True)}
+
+
+def _written(docs: list[pa.RecordBatch]) -> bytes:
+    whole = pa.Table.from_batches(docs).combine_chunks().to_batches()[0]
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, whole.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(whole)
+    return sink.getvalue().to_pybytes()
+
+
+def _read(docs: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(docs).read_next_batch()
+
+
+def _batches(batches: Iterator[pa.RecordBatch], size: int, deal: Deal) -> Iterator[pa.RecordBatch]:
+    """Batches of documents with their known factors and how many windows they have left for each block."""
+
+    def row(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        written = _written(held)
+        docs = _Docs(_read(written), size)
+        known = docs.known()
+        blocks, loads = np.unique(docs.open_windows(known, deal)[1], return_counts=True)
+        doc, start, until = map(W.pack, known)
+        return pa.RecordBatch.from_pylist([{"batch": uuid.uuid4().hex, "docs": written, "n": len(known[0]), "doc": doc, "start": start, "until": until, "blocks": blocks.tolist(), "loads": loads.tolist()}], schema=_BATCH_SCHEMA)
+
+    held, words = [], 0
+    for chunk in W.chunks(batches):
+        held.append(chunk.select(["doc_id", "text"]))
+        words += len(W.Words(chunk["text"], W.SPACE_WORD))
+        if words >= BATCH_WORDS:
+            yield row(held)
+            held, words = [], 0
+    if held:
+        yield row(held)
 
 
-def _runs(broken: np.ndarray) -> np.ndarray:
-    """Where each run begins, and the end; broken: whether each element begins one."""
-    return np.append(np.flatnonzero(broken), len(broken))
+_BATCH_SCHEMA = pa.schema([("batch", pa.string()), ("docs", pa.binary()), ("n", pa.int32()), ("doc", pa.binary()), ("start", pa.binary()), ("until", pa.binary()), ("blocks", pa.list_(pa.int64())), ("loads", pa.list_(pa.int64()))])
 
 
-def _minimizers(h: np.ndarray, ok: np.ndarray, size: int) -> np.ndarray:
-    """The minimizer of each whole window, from the hashes of the words."""
-    return W.sliding_min(W.rolled(h, MINIMIZER_WORDS), size - MINIMIZER_WORDS + 1)[: len(ok)][ok]
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
 
 
-def _loads(batches: Iterator[pa.RecordBatch], size: int, blocks: int) -> Iterator[pa.RecordBatch]:
-    """How many windows a run of documents has for each block, repeats included."""
-    for chunk in W.chunks(batches):
-        w = W.Words(chunk["text"], W.SPACE_WORD)
-        block = _minimizers(w.hashes(), W.whole_windows(w.text_of(), size), size) % np.uint64(blocks)
-        own, n = np.unique(block.astype(np.int32), return_counts=True)
-        yield pa.RecordBatch.from_pydict({"block": pa.array(own, pa.int32()), "n": pa.array(n, pa.int64())})
-
-
-class _Batch:
-    """Windows of some documents."""
-
-    def __init__(self):
-        self.parts: list[tuple[np.ndarray, ...]] = []
-        self.ids: list[np.ndarray] = []
-        self.keys: list[np.ndarray] = []
-        self.docs = self.words = 0
-
-    def add(self, chunk: pa.RecordBatch, size: int) -> None:
-        w = W.Words(chunk["text"], W.SPACE_WORD)
-        text_of = w.text_of()
-        ok = W.whole_windows(text_of, size)
-        h = w.hashes()
-        windows = W.rolled(h, size)[ok]
-        short = _minimizers(h, ok, size)
-        at = np.flatnonzero(ok)
-        doc = text_of[at]
-        self.parts.append((windows, short, (doc + self.docs).astype(np.int32), (at - w.first[doc]).astype(np.int32)))
-        self.ids.append(chunk["doc_id"].to_numpy(zero_copy_only=False).astype(np.int64))
-        self.keys.append(chunk["text_key"].to_numpy(zero_copy_only=False))
-        self.docs += chunk.num_rows
-        self.words += len(w)
-
-    def offers(self, size: int, blocks: int) -> Iterator[tuple]:
-        """For each block the windows that are the batch's first, in factors; and the spans of the others."""
-        if not self.parts:
-            return
-        windows, short, doc, start = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-        ids, keys = np.concatenate(self.ids), np.concatenate(self.keys)
-        if not len(windows):
-            return
-        order = np.argsort(windows)
-        of = ids[doc[order]]
-        ends = _runs(np.append(True, np.diff(windows[order]) != 0))
-        least = np.minimum.reduceat(of, ends[:-1])
-        later = np.empty(len(windows), bool)
-        later[order] = of > np.repeat(least, np.diff(ends))
-        new_doc = np.append(True, (np.diff(doc) != 0) | (np.diff(start) != 1))
-
-        runs = _runs(new_doc | np.append(True, np.diff(later)))
-        known = runs[:-1][later[runs[:-1]]]
-        if len(known):
-            length = np.diff(runs)[later[runs[:-1]]]
-            d, inverse = np.unique(doc[known], return_inverse=True)
-            yield int(windows[0] % np.uint64(blocks)), ids[d], keys[d], inverse.astype(np.int32), start[known], length.astype(np.int32), None, True
-
-        kept = np.flatnonzero(~later)
-        if not len(kept):
-            return
-        broken = new_doc[kept] | np.append(True, np.diff(kept) != 1) | np.append(True, np.diff(short[kept]) != 0)
-        runs = _runs(broken)
-        length = np.diff(runs)
-        block = (short[kept[runs[:-1]]] % np.uint64(blocks)).astype(np.int64)
-        dealt = np.argsort(block, kind="stable")
-        bounds = _runs(np.append(True, np.diff(block[dealt]) != 0))
-        for a, z in zip(bounds[:-1], bounds[1:], strict=True):
-            own = dealt[a:z]
-            n = length[own]
-            take = kept[np.repeat(runs[own] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())]
-            first = kept[runs[own]]
-            d, inverse = np.unique(doc[first], return_inverse=True)
-            yield int(block[own[0]]), ids[d], keys[d], inverse.astype(np.int32), start[first], n.astype(np.int32), windows[take], False
-
-
-def _offer(batches: Iterator[pa.RecordBatch], size: int, blocks: int) -> Iterator[pa.RecordBatch]:
-    def sent(rows: list[tuple]) -> pa.RecordBatch:
-        block, *arrays, known = zip(*rows, strict=True)
-        packed = [pa.array([None if x is None else x.tobytes() for x in column], pa.binary()) for column in arrays]
-        return pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), *packed, pa.array(known)], ["block", "ids", "keys", "doc", "start", "length", "windows", "known"])
-
-    def rows(batch: _Batch) -> Iterator[pa.RecordBatch]:
+def _known(row: dict) -> tuple[np.ndarray, ...]:
+    return tuple(W.unpack(row[k], np.int32, row["n"]) for k in ("doc", "start", "until"))
+
+
+def _recount(batches: Iterator[pa.RecordBatch], deal: Deal) -> Iterator[pa.RecordBatch]:
+    """How many windows each block of the last level gets from a batch."""
+    for row in _each(batches):
+        _, block, dealt = _Docs(_read(row["docs"]), deal.size).open_windows(_known(row), deal)
+        own, n = np.unique(block[dealt], return_counts=True)
+        yield pa.RecordBatch.from_pydict({"block": own, "n": n})
+
+
+def _offer(batches: Iterator[pa.RecordBatch], deal: Deal) -> Iterator[pa.RecordBatch]:
+    kinds = pa.schema([("batch", pa.string()), ("block", pa.int64()), ("n", pa.int32()), ("bytes", pa.int64()), *((k, pa.binary()) for k in ("doc", "id", "start", "words"))])
+    for row in _each(batches):
+        docs = _Docs(_read(row["docs"]), deal.size)
+        at, block, _ = docs.open_windows(_known(row), deal)
         own, room = [], SENT_BYTES
-        for offer in batch.offers(size, blocks):
-            own.append(offer)
-            room -= sum(x.nbytes for x in offer[1:-1] if x is not None)
+        for piece in docs.pieces(at, block):
+            own.append({"batch": row["batch"]} | piece)
+            room -= len(piece["words"])
             if room <= 0 or len(own) == SENT_ROWS:
-                yield sent(own)
+                yield pa.RecordBatch.from_pylist(own, schema=kinds)
                 own, room = [], SENT_BYTES
         if own:
-            yield sent(own)
-
-    batch = _Batch()
-    for chunk in W.chunks(batches):
-        batch.add(chunk, size)
-        if batch.words >= BATCH_WORDS:
-            yield from rows(batch)
-            batch = _Batch()
-    yield from rows(batch)
-
-
-class _Factors:
-    """The factors of some offers, the spans already known, and which windows have an earlier document among them."""
-
-    def __init__(self, offered: pa.Table, size: int):
-        windows, self.spans = [np.zeros(0, np.uint64)], []
-        arrays = [[np.zeros(0, kind)] for kind in (np.int64, np.int64, np.int32, np.int32)]
-        for row in offered.to_pylist():
-            ids, keys = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["keys"], np.int64)
-            doc, start, length = (np.frombuffer(row[k], np.int32) for k in ("doc", "start", "length"))
-            if row["known"]:
-                self.spans.append((ids[doc], keys[doc], start, start + length + np.int32(size - 1)))
-                continue
-            windows.append(np.frombuffer(row["windows"], np.uint64))
-            for into, x in zip(arrays, (ids[doc], keys[doc], start, length), strict=True):
-                into.append(x)
-        self.windows = np.concatenate(windows)
-        self.ids, self.keys, self.start, length = (np.concatenate(x) for x in arrays)
-        self.factor = np.repeat(np.arange(len(self.ids)), length)
-        self.place = self.start[self.factor] + (np.arange(len(self.windows)) - np.append(0, np.cumsum(length)[:-1])[self.factor]).astype(np.int32) if len(self.ids) else np.zeros(0, np.int32)
-        order = np.argsort(self.windows)
-        of = self.ids[self.factor[order]]
-        self.later = np.zeros(len(order), bool)
-        if len(order):
-            ends = _runs(np.append(True, np.diff(self.windows[order]) != 0))
-            self.later[order] = of > np.repeat(np.minimum.reduceat(of, ends[:-1]), np.diff(ends))
-
-    def runs(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The windows at ascending places as runs of neighbours in one factor: the first of each, and their lengths."""
-        if not len(at):
-            return at, at
-        ends = _runs(np.append(True, (np.diff(at) != 1) | (np.diff(self.factor[at]) != 0)))
-        return at[ends[:-1]], np.diff(ends)
-
-    def found(self, size: int) -> list[tuple[np.ndarray, ...]]:
-        """Spans of (document, text, start, until): the known ones and those of windows with an earlier document."""
-        begin, n = self.runs(np.flatnonzero(self.later))
-        f = self.factor[begin]
-        return [*self.spans, (self.ids[f], self.keys[f], self.place[begin], (self.place[begin] + n + size - 1).astype(np.int32))]
-
-    def offer(self, at: np.ndarray) -> dict[str, bytes]:
-        """The windows at ascending places as an offer."""
-        begin, n = self.runs(at)
-        f = self.factor[begin]
-        return {"ids": self.ids[f].tobytes(), "keys": self.keys[f].tobytes(), "doc": np.arange(len(f), dtype=np.int32).tobytes(), "start": self.place[begin].tobytes(), "length": n.astype(np.int32).tobytes(), "windows": self.windows[at].tobytes()}
+            yield pa.RecordBatch.from_pylist(own, schema=kinds)
 
 
 def _parse(offered: pa.Table, size: int) -> pa.Table:
-    """Index a block's windows by their earliest document and parse the factors against it."""
-    columns = [np.concatenate(x) for x in zip(*_Factors(offered, size).found(size), strict=True)]
-    return pa.table(dict(zip(("doc_id", "text_key", "start", "until"), columns, strict=True)))
-
-
-def _thin(offered: pa.Table, size: int) -> pa.Table:
-    """Some offers of a hot block without their own repeats, which become known spans, dealt into parts by the windows."""
-    block, parts = offered["block"][0].as_py(), offered["parts"][0].as_py()
-    own = _Factors(offered, size)
-    ids, keys, start, until = (np.concatenate(x) for x in zip(*own.found(size), strict=True))
-    known = {"ids": ids.tobytes(), "keys": keys.tobytes(), "doc": np.arange(len(ids), dtype=np.int32).tobytes(), "start": start.tobytes(), "length": (until - start - size + 1).astype(np.int32).tobytes(), "windows": None}
-    rows = [known | {"block": block, "part": offered["salt"][0].as_py(), "known": True}] if len(ids) else []
-    left = np.flatnonzero(~own.later)
-    part = (W.mix(own.windows[left]) % np.uint64(parts)).astype(np.int64)
-    dealt = np.argsort(part, kind="stable")
-    bounds = _runs(np.append(True, np.diff(part[dealt]) != 0)) if len(left) else [0]
-    for a, z in zip(bounds[:-1], bounds[1:], strict=True):
-        rows.append(own.offer(left[dealt[a:z]]) | {"block": block, "part": int(part[dealt[a]]), "known": False})
-    kinds = [("block", pa.int32()), *((k, pa.binary()) for k in ("ids", "keys", "doc", "start", "length", "windows")), ("known", pa.bool_()), ("part", pa.int32())]
-    return pa.Table.from_pylist(rows, schema=pa.schema(kinds))
-
-
-def duplicate_spans(docs: DataFrame, size: int = 13, hot_windows: int = HOT_WINDOWS) -> DataFrame:
-    """(doc_id, text_key, start, until): spans of words, from start to before until, that windows of size words cover whose words also start in a document with a smaller doc_id. Spans of one text may touch and overlap; text_key is xxhash64 of the text."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    blocks = block_count(text_bytes(docs), BLOCK_BYTES)
-    known = docs.where("doc_id is not null and text is not null")
-    loads = known.select("text").mapInArrow(lambda batches: _loads(batches, size, blocks), "block int, n long")
-    hot = saved(loads.groupBy("block").agg(F.sum("n").alias("n")).where(F.col("n") > hot_windows).select("block", F.ceil(2 * F.col("n") / hot_windows).cast("int").alias("parts")), "hot")
-    keyed = known.withColumn("text_key", F.xxhash64("text"))
-    offers = keyed.mapInArrow(lambda batches: _offer(batches, size, blocks), OFFER)
-    parse = lambda offered: _parse(offered, size)
-    if hot.isEmpty():
-        return offers.groupBy("block").applyInArrow(parse, SPAN)
-    offers = saved(offers, "offers")
-    dealt = offers.join(hot, "block").withColumn("salt", F.pmod(F.xxhash64("ids", "start"), F.col("parts")).cast("int"))
-    thinned = dealt.groupBy("block", "salt").applyInArrow(lambda offered: _thin(offered, size), OFFER + ", part int")
-    rest = offers.join(hot, "block", "left_anti").groupBy("block").applyInArrow(parse, SPAN)
-    return rest.unionByName(thinned.groupBy("block", "part").applyInArrow(parse, SPAN))
-
-
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Remove the spans; see remove_duplicates."""
-    for chunk in W.chunks(batches):
-        w = W.Words(chunk["text"], W.SPACE_WORD)
-        spans = chunk["spans"]
-        lengths = np.diff(spans.offsets.to_numpy())
-        flat = spans.values
-        base = int(spans.offsets[0].as_py())
-        flat = flat.slice(base, int(lengths.sum()))
-        steps = np.zeros(len(w) + 1, np.int64)
-        if len(flat):
-            first = np.repeat(w.first[:-1], lengths)
-            np.add.at(steps, first + flat.field("start").to_numpy(), 1)
-            np.add.at(steps, first + flat.field("until").to_numpy(), -1)
-        gone = np.cumsum(steps)[:-1] > 0
-        stay = np.flatnonzero(~gone)
-        marks = np.zeros(len(w.buf) + 1, np.int8)
-        marks[w.starts[stay]] = 1
-        marks[w.ends[stay] + 1] -= 1  # each word takes the byte behind it along, as a space
-        mask = np.cumsum(marks[:-1]).astype(bool)
-        text = np.where(W.SPACE_WORD[w.buf], w.buf, 0x20)[mask].tobytes()
-        to = np.append(0, np.cumsum(mask))[w.texts]
-        removed = np.append(0, np.cumsum(gone))[w.first]
-        texts = [text[a : max(a, z - 1)] for a, z in zip(to[:-1], to[1:], strict=True)]
-        yield pa.RecordBatch.from_pydict({
-            "doc_id": chunk["doc_id"], "kept": pa.array([x.decode() for x in texts], pa.string()),
-            "n_words": np.diff(w.first), "n_removed": np.diff(removed),
-            "kept_sha256": [hashlib.sha256(x).hexdigest() for x in texts],
-        })
+    """Index the words of a block and parse each of its pieces against those of smaller ids."""
+    rows = offered.to_pylist()
+    counts = np.array([r["n"] for r in rows])
+    doc, start = (np.concatenate([W.unpack(r[k], np.int32, r["n"]) for r in rows]) for k in ("doc", "start"))
+    ids = np.concatenate([W.unpack(r["id"], np.int64, r["n"]) for r in rows])
+    buf = np.concatenate([np.frombuffer(pa.decompress(r["words"], r["bytes"], "zstd", asbytes=True), np.uint8) for r in rows])
+    starts, ends = W.spans(buf, _PIECE_WORD)
+    first = np.append(0, np.searchsorted(starts, np.flatnonzero(buf == _END)))
+    begin, length, _ = relative_lz.parse(W.span_codes(buf, starts, ends)[1], first, ids, size)
+    order = np.argsort(begin)
+    begin, length = begin[order], length[order]
+    piece = np.searchsorted(first, begin, "right") - 1
+    at = (start[piece] + begin - first[piece]).astype(np.int32)
+    bounds = np.searchsorted(piece, np.append(0, np.cumsum(counts)))
+    out = [{"batch": r["batch"], "n": int(z - a), "doc": W.pack(doc[piece[a:z]]), "start": W.pack(at[a:z]), "until": W.pack((at[a:z] + length[a:z]).astype(np.int32))} for r, a, z in zip(rows, bounds[:-1], bounds[1:], strict=True) if z > a]
+    return pa.Table.from_pylist(out, schema=pa.schema([("batch", pa.string()), ("n", pa.int32()), *((k, pa.binary()) for k in ("doc", "start", "until"))]))
+
+
+def _dealt(batches: DataFrame, blocks: int, size: int, hot_windows: int) -> Deal:
+    """The deal by which no block gets over hot_windows windows, but for equal ones of different batches.
+
+    Each hot block has over hot_windows windows, so their list is shorter than the input's words over that number.
+    """
+    hot: list[dict[int, int]] = []
+    loads = batches.select(F.explode(F.arrays_zip("blocks", "loads")).alias("x")).select(F.col("x.blocks").alias("block"), F.col("x.loads").alias("n"))
+    for _ in range(2):
+        over = {r.block: math.ceil(2 * r.n / hot_windows) for r in loads.groupBy("block").agg(F.sum("n").alias("n")).where(F.col("n") > hot_windows).collect()}
+        if not over:
+            break
+        hot.append(over)
+        deal = Deal(blocks, size, hot)
+        loads = batches.select("docs", "n", "doc", "start", "until").mapInArrow(lambda b, deal=deal: _recount(b, deal), "block long, n long")
+    return Deal(blocks, size, hot)
+
+
+def _cut(docs: pa.RecordBatch, doc: np.ndarray, start: np.ndarray, until: np.ndarray) -> pa.Table:
+    """The documents of a batch without the words of the spans."""
+    w = W.Words(docs["text"], W.SPACE_WORD)
+    steps = np.zeros(len(w) + 1, np.int64)
+    np.add.at(steps, w.first[doc] + start, 1)
+    np.add.at(steps, w.first[doc] + until, -1)
+    gone = np.cumsum(steps)[:-1] > 0
+    stay = np.flatnonzero(~gone)
+    marks = np.zeros(len(w.buf) + 1, np.int8)
+    marks[w.starts[stay]] = 1
+    marks[w.ends[stay] + 1] -= 1  # each word takes the byte behind it along, as a space
+    mask = np.cumsum(marks[:-1]).astype(bool)
+    text = np.where(W.SPACE_WORD[w.buf], w.buf, 0x20)[mask].tobytes()
+    to = np.append(0, np.cumsum(mask))[w.texts]
+    removed = np.append(0, np.cumsum(gone))[w.first]
+    texts = [text[a : max(a, z - 1)] for a, z in zip(to[:-1], to[1:], strict=True)]
+    return pa.table({
+        "doc_id": docs["doc_id"], "kept": pa.array([x.decode() for x in texts], pa.string()), "n_words": np.diff(w.first), "n_removed": np.diff(removed),
+        "kept_sha256": [hashlib.sha256(x).hexdigest() for x in texts],
+    })
+
+
+def _answer(rows: pa.Table) -> pa.Table:
+    """Cut a batch by its known factors and by those that blocks found."""
+    rows = rows.to_pylist()
+    spans = [np.concatenate(x) for x in zip(*map(_known, rows), strict=True)]
+    return _cut(_read(next(r["docs"] for r in rows if r["docs"] is not None)), *spans)
 
 
 def remove_duplicates(docs: DataFrame, size: int = 13, hot_windows: int = HOT_WINDOWS) -> DataFrame:
     """(doc_id, kept, n_words, n_removed, kept_sha256) of each row: its words without duplicate spans, joined by one space."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    spans = duplicate_spans(docs, size, hot_windows).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "until")).alias("spans"))
-    keyed = docs.withColumn("text_key", F.xxhash64("text"))
-    both = keyed.join(spans, ["doc_id", "text_key"], "left").select("doc_id", "text", F.coalesce("spans", F.array().cast("array<struct<start:int,until:int>>")).alias("spans"))
-    return both.mapInArrow(_cut, "doc_id long, kept string, n_words long, n_removed long, kept_sha256 string")
+    blocks = block_count(text_bytes(docs), BLOCK_BYTES)
+    plain = Deal(blocks, size, [])
+    batches = saved(docs.mapInArrow(lambda b: _batches(b, size, plain), BATCH), "batches")
+    deal = _dealt(batches, blocks, size, hot_windows)
+    own = batches.select("batch", "docs", "n", "doc", "start", "until")
+    spans = own.mapInArrow(lambda b: _offer(b, deal), PIECES).groupBy("block").applyInArrow(lambda x: _parse(x, size), SPANS)
+    both = own.unionByName(spans, allowMissingColumns=True)
+    return both.groupBy("batch").applyInArrow(_answer, "doc_id long, kept string, n_words long, n_removed long, kept_sha256 string")
 
 
 def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:

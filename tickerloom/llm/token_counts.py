@@ -5,15 +5,17 @@ a prefix is the best, over the pieces that may end it, of the score before the p
 distinct pre-tokens of a run of documents are sorted, which lays out their trie: a prefix shared with the word
 before is a node that exists already, so its forward score is computed once and carried along; terminal nodes
 hold the counts, and the documents only add them up. Depths are worked through in numpy, all nodes of one at once.
-The sizes of runs bound memory; nothing is shuffled.
+Words of similar length share a trie, so that a long one doesn't widen all others. Pieces are matched byte by byte
+in a trie of their reversed spellings. The sizes of runs bound memory; nothing is shuffled.
 
 The vocabulary is a public one, read from a path, never trained. It comes without probabilities, so a piece of
 rank r is given Zipf's share, 1 / (r + ZIPF), as whole micro-nats: sums are exact and ties are decided alike
 everywhere (fewer tokens first). A byte that no piece covers is a token of its own at UNKNOWN below the least score.
 
 Results by case: null and empty texts have no tokens; repeated rows and null doc_ids stay, each with its result; an
-empty table gives an empty result; pre-tokens of over WIDTH bytes take the same recurrence one by one; other
-columns are passed over.
+empty table gives an empty result; a pre-token of over the last of WIDTHS bytes shares no prefix and takes the same
+recurrence by itself, in time and memory linear in its length; of segmentations of equal score the one with the
+fewest tokens counts; other columns are passed over.
 """
 
 from __future__ import annotations
@@ -30,7 +32,9 @@ from tickerloom.llm.tables import table
 
 ZIPF = 2.7
 UNKNOWN = 10_000_000
-WIDTH = 40
+NONE = np.iinfo(np.int64).min
+#: Most bytes of the words of one trie.
+WIDTHS = (40, 400, 4000)
 #: Stands for the word mark; no UTF-8 text has this byte.
 MARK = b"\xff"
 BATCH_WORDS = 1_000_000
@@ -49,26 +53,20 @@ def read_pieces(path: str) -> dict[bytes, int]:
 
 
 class Pieces:
-    """Scores of pieces, and of their endings (none), by a hash that grows from the last byte to the first."""
+    """Pieces and their scores, and a trie of their bytes from the last to the first.
+
+    Node 0 is the root; steps holds parent << 8 | byte in ascending order, and the node it leads to is its place + 1.
+    """
 
     def __init__(self, scores: dict[bytes, int]):
         self.scores = scores
         self.longest = max(map(len, scores))
         self.least = min(scores.values()) - UNKNOWN
-        self.values = W.mix(np.arange(1, 257, dtype=np.uint64))
-        self.steps = W.powers(1 << 8)[0][: self.longest]
-        ends: dict[bytes, int | None] = {}
-        for piece, score in scores.items():
-            for i in range(len(piece)):
-                ends.setdefault(piece[i:], None)
-            ends[piece] = score
-        h = np.array([self.hash(x) for x in ends], np.uint64)
-        order = np.argsort(h)
-        self.hashes = h[order]
-        self.score = np.array([np.iinfo(np.int64).min if x is None else x for x in ends.values()], np.int64)[order]
-
-    def hash(self, x: bytes) -> np.uint64:
-        return np.sum(self.values[np.frombuffer(x, np.uint8)[::-1]] * self.steps[: len(x)], dtype=np.uint64)
+        endings = sorted({piece[i:][::-1] for piece in scores for i in range(len(piece))}, key=lambda x: (len(x), x))
+        # by length and then by bytes, so that places of parents, and with them the steps, ascend
+        place = {b"": 0} | {x: i + 1 for i, x in enumerate(endings)}
+        self.steps = np.array([place[x[:-1]] << 8 | x[-1] for x in endings], np.int64)
+        self.score = np.array([scores.get(x[::-1], NONE) for x in endings], np.int64)
 
     def one(self, word: bytes) -> tuple[int, int]:
         """Score and number of tokens of one pre-token."""
@@ -91,26 +89,23 @@ class Pieces:
         forward, tokens = np.zeros((width + 1, n), np.int64), np.zeros((width + 1, n), np.int32)
         for d in range(1, int(lengths.max(initial=0)) + 1):
             own = np.flatnonzero((shared < d) & (lengths >= d))
-            single = letters[own, d - 1]
-            h = self.values[single]
-            best = np.full(len(own), np.iinfo(np.int64).min, np.int64)
+            best = np.full(len(own), NONE, np.int64)
             count = np.zeros(len(own), np.int32)
-            live = np.arange(len(own))
+            live, node = np.arange(len(own)), np.zeros(len(own), np.int64)
             for size in range(1, min(d, self.longest) + 1):
-                if size > 1:
-                    h = h + self.values[letters[own[live], d - size]] * self.steps[size - 1]
-                at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-                known = self.hashes[at] == h
-                score = np.where(known, self.score[at], np.iinfo(np.int64).min)
+                step = node << 8 | letters[own[live], d - size]
+                at = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
+                known = self.steps[at] == step
+                score = np.where(known, self.score[at], NONE)
                 if size == 1:
-                    score = np.where(score == np.iinfo(np.int64).min, self.least, score)
-                piece = np.flatnonzero(score > np.iinfo(np.int64).min)
+                    score = np.where(score == NONE, self.least, score)
+                piece = np.flatnonzero(score > NONE)
                 row = live[piece]
                 f = forward[d - size, own[row]] + score[piece]
                 c = tokens[d - size, own[row]] + 1
                 better = (f > best[row]) | ((f == best[row]) & (c < count[row]))
                 best[row[better]], count[row[better]] = f[better], c[better]
-                live, h = live[known], h[known]
+                live, node = live[known], at[known] + 1
                 if not len(live):
                     break
             forward[d, own], tokens[d, own] = best, count
@@ -128,20 +123,27 @@ def _distinct_counts(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, piec
     """Scores and token counts of distinct words."""
     score, count = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
     lengths = ends - starts + 1
-    for i in np.flatnonzero(lengths > WIDTH):
+    for i in np.flatnonzero(lengths > WIDTHS[-1]).tolist():
         score[i], count[i] = pieces.one(MARK + buf[starts[i] : ends[i]].tobytes())
-    short = np.flatnonzero(lengths <= WIDTH)
-    letters = np.zeros((len(short), WIDTH), np.uint8)
-    letters[:, 0] = MARK[0]
-    for j in range(1, int(lengths[short].max(initial=1))):
-        there = lengths[short] > j
-        letters[there, j] = buf[starts[short[there]] + j - 1]
-    keys = letters.view(">u8").reshape(len(short), WIDTH // 8)
-    used = -(-int(lengths[short].max(initial=1)) // 8)
-    order = np.lexsort(tuple(keys[:, i].astype(np.uint64) for i in reversed(range(used)))) if len(short) else short
-    for a in range(0, len(order), NODE_ROWS):
-        own = order[a : a + NODE_ROWS]
-        score[short[own]], count[short[own]] = pieces.many(letters[own], lengths[short[own]])
+    for least, width in zip((0, *WIDTHS), WIDTHS, strict=False):
+        some = np.flatnonzero((lengths > least) & (lengths <= width))
+        rows = NODE_ROWS * WIDTHS[0] // width
+        # by their first bytes, so that each trie holds neighbours
+        head = np.zeros((len(some), 8), np.uint8)
+        for j in range(8):
+            there = lengths[some] > j + 1
+            head[there, j] = buf[starts[some[there]] + j]
+        some = some[np.argsort(head.view(">u8").reshape(-1).astype(np.uint64), kind="stable")]
+        for a in range(0, len(some), rows):
+            own = some[a : a + rows]
+            letters = np.zeros((len(own), width), np.uint8)
+            letters[:, 0] = MARK[0]
+            for j in range(1, int(lengths[own].max())):
+                there = lengths[own] > j
+                letters[there, j] = buf[starts[own[there]] + j - 1]
+            keys = letters.view(">u8").reshape(len(own), width // 8)
+            order = np.lexsort(tuple(keys[:, i].astype(np.uint64) for i in reversed(range(-(-int(lengths[own].max()) // 8)))))
+            score[own[order]], count[own[order]] = pieces.many(letters[order], lengths[own[order]])
     return score, count
 
 
@@ -152,22 +154,22 @@ def _count(batches: Iterator[pa.RecordBatch], pieces: Pieces) -> Iterator[pa.Rec
     def rows() -> Iterator[pa.RecordBatch]:
         if not held:
             return
-        buf = np.concatenate([w.buf for _, w, _ in held])
-        base = np.cumsum([0] + [len(w.buf) for _, w, _ in held[:-1]])
-        starts = np.concatenate([w.starts + b for (_, w, _), b in zip(held, base, strict=True)])
-        ends = np.concatenate([w.ends + b for (_, w, _), b in zip(held, base, strict=True)])
-        _, first, code = np.unique(np.concatenate([h for *_, h in held]), return_index=True, return_inverse=True)
+        buf = np.concatenate([w.buf for _, w in held])
+        base = np.cumsum([0] + [len(w.buf) for _, w in held[:-1]])
+        starts = np.concatenate([w.starts + b for (_, w), b in zip(held, base, strict=True)])
+        ends = np.concatenate([w.ends + b for (_, w), b in zip(held, base, strict=True)])
+        first, code = W.span_codes(buf, starts, ends)
         score, count = _distinct_counts(buf, starts[first], ends[first], pieces)
         totals = np.append(0, np.cumsum(count[code])), np.append(0, np.cumsum(score[code]))
         at = 0
-        for batch, w, _ in held:
+        for batch, w in held:
             bounds = w.first + at
             at += len(w)
             yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "n_words": np.diff(w.first), "n_tokens": np.diff(totals[0][bounds]), "micro_nats": np.diff(totals[1][bounds])})
 
     for chunk in W.chunks(batches):
         w = W.Words(chunk["text"], W.SPACE_WORD)
-        held.append((chunk.select(["doc_id"]), w, w.hashes()))
+        held.append((chunk.select(["doc_id"]), w))
         words += len(w)
         if words >= BATCH_WORDS:
             yield from rows()

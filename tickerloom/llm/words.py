@@ -2,17 +2,20 @@
 
 A batch of texts is one byte buffer: every text is followed by a line feed, which no word class holds, so
 that words never join across texts. UTF-8 bytes above 0x7F always belong to words, hence classes of bytes and
-classes of characters find the same words. Hashes are 64 bits: a sum of random values of the bytes times
-powers of an odd number, mixed at the end; two given words collide with a chance of about 2**-64.
+classes of characters find the same words. A word's hash takes in eight bytes at a time and mixes after each, so
+it isn't linear in the bytes: words of equal length up to eight bytes never share one, other given words do with a
+chance of about 2**-64. Where a result is exact by contract, Words.codes compares the words themselves.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 #: Bytes of text that are worked on at once; a longer text is a chunk of its own.
 CHUNK_BYTES = 1 << 20
@@ -27,9 +30,10 @@ ALNUM_WORD[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
+#: Longer spans are hashed and compared one by one.
+LONG_SPAN = 256
+_LANES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -41,20 +45,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the base and of its inverse modulo 2**64; kept, as most chunks are of one size."""
-    if len(_powers[0]) < n:
-        for i, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(max(n, 1 << 16), base, np.uint64)
-            steps[0] = 1
-            _powers[i] = np.multiply.accumulate(steps)
-    return _powers[0][:n], _powers[1][:n]
-
-
 def chunks(batches, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of rows of at most limit bytes of text, or one row."""
     for batch in batches:
@@ -89,11 +79,7 @@ class Words:
     def __init__(self, texts: pa.Array, word: np.ndarray, lower: bool = False):
         buf, self.texts = joined(texts)
         self.buf = LOWER[buf] if lower else buf
-        inside = np.zeros(len(buf) + 1, np.int8)
-        inside[1:] = word[self.buf]
-        steps = np.diff(inside)
-        self.starts = np.flatnonzero(steps == 1)
-        self.ends = np.flatnonzero(steps == -1)
+        self.starts, self.ends = spans(self.buf, word)
         self.first = np.searchsorted(self.starts, self.texts)
 
     def __len__(self) -> int:
@@ -102,17 +88,70 @@ class Words:
     def hashes(self) -> np.ndarray:
         return span_hashes(self.buf, self.starts, self.ends)
 
+    def codes(self) -> tuple[np.ndarray, np.ndarray]:
+        return span_codes(self.buf, self.starts, self.ends)
+
     def text_of(self) -> np.ndarray:
         """The index of each word's text."""
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def spans(buf: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each run of bytes of the class in buf, whose last byte isn't of it."""
+    inside = np.zeros(len(buf) + 1, np.int8)
+    inside[1:] = word[buf]
+    steps = np.diff(inside)
+    return np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
+
+
+def _eights(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of buf on, as one number; zeros follow the end."""
+    return np.ndarray(len(buf) + 1, "<u8", np.append(buf, np.zeros(8, np.uint8)).tobytes(), strides=(1,))
+
+
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
     """A hash of each span of bytes."""
-    up, down = powers(len(buf) + 1)
-    sums = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(_VALUES[buf] * up[:-1], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts])
+    size = ends - starts
+    eights = _eights(buf)
+    h = mix(size.astype(np.uint64) * _STEP + np.uint64(seed + 1))
+    live = np.flatnonzero((size > 0) & (size <= LONG_SPAN))
+    for done in range(0, LONG_SPAN, 8):
+        if not len(live):
+            break
+        left = size[live] - done
+        h[live] = mix(h[live] ^ (eights[starts[live] + done] & _LANES[np.minimum(left, 8)]))
+        live = live[left > 8]
+    for i in np.flatnonzero(size > LONG_SPAN).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(buf[starts[i] : ends[i]].tobytes(), seed)
+    return h
+
+
+def same_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, others: np.ndarray, other_ends: np.ndarray, other_buf: np.ndarray | None = None) -> np.ndarray:
+    """Whether each span has the bytes of the other span beside it, which lies in other_buf or in buf itself."""
+    other_buf = buf if other_buf is None else other_buf
+    size = ends - starts
+    same = size == other_ends - others
+    one = _eights(buf)
+    two = one if other_buf is buf else _eights(other_buf)
+    live = np.flatnonzero(same & (size > 0) & (size <= LONG_SPAN))
+    for done in range(0, LONG_SPAN, 8):
+        if not len(live):
+            break
+        left = size[live] - done
+        differ = ((one[starts[live] + done] ^ two[others[live] + done]) & _LANES[np.minimum(left, 8)]) > 0
+        same[live[differ]] = False
+        live = live[~differ & (left > 8)]
+    for i in np.flatnonzero(same & (size > LONG_SPAN)).tolist():
+        same[i] = (buf[starts[i] : ends[i]] == other_buf[others[i] : other_ends[i]]).all()
+    return same
+
+
+def span_codes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of one span of each number, and the number of each span: equal for spans of equal bytes and for no others."""
+    for seed in itertools.count():
+        _, first, code = np.unique(span_hashes(buf, starts, ends, seed), return_index=True, return_inverse=True)
+        if same_spans(buf, starts, ends, starts[first][code], ends[first][code]).all():
+            return first, code
 
 
 def rolled(h: np.ndarray, size: int) -> np.ndarray:
@@ -142,3 +181,15 @@ def sliding_min(h: np.ndarray, size: int) -> np.ndarray:
         h = np.minimum(h[: len(h) - reach], h[reach:])
         reach *= 2
     return np.minimum(h[: len(h) - size + reach], h[size - reach :]) if size > reach else h
+
+
+def pack(x: np.ndarray) -> bytes:
+    """Whole numbers compressed, byte plane by byte plane."""
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes(), "zstd", asbytes=True) if len(x) else b""
+
+
+def unpack(b: bytes, kind: type, n: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    if not n:
+        return np.zeros(0, kind)
+    return np.ascontiguousarray(np.frombuffer(pa.decompress(b, n * size, "zstd", asbytes=True), np.uint8).reshape(size, n).T).view(kind).reshape(n)
