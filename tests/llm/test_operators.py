@@ -327,8 +327,9 @@ def test_packing(docs):
 
     paths = packing.public_vocabulary()
     whole = Tokenizer.from_file(paths[0])
-    rows = plain(docs) + [(2000, "a <|endoftext|> b")]
-    more = docs.sparkSession.createDataFrame([(2000, "a <|endoftext|> b")], "doc_id long, text string")
+    odd = [(2000, "a <|endoftext|> b"), (2001, " " * 1_000_000 + "x"), (2002, "ab" * 500_000), (2003, "\n" * 1_000_000), (2004, "x" + "  y" * 1000), (2005, "\u3000" * 5000 + "z")]
+    rows = plain(docs) + odd
+    more = docs.sparkSession.createDataFrame(odd, "doc_id long, text string")
     pieces = packing.pack_documents(docs.select("doc_id", "text").unionByName(more), *paths).collect()
     wanted = collections.Counter()
     for i, t in rows:
@@ -351,21 +352,45 @@ def test_packing(docs):
     assert packing.pack_documents(empty(docs), *paths).count() == 0
 
 
-def test_bm25_neighbours_match_brute_force():
+@pytest.mark.parametrize("dense_terms", [0, 7, 1000])
+def test_bm25_neighbours_match_brute_force(dense_terms):
+    """All terms of a seed and all its neighbours, whichever postings are dense."""
     rng = np.random.default_rng(2)
-    docs = [rng.integers(0, 30, rng.integers(5, 30)).astype(np.uint32) for _ in range(25)]
-    index = packing.Index(docs)
-    found = [collections.Counter(d.tolist()) for d in docs]
-    n, mean = len(docs), np.mean([len(d) for d in docs])
+    docs = [np.append(rng.integers(2, 60 if i % 2 else 20, rng.integers(0, 30)), packing.END_ID).astype(np.uint32) for i in range(40)]
+    index = packing.Index(docs, dense_terms)
+    found = [collections.Counter(d[:-1].tolist()) for d in docs]
+    n, mean = len(docs), np.mean([len(d) - 1 for d in docs])
     df = collections.Counter(t for c in found for t in c)
-    weight = lambda t, i: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * found[i][t] * 2.2 / (found[i][t] + 1.2 * (0.25 + 0.75 * len(docs[i]) / mean))
+    weight = lambda t, i: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * found[i][t] * 2.2 / (found[i][t] + 1.2 * (0.25 + 0.75 * (len(docs[i]) - 1) / mean))
     for seed in range(n):
-        terms = sorted((t for t in found[seed] if df[t] > 1), key=lambda t: (-round(weight(t, seed), 9), t))[: packing.QUERY_TERMS]
-        score = {i: sum(weight(t, i) for t in terms if found[i][t]) for i in range(n) if i != seed}
-        best = sorted((-round(s, 9), i) for i, s in score.items() if s > 0)[: packing.NEIGHBOURS]
-        free = np.ones(n, bool)
-        free[seed] = False
-        assert [score[i] for i in index.neighbours(seed, free)] == pytest.approx([-s for s, _ in best])
+        score = {i: sum(weight(t, i) for t in found[seed] if found[i][t]) for i in range(n) if i != seed and i % 3}
+        free = np.array([i != seed and i % 3 > 0 for i in range(n)])
+        near = index.neighbours(seed, free).tolist()
+        assert set(near) == {i for i, s in score.items() if s > 0}
+        assert [score[i] for i in near] == pytest.approx(sorted((s for s in score.values() if s > 0), reverse=True), rel=1e-5)
+
+
+def test_windows_are_filled_by_the_best_unused_neighbours():
+    """The pieces against a packer that scores by the index's formula and takes the best unused document each time."""
+    rng = np.random.default_rng(3)
+    docs = [np.append(rng.integers(2, 40, rng.integers(1, 25)), packing.END_ID).astype(np.uint32) for _ in range(50)]
+    index = packing.Index(docs)
+    stream, used = [], set()
+    room, ranked = 64, []
+    while len(used) < len(docs):
+        doc = ranked.pop(0) if ranked else next(i for i in range(len(docs)) if i not in used)
+        used.add(doc)
+        stream.append(doc)
+        left = room - len(docs[doc])
+        while left <= 0:
+            left, ranked = left + 64, []
+        room = left
+        if not ranked and room < 64:  # the document that stands in the window is its seed
+            score = index.score(doc)
+            ranked = sorted((i for i in range(len(docs)) if i not in used and score[i] > 0), key=lambda i: (-score[i], i))
+    pieces = list(packing.pack(docs, 64))
+    assert list(dict.fromkeys(p[0] for p in pieces)) == stream
+    assert list(packing.pack([np.array([packing.END_ID], np.uint32)] * 3)) == [(0, 0, 1, 0, 0), (1, 0, 1, 0, 1), (2, 0, 1, 1, 0)]
 
 
 def test_language_id(spark, docs):

@@ -126,13 +126,13 @@ class _Docs:
         for i, j in zip(bounds[:-1], bounds[1:], strict=True):
             own = order[i:j]
             words = b"".join(data[x:y] + b"\xff" for x, y in zip(a[own].tolist(), z[own].tolist(), strict=True))
-            yield {"block": int(block[heads[own[0]]]), "n": len(own), "bytes": len(words), "doc": W.pack(doc[own].astype(np.int32)), "id": W.pack(self.ids[doc[own]]), "start": W.pack(start[own]), "words": pa.compress(words, "zstd", asbytes=True)}
+            yield {"block": int(block[heads[own[0]]]), "n": len(own), "bytes": len(words), "doc": W.pack(doc[own].astype(np.int32)), "id": W.pack(self.ids[doc[own]]), "start": W.pack(start[own]), "words": W.CODEC.compress(words, asbytes=True)}
 
 
 def _written(docs: list[pa.RecordBatch]) -> bytes:
     whole = pa.Table.from_batches(docs).combine_chunks().to_batches()[0]
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, whole.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, whole.schema, options=pa.ipc.IpcWriteOptions(compression=W.CODEC)) as out:
         out.write_batch(whole)
     return sink.getvalue().to_pybytes()
 

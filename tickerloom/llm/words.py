@@ -183,6 +183,10 @@ def sliding_min(h: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(h[: len(h) - size + reach], h[size - reach :]) if size > reach else h
 
 
+#: Texts on their way are worth some seconds of packing, as what is shuffled is the larger cost.
+CODEC = pa.Codec("zstd", compression_level=6)
+
+
 def pack(x: np.ndarray) -> bytes:
     """Whole numbers compressed, byte plane by byte plane."""
     return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes(), "zstd", asbytes=True) if len(x) else b""
