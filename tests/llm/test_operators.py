@@ -300,7 +300,7 @@ def test_lm_score(docs, sum_rows):
     c = collections.Counter(x for own, h in zip(tokens, held, strict=True) if not h for x in own)
     n, v = sum(c.values()), len(c)
     expected = collections.Counter((i, h, len(own), sum(c[x] > 0 for x in own), n, round(sum(math.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in own), 4)) for (i, _), h, own in zip(rows, held, tokens, strict=True))
-    got = lm_score.score_texts(docs, sum_rows).collect()
+    got = lm_score.score_texts(docs, sum_rows=sum_rows).collect()
     assert collections.Counter((*tuple(r)[:5], round(r.base_score, 4)) for r in got) == expected
     assert all(r.score < 0 for r in got)
     assert lm_score.score_texts(empty(docs)).count() == 0
@@ -314,12 +314,76 @@ def test_log_bilinear_is_normalised_and_learns():
         token[i] = 2 + (token[i - 1] - 1) % 4 if rng.random() < 0.9 else rng.integers(2, 6)
     shares = np.bincount(token, minlength=n) + 1.0
     model = lm_score.LogBilinear(shares / shares.sum())
-    model.fit(token[:-2], token[1:-1], token[2:])
+    for _ in range(6):
+        model.fit(token[:-2], token[1:-1], token[2:], rng)
     A, B, Z = model.tables()
     p = np.exp(A[:, None, :].astype(float) + B[None, :, :] - Z[:, :, None])
     assert np.allclose(p.sum(2), 1, atol=1e-4)
     uniform = np.log(shares / shares.sum())[token[2:]].mean()
     assert np.log(p[token[:-2], token[1:-1], token[2:]]).mean() > uniform + 0.5
+    again = lm_score.LogBilinear(shares / shares.sum(), seed=1)
+    again.set_vector(model.vector())
+    assert all((again.p[k] == model.p[k]).all() and (again.squares[k] == model.squares[k]).all() for k in model.p)
+
+
+def test_lm_score_is_the_normalised_score_of_the_model(spark, docs, monkeypatch):
+    """Scores against plain loops over tokens, with few words and shapes, so that most tokens share classes."""
+    kept = []
+    learned = lm_score.learned
+    monkeypatch.setattr(lm_score, "learned", lambda *a: kept.append((a[1], learned(*a))) or kept[-1][1])
+    rows = plain(docs)
+    chunk = pa.RecordBatch.from_pydict({"doc_id": [None if i is None else i for i, _ in rows], "text": [t for _, t in rows], "held": [int(i is None or zlib.crc32(str(i).encode()) % 10 == 0) for i, _ in rows]}, schema=pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("held", pa.int8())]))
+    coded = [r for b in lm_score._code(iter([chunk]), 5, 7) for r in b.to_pylist()]
+    asked = pa.Table.from_pylist([{k: r[k] for k in ("batch", "block", "hashes", "counts", "kinds")} for r in coded if r["block"] >= 0], schema=pa.schema([("batch", pa.string()), ("block", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary()), ("kinds", pa.binary())]))
+    tokens = [[*SPACE.findall((t or "").translate(LOW)), ""] for _, t in rows]
+    learn = [i is not None and zlib.crc32(str(i).encode()) % 10 != 0 for i, _ in rows]
+    c = collections.Counter(x for own, h in zip(tokens, learn, strict=True) if h for x in own)
+    hash_of = lambda x: int(lm_score.tokens_of(pa.array([x]), 7)[0][0])
+    shape_of = lambda x: int(lm_score.tokens_of(pa.array([x]), 7)[1][0])
+    hashes, shapes = {x: hash_of(x) for own in tokens for x in own}, {x: shape_of(x) for own in tokens for x in own}
+    assert asked.num_rows == 5 and sum(len(r["hashes"]) // 8 for r in asked.to_pylist()) == len(hashes)
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    words = sorted(c, key=lambda x: (-c[x], signed(hashes[x])))[:12]
+    klass = {x: 8 + words.index(x) if x in words else 1 + shapes[x] for x in hashes}
+    total, distinct = collections.Counter(), collections.Counter()
+    for x, n in c.items():
+        total[klass[x]] += n
+        distinct[klass[x]] += 1
+    got = {(r.doc_id, r.n_tokens): r.score for r in lm_score.score_texts(docs, 12, 7).collect()}
+    classes, model = kept[0]
+    assert classes.of(np.array(list(hashes.values()), np.uint64), np.array(list(shapes.values()))).tolist() == list(klass.values())
+    R, Q, C, b = (model.p[k].astype(float) for k in "RQCb")
+    cache = {}
+
+    def log_p(i, j, k):
+        if (i, j) not in cache:
+            z = [sum((R[i] * C[0] + R[j] * C[1]) * Q[m]) + b[m, 0] for m in range(len(Q))]
+            cache[i, j] = [x - math.log(sum(math.exp(y) for y in z[1:])) for x in z]
+        return cache[i, j][k] / math.log(10)
+
+    for (i, _), own in zip(rows, tokens, strict=True):
+        score, before = 0.0, [0, 0]
+        for x in own:
+            k = klass[x]
+            score += log_p(*before, k) + (0 if k > 7 else math.log10((c[x] + 0.1) / (total[k] + 0.1 * (distinct[k] + 1))))
+            before = [before[1], k]
+        assert got[i, len(own)] == pytest.approx(score, rel=1e-4)
+
+
+def test_lm_score_learns_from_every_training_document_and_beats_the_base(spark):
+    """Two languages whose words follow each other in rings: what a text's last words are tells the next."""
+    rng = random.Random(7)
+    rows = []
+    for i in range(400):
+        ring = [f"{'ab'[i % 2]}{k}" for k in range(30)]
+        at, words = rng.randrange(30), []
+        for _ in range(120):
+            words.append(ring[at])
+            at = (at + 1) % 30 if rng.random() < 0.9 else rng.randrange(30)
+        rows.append((i, " ".join(words)))
+    got = lm_score.score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).where("held_out").collect()
+    gain = sum(r.score - r.base_score for r in got) / sum(r.n_tokens for r in got)
+    assert gain > 0.2
 
 
 def test_packing(docs):
