@@ -251,21 +251,21 @@ def test_decontaminate(spark, docs, block_bytes):
     rows = plain(docs)
     passage = next(t for i, t in rows if i == 7)
     w = ALNUM.findall(passage)
-    items = [(1, " ".join(w[:25])), (2, " ".join(w[20:32])), (11, "-".join(w[3:7])), (3, ""), (4, None), (None, w[0]), (5, "never seen words"), (1, " ".join(w[:25])), (6, "1234")]
+    items = [(1, " ".join(w[:25])), (2, " ".join(w[20:32])), (11, "-".join(w[3:7])), (3, ""), (4, None), (None, w[0]), (5, "never seen words"), (1, " ".join(w[:25])), (6, "1234"), (None, " ".join(w[25:36]))]
     benchmark = spark.createDataFrame([(k, t, 0) for k, t in items], "item_id long, text string, doc_id int")
     windows = collections.defaultdict(set)
     for k, t in items:
         own = ALNUM.findall((t or "").translate(LOW))
         for j in range(max(1, len(own) - 9)):
-            if own and k is not None:
-                windows[tuple(own[j : j + 10])].add(str(k))
+            if own:
+                windows[tuple(own[j : j + 10])] |= set() if k is None else {str(k)}
     expected = []
     for i, t in rows:
         own = ALNUM.findall((t or "").translate(LOW))
         hit, found = [False] * len(own), set()
         for size in {len(x) for x in windows}:
             for j in range(len(own) - size + 1):
-                if k := windows.get(tuple(own[j : j + size])):
+                if (k := windows.get(tuple(own[j : j + size]))) is not None:
                     found |= k
                     hit[j : j + size] = [True] * size
         expected.append((i, len(own), sum(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), any(hit)))
@@ -279,6 +279,17 @@ def test_decontaminate(spark, docs, block_bytes):
     assert decontaminate.clean_documents(docs, benchmark.where("1 = 0")).count() == docs.count()
 
 
+def test_decontaminate_names_items_and_compares_words(spark):
+    """Ids with commas and without characters, and words that a polynomial hash takes for the benchmark's."""
+    a, b = thue_morse(2048)
+    rest = " ".join(f"w{i}" for i in range(9))
+    docs = spark.createDataFrame([(1, f"x {rest} {a} y"), (2, f"x {rest} {b} y"), (3, "one two")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([("a,b", f"{rest} {a}"), ("", "one two"), ("", "one"), ("c", f"{rest} {a}")], "item_id string, text string")
+    got = decontaminate.benchmark_spans(docs, benchmark).mapInArrow(decontaminate._digests, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean").collect()
+    digest = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    same([tuple(r) for r in got], [(1, 12, 10, 2, digest("a,b,c"), True), (2, 12, 0, 0, digest(""), False), (3, 2, 2, 1, digest(""), True)])
+
+
 def test_fm_index_counts_and_locates():
     rng = np.random.default_rng(1)
     text = rng.integers(0, 4, 3000)

@@ -4,27 +4,31 @@ A shard is a run of documents inside a task. Words outside the benchmark's vocab
 shard's text is the runs of vocabulary words that are long enough for the shortest window, each closed
 by a separator. Its suffix array gives the Burrows-Wheeler transform, kept as a wavelet matrix for ranks; all
 windows of the benchmark are searched backwards at once; their occurrences are located by walking to the next
-sampled suffix position; and the spans of one document are merged. Nothing is shuffled, but for a benchmark
-beyond BENCHMARK_BYTES: it is searched in blocks of items, and the spans of a document are merged over the blocks.
-
-Results by case: null and empty texts have no words; a null item_id is passed over, as its item can't be named;
-repeated rows of documents each get their result; repeated item_ids count once; an empty benchmark hits nothing;
-an empty documents table gives an empty result; other columns are passed over.
+sampled suffix position; and the spans of one document are merged. Words are matched by hashes and then compared
+themselves. Nothing is shuffled, but for a benchmark beyond BENCHMARK_BYTES: it is searched in blocks of items, one
+after another, and the spans of a document are merged over the blocks. The driver holds one block at a time.
+
+Results by case: null and empty texts have no words; an item with a null item_id marks words as hit but can't be named
+or counted; repeated rows of documents each get their result; repeated item_ids count once; ties don't arise; a very
+long text makes a shard of its own, worked in memory of about 200 bytes for each of its words that the benchmark has; an
+empty benchmark hits nothing; an empty documents table gives an empty result; other columns are passed over.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.llm import words as W
-from tickerloom.llm.tables import table
+from tickerloom.llm.tables import saved, table
 
 #: Texts of benchmark items that are sent to the tasks at once.
 BENCHMARK_BYTES = 8 << 20
@@ -105,7 +109,17 @@ class Windows:
 
     def __init__(self, items: list[tuple[str, str]], size: int):
         w = W.Words(pa.array([t for _, t in items], pa.string()), W.ALNUM_WORD, lower=True)
-        self.vocabulary, symbols = np.unique(w.hashes(), return_inverse=True)
+        first, code = w.codes()
+        self.buf, self.starts, self.ends = w.buf, w.starts[first], w.ends[first]
+        for self.seed in itertools.count():  # until all its words have hashes of their own
+            h = W.span_hashes(w.buf, self.starts, self.ends, self.seed)
+            order = np.argsort(h)
+            if (np.diff(h[order]) > 0).all():
+                break
+        self.vocabulary, self.starts, self.ends = h[order], self.starts[order], self.ends[order]
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        symbols = place[code]
         rows, owners = [], []
         for i, (a, z) in enumerate(zip(w.first[:-1], w.first[1:], strict=True)):
             own = symbols[a:z] + 1
@@ -119,7 +133,18 @@ class Windows:
         self.lengths = (self.patterns > 0).sum(1)
         pairs = np.unique(np.stack([of.reshape(-1), np.array(owners, np.int64)], 1), axis=0) if len(stacked) else np.zeros((0, 2), np.int64)
         self.item_of, self.first_item = pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(len(self.patterns) + 1))
-        self.names = np.array([str(k) for k, _ in items], object)
+        self.names = np.array([k for k, _ in items], object)
+
+    def symbols(self, w: W.Words) -> np.ndarray:
+        """The symbol of each word; 0 outside the vocabulary."""
+        h = W.span_hashes(w.buf, w.starts, w.ends, self.seed)
+        at = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
+        out = np.zeros(len(h), np.int64)
+        some = np.flatnonzero(self.vocabulary[at] == h)
+        own = at[some]
+        same = W.same_spans(w.buf, w.starts[some], w.ends[some], self.starts[own], self.ends[own], self.buf)
+        out[some[same]] = own[same] + 1
+        return out
 
 
 def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -136,11 +161,8 @@ class _Shard:
         w = W.Words(chunk["text"], W.ALNUM_WORD, lower=True)
         self.batches.append(chunk)
         self.counts.append(np.diff(w.first))
-        vocabulary = self.windows.vocabulary
-        if len(w) and len(vocabulary):
-            h = w.hashes()
-            at = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
-            symbols = np.where(vocabulary[at] == h, at + 1, 0)
+        if len(w) and len(self.windows.vocabulary):
+            symbols = self.windows.symbols(w)
             known = symbols > 0
             begins = known & np.append(True, ~known[:-1])
             begins[w.first[:-1][w.first[:-1] < len(w)]] |= known[w.first[:-1][w.first[:-1] < len(w)]]
@@ -232,29 +254,34 @@ def _scan(batches: Iterator[pa.RecordBatch], windows: Windows) -> Iterator[pa.Re
     yield from shard.rows()
 
 
-def _blocks(benchmark: DataFrame, size: int, block_bytes: int) -> list[Windows]:
-    """The benchmark's windows in blocks of about block_bytes of text, so that what is sent to the tasks at once is bounded."""
-    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
+def _blocks(benchmark: DataFrame, size: int, block_bytes: int) -> Iterator[tuple[Broadcast, bool]]:
+    """The benchmark's windows in blocks of about block_bytes of text, one at a time, and whether that is all."""
+    spark = benchmark.sparkSession
+    items = benchmark.where("text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
     blocks = max(1, math.ceil((items.select(F.sum(F.octet_length("text"))).first()[0] or 0) / block_bytes))
-    parts = [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) for b in range(blocks)] if blocks > 1 else [items]
-    return [Windows([tuple(r) for r in own.collect()], size) for own in parts]
+    for b in range(blocks):
+        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else items
+        shared = spark.sparkContext.broadcast(Windows([tuple(r) for r in own.collect()], size))
+        yield shared, blocks == 1
+        if blocks > 1:  # what was found is written by now
+            shared.destroy()
 
 
 def benchmark_spans(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_bytes: int = BENCHMARK_BYTES) -> DataFrame:
-    """(doc_id, text_key, n_words, starts, untils, items) of each row of docs: merged spans of hit words, and the ids of the items whose windows occur, as strings."""
-    blocks = _blocks(benchmark, size, block_bytes)
+    """(doc_id, text_key, n_words, starts, untils, items) of each row of docs: merged spans of hit words, and the ids of the items whose windows occur, as strings (null for items without one)."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
-    found = None
-    for windows in blocks:
-        one = keyed.mapInArrow(lambda batches, windows=windows: _scan(batches, windows), FOUND)
+    found, blocks = None, 0
+    for windows, whole in _blocks(benchmark, size, block_bytes):
+        one = keyed.mapInArrow(lambda batches, windows=windows: _scan(batches, windows.value), FOUND)
+        if whole:
+            return one
+        one, blocks = saved(one, "found"), blocks + 1
         found = one if found is None else found.unionByName(one)
-    if len(blocks) == 1:
-        return found
     merged = found.groupBy("doc_id", "text_key").agg(
         F.first("n_words").alias("n_words"), F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("untils")).alias("untils"),
         F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"), F.count(F.lit(1)).alias("n"),
     )
-    return merged.withColumn("copy", F.explode(F.sequence(F.lit(1), (F.col("n") / len(blocks)).cast("int")))).drop("copy", "n").mapInArrow(_merge, FOUND)
+    return merged.withColumn("copy", F.explode(F.sequence(F.lit(1), (F.col("n") / blocks).cast("int")))).drop("copy", "n").mapInArrow(_merge, FOUND)
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,12 +301,12 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        items = [",".join(sorted(set(x))) for x in batch["items"].to_pylist()]
+        items = [sorted(set(x) - {None}) for x in batch["items"].to_pylist()]
         hit = [sum(z) - sum(a) for a, z in zip(batch["starts"].to_pylist(), batch["untils"].to_pylist(), strict=True)]
         yield pa.RecordBatch.from_pydict({
             "doc_id": batch["doc_id"], "n_words": batch["n_words"], "n_hit": pa.array(hit, pa.int64()),
-            "n_items": pa.array([x.count(",") + 1 if x else 0 for x in items], pa.int64()),
-            "items_sha256": [hashlib.sha256(x.encode()).hexdigest() for x in items], "contaminated": pa.array([x > 0 for x in hit], pa.bool_()),
+            "n_items": pa.array([len(x) for x in items], pa.int64()),
+            "items_sha256": [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], "contaminated": pa.array([x > 0 for x in hit], pa.bool_()),
         })
 
 
@@ -302,6 +329,8 @@ def _clean(batches: Iterator[pa.RecordBatch], windows: Windows) -> Iterator[pa.R
 def clean_documents(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_bytes: int = BENCHMARK_BYTES) -> DataFrame:
     """The rows of docs in which no window of the benchmark occurs, with all their columns; each block of the benchmark is one more pass without a shuffle."""
     out = docs
-    for windows in _blocks(benchmark, size, block_bytes):
-        out = out.mapInArrow(lambda batches, windows=windows: _clean(batches, windows), docs.schema)
+    for windows, whole in _blocks(benchmark, size, block_bytes):
+        out = out.mapInArrow(lambda batches, windows=windows: _clean(batches, windows.value), docs.schema)
+        if not whole:
+            out = saved(out, "clean")
     return out
