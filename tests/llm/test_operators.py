@@ -473,6 +473,7 @@ def test_language_id(spark, docs):
     letters = {"xx": "abcdefg", "yy": "uvwxyzé", "zz": "mnopqrs"}
     rows = [(i, " ".join("".join(rng.choice(letters[k]) for _ in range(5)) for _ in range(20)), k) for i in range(300) for k in [("xx", "yy", "zz")[i % 3]]]
     rows += [(900, None, "xx"), (901, "12 3!", "yy"), (902, "", None), (None, "uvw xyz uvw", "yy")]
+    rows += [(910, "Съешь же ещё этих мягких французских булок да выпей чаю", None), (911, "数据处理系统的性能", None)]  # in none of them
     own = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = {r.doc_id: r for r in language_id.identify(own).collect()}
     assert all(got[i].lang_pred == "und" and got[i].score == 0 for i in (900, 901, 902)) and got[None].held_out
@@ -480,11 +481,45 @@ def test_language_id(spark, docs):
     assert all(got[i].held_out for i, _ in held) and sum(got[i].lang_pred == k for i, k in held) >= 0.99 * len(held)
     assert all(0 <= r.score <= 1 for r in got.values())
     kept = language_id.identified_documents(own)
-    assert kept.columns == own.columns and kept.count() == len(rows) - 3
+    assert kept.columns == own.columns and {r.doc_id for r in kept.collect()} == {i for i, _, _ in rows} - {900, 901, 902, 910, 911}
+    # what the model has learned decides: another language's texts stay when it is learned, and go when it isn't wanted
+    assert {r.doc_id for r in language_id.identified_documents(own, ["yy"]).collect()} == {i for i, _, k in rows[:300] if k == "yy"} | {None}
+    without = own.withColumn("lang", F.when(F.col("lang") != "zz", F.col("lang")))
+    assert sum(r.lang is None for r in language_id.identified_documents(without).collect()) < 50
     assert {r.lang_pred for r in language_id.identify(own.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
     assert language_id.identify(empty(docs)).count() == 0
 
 
+def test_output_codes_decode_like_plain_loops():
+    """Features, bits, weighted losses, winner, score and flag of each text, one n-gram and one bit at a time."""
+    rng = random.Random(5)
+    letters = ["abcdé", "cdefg", "fghij", "ijkab"]
+    prose = lambda k, n: " ".join("".join(rng.choice(letters[k]) for _ in range(4)) for _ in range(n))
+    learn = [(prose(i % 4, 15), "klmn"[i % 4]) for i in range(200)]
+    model = language_id.OutputCodes(language_id.features(pa.array([t for t, _ in learn])), [k for _, k in learn])
+    test = [prose(i % 4, rng.randrange(1, 30)) for i in range(40)] + [prose(0, 10) + " " + prose(1, 10), "1", "", "ñ", "Ab  CD", None]
+    names, scores, close, far = language_id._answers(pa.array(test, pa.string()), model)
+    for i, t in enumerate(test):
+        raw = bytes(c | 32 if 65 <= c <= 90 else c if c > 127 or 97 <= c <= 122 else 32 for c in (t or "").encode() + b"\n")
+        x = np.zeros(language_id.BUCKETS)
+        for size in (2, 3):
+            for j in range(len(raw) - size + 1):
+                gram = raw[j : j + size]
+                if gram != b" " * size:
+                    x[((int.from_bytes(gram, "big") * 0x9E3779B1 + size) % 2**32) >> 20] += 1
+        x = np.sqrt(x)
+        x /= max(math.sqrt(sum(x**2)), 1e-9)
+        bits = [float(np.dot(x, model.w[:-1, b]) + model.w[-1, b]) for b in range(model.w.shape[1])]
+        losses = [sum(math.log(1 + math.exp(-f * c)) * k for f, c, k in zip(bits, code, weights, strict=True)) for code, weights in zip(model.code, model.weights, strict=True)]
+        if not any(c.isalpha() for c in t or ""):
+            assert (names[i], scores[i], close[i]) == ("und", 0, False)
+            continue
+        first, second = sorted(losses)[:2]
+        assert names[i] == model.names[losses.index(first)] and far[i] == pytest.approx(first, rel=1e-3, abs=1e-5)
+        assert scores[i] == pytest.approx(1 / sum(math.exp(first - x) for x in losses), rel=1e-3)
+        assert abs(second - first - language_id.MARGIN) < 1e-4 or close[i] == (second - first < language_id.MARGIN)
+
+
 def test_codewords_are_apart():
     for n in (2, 3, 5, 9, 40):
         code = language_id.codewords(n)

@@ -4,15 +4,17 @@ Each language has a codeword; for each of its bits a binary classifier over hash
 (regularised logistic regression, all bits in one descent). A text's outputs are compared with every codeword:
 each bit's logistic loss is weighted by how well its classifier did on that language in training, and the nearest
 codeword wins. The score is the winner's share of exp(-loss); a text whose two nearest codewords are less than
-MARGIN apart is flagged ambiguous.
+MARGIN apart is flagged ambiguous. The loss itself tells how far a text is from all learned languages: log(2) is what
+classifiers give that know nothing of it, so a text beyond FAR is in none of them.
 
 The classifier is fitted on about SAMPLE_DOCS documents a language and SAMPLE_ALL in all, chosen by hashes of
 their ids (a documented bound); every text is read whole and predicted.
 
 Results by case: null texts and texts without a letter are `und` with score 0; rows with null lang or null
-doc_id aren't learned from, and a null doc_id counts as held out; without any language to learn all texts are
-`und`; with one language all others are that; repeated rows stay; an empty table gives an empty result; other
-columns are passed over.
+doc_id and texts without a letter aren't learned from, and a null doc_id counts as held out; without any language to learn all texts are
+`und`; with one language all others are that; of equally near codewords the first in the order of names wins; repeated
+rows stay; a very long text takes about 100 bytes of memory for each of its own; an empty table gives an empty result;
+other columns are passed over.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ STEPS, RATE, RIDGE = 300, 20.0, 1e-4
 FEATURE_BYTES = 1 << 19
 #: Difference of losses under which a text is ambiguous.
 MARGIN = 0.02
+#: Loss against the nearest codeword beyond which a text is in no learned language.
+FAR = 0.4
 UNDETERMINED = "und"
 
 _LETTERS = W.LOWER.copy()
@@ -119,25 +123,21 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> OutputCodes | None:
     """Learn from rows with columns text, lang and h, a hash of the id: those whose hashes are in a share that holds about sample_docs of each language."""
-    counts = {r.lang: r.n for r in docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a language
-    each = max(20, min(sample_docs, SAMPLE_ALL // max(1, len(counts))))
+    counts = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    each = max(20, min(sample_docs, SAMPLE_ALL // max(1, counts.count())))
     share = F.pmod("h", F.lit(1 << 30)) / float(1 << 30)
-    below = F.lit(True)
-    for lang, n in counts.items():
-        if n > each:
-            below = below & ((F.col("lang") != lang) | (share < each / n))
-    sample = docs.where(below).select("text", "lang").mapInArrow(_sampled, "lang string, x binary").toArrow()
+    sample = docs.join(counts, "lang").where(share < each / F.col("n")).select("text", "lang").mapInArrow(_sampled, "lang string, x binary").toArrow()
     if not sample.num_rows:
         return None
     x = np.stack([np.frombuffer(r.as_py(), np.float16) for r in sample["x"]]).astype(np.float32)
     return OutputCodes(x, sample["lang"].to_pylist())
 
 
-def _answers(texts: pa.Array, model: OutputCodes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Name, score and ambiguity of each text."""
+def _answers(texts: pa.Array, model: OutputCodes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Name, score, ambiguity and loss against the nearest codeword of each text."""
     n = len(texts)
     letter = pc.match_substring_regex(texts, r"\p{L}").fill_null(False).to_numpy(zero_copy_only=False)
-    name, score, close = np.full(n, UNDETERMINED, object), np.zeros(n), np.zeros(n, bool)
+    name, score, close, far = np.full(n, UNDETERMINED, object), np.zeros(n), np.zeros(n, bool), np.full(n, np.inf)
     if model is not None:
         loss = model.losses(features(texts))
         order = np.sort(loss, 1)
@@ -145,25 +145,30 @@ def _answers(texts: pa.Array, model: OutputCodes | None) -> tuple[np.ndarray, np
         name[letter] = np.array(model.names, object)[loss.argmin(1)][letter]
         score[letter] = (1 / share.sum(1))[letter]
         close = letter & (order[:, min(1, loss.shape[1] - 1)] - order[:, 0] < MARGIN) & (loss.shape[1] > 1)
-    return name, score, close
+        far[letter] = order[letter, 0]
+    return name, score, close, far
 
 
 def _predicted(batches: Iterator[pa.RecordBatch], model: OutputCodes | None) -> Iterator[pa.RecordBatch]:
     for chunk in W.chunks(batches, limit=FEATURE_BYTES):
-        name, score, close = _answers(chunk["text"], model)
+        name, score, close, _ = _answers(chunk["text"], model)
         yield pa.RecordBatch.from_pydict({"doc_id": chunk["doc_id"], "held_out": chunk["held_out"], "lang_pred": pa.array(name.tolist(), pa.string()), "score": score, "ambiguous": close})
 
 
-def _kept(batches: Iterator[pa.RecordBatch], model: OutputCodes | None) -> Iterator[pa.RecordBatch]:
+def _kept(batches: Iterator[pa.RecordBatch], model: OutputCodes | None, languages: list[str] | None) -> Iterator[pa.RecordBatch]:
     for chunk in W.chunks(batches, limit=FEATURE_BYTES):
-        yield chunk.filter(pa.array(_answers(chunk["text"], model)[0] != UNDETERMINED))
+        name, _, close, far = _answers(chunk["text"], model)
+        stays = (name != UNDETERMINED) & ~close & (far <= FAR)
+        if languages is not None:
+            stays &= np.isin(name.astype(str), languages)
+        yield chunk.filter(pa.array(stays))
 
 
 def _learned(docs: DataFrame) -> tuple[DataFrame, OutputCodes | None]:
     """The columns for learning with held_out, and the model of the rows that aren't."""
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(FOLDS))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"), F.coalesce(fold == HELD_FOLD, F.lit(True)).alias("held_out"))
-    return own, fit(own.where("not held_out and lang is not null and text is not null").select("text", "lang", F.xxhash64("doc_id", F.lit(11)).alias("h")))
+    return own, fit(own.where("not held_out and lang is not null").where(F.col("text").rlike(r"\p{L}")).select("text", "lang", F.xxhash64("doc_id", F.lit(11)).alias("h")))
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -173,10 +178,10 @@ def identify(docs: DataFrame) -> DataFrame:
     return own.select("doc_id", "held_out", "text").mapInArrow(lambda b: _predicted(b, shared.value), "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
 
 
-def identified_documents(docs: DataFrame) -> DataFrame:
-    """The rows of docs, with all their columns, that have a language; ambiguous ones stay, as clean texts in two languages are ambiguous too."""
+def identified_documents(docs: DataFrame, languages: list[str] | None = None) -> DataFrame:
+    """The rows of docs, with all their columns, that are in a learned language (one of `languages`, if given): not `und`, not ambiguous between two, and not beyond FAR from all."""
     shared = docs.sparkSession.sparkContext.broadcast(_learned(docs)[1])
-    return docs.mapInArrow(lambda b: _kept(b, shared.value), docs.schema)
+    return docs.mapInArrow(lambda b: _kept(b, shared.value, languages), docs.schema)
 
 
 def op7_language_id(spark, sf_dir: str) -> DataFrame:
