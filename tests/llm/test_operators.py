@@ -621,27 +621,100 @@ def test_trie_shares_prefixes_without_changing_results():
     assert list(zip(score.tolist(), count.tolist(), strict=True)) == [best_segmentation(w, scores) for w in words] == [pieces.one(w) for w in words]
 
 
-def test_secret_scan(spark, docs):
+def secret_rows() -> list[tuple]:
     rng = random.Random(8)
     hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
     rows = []
-    for i in range(300):
+    for i in range(400):
         filler = " ".join(rng.choice(["the", "river", "house", "green", "walks"]) for _ in range(30))
-        secret = [f'token = "{hexes(40)}"', f"password={hexes(18)}", "AKIA" + "".join(rng.choice("ABCDEFGHJK234567") for _ in range(16)), f"call +1 (555) 555-{rng.randrange(1000, 9999)}", str(rng.randrange(10**15, 10**16)), ""][i % 6]
-        rows.append((i, f"{filler} {secret} {filler}", "src", 1))
+        kinds = [
+            f'token = "{hexes(40)}"', f"password={hexes(18)}", "AKIA" + "".join(rng.choice("ABCDEFGHJK234567") for _ in range(16)), 'password = "' + "".join(rng.choice("abXYZ!@#$") for _ in range(14)) + '"',
+            f"call +1 (555) 555-{rng.randrange(1000, 9999)}", f"order number {rng.randrange(10**15, 10**16)}", "", f"see section{rng.randrange(10, 99)} overleaf",
+        ]
+        rows.append((i, f"{filler} {kinds[i % 8]} {filler}", "src", 1))
+    return rows
+
+
+def test_secret_scan(spark, docs):
+    rows = secret_rows()
     own = spark.createDataFrame([*rows, (1000, None, None, None), (1001, "", "s", 0), (None, rows[0][1], "s", 5)], "doc_id long, text string, source string, n_chars long")
-    vocabulary, forest = secret_scan.train(own)
-    found = secret_scan.each_finding(secret_scan.scan(own, vocabulary, forest), "doc_id").collect()
+    scanner = secret_scan.train(own)
+    found = secret_scan.each_finding(secret_scan.scan(own, scanner), "doc_id", "text").collect()
     flagged = {r.doc_id for r in found if r.score >= secret_scan.THRESHOLD}
-    assert flagged == {i for i in range(300) if i % 6 < 3} | {None}
-    clean = {r.doc_id: r for r in secret_scan.redact(own, vocabulary, forest).collect()}
-    assert len(clean) == 303 and clean[1000].text is None and clean[1001].text == ""
+    assert flagged == {i for i in range(400) if i % 8 < 4} | {None}
+    assert all(r.text[r.start : r.start + len(r.value)] == r.value for r in found)
+    clean = {r.doc_id: r for r in secret_scan.redact(own, scanner).collect()}
+    assert len(clean) == 403 and clean[1000].text is None and clean[1001].text == ""
     for i, t, _, n in rows:
-        changed = i % 6 < 3
-        assert (clean[i].text != t) == changed and (not changed or (secret_scan.REDACTED in clean[i].text and clean[i].n_chars == len(clean[i].text)))
-        assert changed or clean[i].n_chars == n
+        spans = [(r.start, r.start + len(r.value)) for r in found if r.doc_id == i and r.score >= secret_scan.THRESHOLD]
+        for a, z in sorted(spans, reverse=True):
+            t = t[:a] + secret_scan.REDACTED + t[z:]
+        assert clean[i].text == t and clean[i].n_chars == (len(t) if spans else n)
     nothing = secret_scan.train(empty(docs))
-    assert all(r.score == 0 for r in secret_scan.each_finding(secret_scan.scan(own, *nothing), "doc_id").collect())
-    assert secret_scan.redact(docs, vocabulary, forest).columns == docs.columns
-    plan = secret_scan.scan(own, vocabulary, forest)._jdf.queryExecution().executedPlan().toString()
+    assert all(r.score == 0 for r in secret_scan.each_finding(secret_scan.scan(own, nothing), "doc_id").collect())
+    assert secret_scan.redact(docs, scanner).columns == docs.columns and secret_scan.redact(empty(docs), scanner).count() == 0
+    plan = secret_scan.scan(own, scanner)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_secret_candidates_features_and_forest_match_plain_loops(spark):
+    """Candidates, their spans, every feature and the forest's score of each, by regular expressions and loops over characters."""
+    rows = secret_rows()[:80] + [(500, 'k = "abcd1234" then abcd12345678 and x="p@ss!word" y: \'Zz9-zz9+q\' camelCaseIdentifier =', "a/test/b", 1), (501, "é abcdefg1é 😀 q=1234567890", "a/b", 1)]
+    own = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    scanner = secret_scan.train(own)
+    run = re.compile(r"""[=:]\s?["'`][^\s"'`]{6,}["'`]|=[^\s="'`]{8,}|[A-Za-z0-9+/_-]{8,}""")
+    opening = re.compile(r"""^(=(?:\s?["'`])?|:\s?["'`])""")
+    changes = re.compile(r"(?=[a-z][0-9]|[0-9][a-z]|[A-Z][0-9]|[0-9][A-Z]|[a-z][A-Z]|[A-Z][a-z])")
+    alphabet = secret_scan._ALPHABET
+
+    def score(t, x):
+        while not isinstance(t, float):
+            t = t[2] if x[t[0]] <= t[1] else t[3]
+        return t
+
+    expected = {}
+    for i, text, path, _ in rows:
+        runs = list(run.finditer(text))
+        for m in runs:
+            r = m.group()
+            head = opening.match(r).group() if r[0] in "=:" else ""
+            if not (r[0] in "=:" or re.search("[0-9]", r) or (len(r) >= 12 and re.search("[a-z][A-Z]", r))):
+                continue
+            value = r[len(head) :].rstrip("\"'`") if head else r
+            n = len(value)
+            plain = [alphabet.index("0" if c in "0123456789" else c if c in alphabet[:26] else "_") for c in value.lower()]
+            left = dict.fromkeys(scanner.words)
+            covered, at = 0, 0
+            while at < n:
+                word = next((w for w in left if value.lower().startswith(w, at)), "")
+                covered += len(word)
+                at += max(1, len(word))
+            before, after = text[: m.start() + len(head)][-48:], text[m.end() :][:24]
+            near = sum(scanner.weights.get(w, 0) for w in re.split("[^a-z]+", f"{before} {after}".lower()) if len(w) >= 3)
+            x = [n, sum(c in "0123456789" for c in value) / n, sum("A" <= c <= "Z" for c in value) / n, (len(changes.findall(value)) + len(re.findall("[^A-Za-z0-9]", value))) / n,
+                 sum(ord(scanner.transitions[28 * a + b]) - 40 for a, b in zip(plain, plain[1:])) / (n - 1), covered / n, near, path.count("/"), float("test" in path)]
+            expected[i, m.start() + len(head)] = (value, x, sum(score(t, x) for t in scanner.forest.trees) / len(scanner.forest.trees))
+    found = secret_scan.each_finding(secret_scan.with_features(secret_scan.with_candidates(own), scanner), "doc_id").collect()
+    assert {(r.doc_id, r.start): r.value for r in found} == {k: v[0] for k, v in expected.items()} and len(expected) > 60
+    for r in found:
+        assert r.x == pytest.approx(expected[r.doc_id, r.start][1], abs=1e-6), (r.value, r.before, r.after)
+    scores = {(r.doc_id, r.start): r.score for r in secret_scan.each_finding(secret_scan.scan(own, scanner), "doc_id").collect()}
+    assert scores == pytest.approx({k: v[2] for k, v in expected.items()})
+    assert any(not isinstance(t, float) for t in scanner.forest.trees)
+
+
+def test_secrets_go_at_their_places_under_any_column_names(spark):
+    """A short secret's characters inside another word stay; columns may have the names that scan would like; findings of one's own train it."""
+    text = 'token = "abcd1234" and later abcd12345678 xabcd1234y'
+    rows = [(i, f'token = "{random.Random(i).getrandbits(64):016x}" river', "s", "w", "x", 0) for i in range(40)] + [(100 + i, f"river number {10**15 + i} house", "s", "w", "x", 0) for i in range(40)] + [(900, text, "s", "w", "x", 0)]
+    own = spark.createDataFrame(rows, "doc_id long, text string, source string, _words string, scan string, f int")
+    scanner = secret_scan.train(own)
+    out = secret_scan.redact(own, scanner)
+    assert out.columns == own.columns
+    got = {r.doc_id: r for r in out.collect()}
+    assert got[900].text.startswith('token = "[SECRET]" and later ') and "[SECRET]5678" not in got[900].text and got[900].scan == "x"
+    assert all("[SECRET]" in got[i].text for i in range(40)) and all("[SECRET]" not in got[100 + i].text for i in range(40))
+    labels = secret_scan.each_finding(secret_scan.with_candidates(own), "doc_id").select("value", "before", "after", "path", (F.col("doc_id") >= 100).cast("double").alias("label"))
+    other = secret_scan.fit_scanner(scanner, labels)
+    got = {r.doc_id: r.text for r in secret_scan.redact(own, other).collect()}
+    assert all("[SECRET]" not in got[i] for i in range(40)) and all("[SECRET]" in got[100 + i] for i in range(40))
