@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -227,17 +228,34 @@ def test_simhash_fingerprints_and_components(docs):
     assert simhash_dedup.near_duplicates(empty(docs)).count() == 0
 
 
-@pytest.mark.parametrize("large", [2, 256])
-def test_covering_finds_every_close_pair(spark, large):
+@pytest.mark.parametrize("small,large", [(1, 2), (2, 6), (16, 2000), (1, 2000)])
+def test_covering_links_every_close_pair(spark, small, large):
+    """By joins, by searches in tasks, by further coverings and by parts; a cluster's links are fewer than its pairs."""
     rng = random.Random(5)
     values = set()
     for _ in range(60):
         base = rng.getrandbits(64)
         values |= {base} | {base ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(1, 5))) for _ in range(8)}
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
-    expected = {(min(a, b), max(a, b)) for i, a in enumerate(signed) for b in signed[:i] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 3}
-    found = simhash_dedup.close_pairs(spark.createDataFrame([(v,) for v in signed], "fp long"), 3, large)
-    assert {tuple(r) for r in found.collect()} == expected and len(expected) > 200
+    close = {(min(a, b), max(a, b)) for i, a in enumerate(signed) for b in signed[:i] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 3}
+    found = {(min(r), max(r)) for r in simhash_dedup.close_links(spark.createDataFrame([(v,) for v in signed], "fp long"), 3, small, large).collect()}
+
+    def groups(pairs):
+        least = {v: v for v in signed}
+        for _ in signed:
+            before = dict(least)
+            for a, b in pairs:
+                least[a] = least[b] = min(least[a], least[b])
+            if before == least:
+                return least
+
+    assert found <= close and groups(found) == groups(close) and len(close) > 200
+
+
+def test_a_dense_cluster_gives_few_links():
+    fps = np.array([sum(1 << b for b in own) for k in range(3) for own in itertools.combinations(range(40), k)], np.int64)
+    links = simhash_dedup.spanning(fps, 3)
+    assert len(links) == len(fps) - 1 and all((a ^ b).bit_count() <= 3 for a, b in links)
 
 
 def test_components_of_long_chains(spark):

@@ -5,17 +5,21 @@ the bits whose value has an odd product with v. The values of at most r differin
 whole space, so some v is orthogonal to them all, and the two fingerprints agree under that v's mask: every pair
 within the radius meets in one of the 2**(r+1) - 1 tables, none is missed.
 
-Equal fingerprints become one row before any search, so exact copies cost nothing there. Buckets of over
-LARGE fingerprints are dealt again by a second and third independent covering within the bucket, which keeps the
-guarantee and splits them into ever closer groups; pairs are then compared on 64-bit values in a join.
+Equal fingerprints become one row before any search, so exact copies cost nothing there. A bucket gives links that
+connect what its pairs connect, not all its pairs: those of up to SMALL fingerprints come from a join, those of up to
+LARGE from a search in one task that goes on from each linked fingerprint to those not yet reached. Larger buckets are
+dealt again by a second and third independent covering within the bucket, which keeps the guarantee and splits them
+into ever closer groups. What is still too large then is dealt into parts, and each pair of parts is searched by itself.
 
 Results by case: null and empty texts have fingerprint zero, and link like any other; repeated rows stay, each
-with its result; a null doc_id takes part but never names a component, which is null if all its ids are; an
-empty table gives an empty result; other columns are passed over.
+with its result; a null doc_id takes part but never names a component, which is null if all its ids are; ties don't
+arise, as a component is named by its least doc_id; a very long text is hashed as a whole, in memory for its shingles'
+hashes; an empty table gives an empty result; other columns are passed over.
 """
 
 from __future__ import annotations
 
+import functools
 import random
 from collections.abc import Iterator
 
@@ -31,8 +35,8 @@ from tickerloom.llm.tables import saved, table
 
 RADIUS = 3
 SHINGLE_WORDS = 3
-#: Distinct fingerprints of a bucket that are compared pair by pair; larger buckets are split by further coverings.
-LARGE = 256
+#: Distinct fingerprints of a bucket that a join compares, and that one task searches.
+SMALL, LARGE = 16, 2000
 COVERINGS = 3
 
 
@@ -69,30 +73,53 @@ def _tables(fp: Column, radius: int, seed: int) -> Column:
     return F.explode(F.array(*(F.struct(F.lit(i).alias("t"), fp.bitwiseAND(F.lit(m)).alias("v")) for i, m in enumerate(masks(radius, seed)))))
 
 
-def close_pairs(distinct: DataFrame, radius: int = RADIUS, large: int = LARGE) -> DataFrame:
-    """(a, b), a < b: all pairs of the distinct fingerprints fp that differ in at most radius bits."""
-    found = None
+def spanning(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Pairs within the radius that connect all values which such pairs connect; fewer than there are values."""
+    bits, found, left = fps.view(np.uint64), [], np.arange(len(fps))  # signed values would count the bits of their amounts
+    while len(left):
+        queue, left = [left[0]], left[1:]
+        while queue and len(left):
+            x = queue.pop()
+            near = np.bitwise_count(bits[left] ^ bits[x]) <= radius
+            found += [(int(fps[x]), int(fps[y])) for y in left[near]]
+            queue += left[near].tolist()
+            left = left[~near]
+    return found
+
+
+def _search(bucket: pa.Table, radius: int) -> pa.Table:
+    pairs = spanning(np.unique(bucket["fp"].to_numpy()), radius)
+    return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
+
+
+def close_links(distinct: DataFrame, radius: int = RADIUS, small: int = SMALL, large: int = LARGE) -> DataFrame:
+    """(a, b): pairs of the distinct fingerprints fp that differ in at most radius bits, enough to connect all that such pairs connect."""
+    found, search = [], lambda bucket: _search(bucket, radius)
     rows = distinct.select("fp", F.lit("").alias("path"))
     for level in range(COVERINGS):
         keyed = rows.select("fp", "path", _tables(F.col("fp"), radius, level + 1).alias("k")).select("fp", F.concat_ws("/", "path", "k.t", "k.v").alias("path"))
         sizes = keyed.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         shared = saved(keyed.join(sizes, "path"), "buckets")
-        last = level == COVERINGS - 1
-        small = shared if last else shared.where(F.col("n") <= large)
-        a, b = small.select("path", F.col("fp").alias("a")), small.select("path", F.col("fp").alias("b"))
-        pairs = a.join(b, "path").where((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)).select("a", "b")
-        found = pairs if found is None else found.union(pairs)
-        rows = shared.where(F.col("n") > large).select("fp", "path")
-        if last or rows.isEmpty():
+        few = shared.where(F.col("n") <= small)
+        a, b = few.select("path", F.col("fp").alias("a")), few.select("path", F.col("fp").alias("b"))
+        found.append(a.join(b, "path").where((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)).select("a", "b"))
+        found.append(shared.where((F.col("n") > small) & (F.col("n") <= large)).groupBy("path").applyInArrow(search, "a long, b long"))
+        many = shared.where(F.col("n") > large)
+        if many.isEmpty():
             break
-    return found.distinct()
+        if level == COVERINGS - 1:
+            part = many.withColumn("parts", F.ceil(F.col("n") / large).cast("int")).withColumn("part", F.pmod(F.xxhash64("fp", F.lit(7)), F.col("parts")).cast("int"))
+            cells = part.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)"))).select("fp", "path", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+            found.append(cells.groupBy("path", "i", "j").applyInArrow(search, "a long, b long"))
+        rows = many.select("fp", "path")
+    return functools.reduce(DataFrame.union, found).distinct()
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id) of each row: the least doc_id that chains of fingerprints within the radius reach."""
     own = saved(fingerprints(docs), "fingerprints")
     distinct = saved(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    linked = components(close_pairs(distinct, radius))
+    linked = components(close_links(distinct, radius))
     # labels are fingerprints; a component is named by the least document of any of its fingerprints
     labelled = distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
     named = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
