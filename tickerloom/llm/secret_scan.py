@@ -103,7 +103,7 @@ def learn_vocabulary(texts: DataFrame) -> Scanner:
     words = texts.select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("w")).where("length(w) >= 3").groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     words = saved(words, "words")
     often = [r.w for r in words.orderBy(F.desc("n"), "w").limit(DICTIONARY_WORDS).collect()]
-    pairs = words.select("n", F.explode(F.expr("transform(sequence(1, length(w) - 1), i -> substring(w, i, 2))")).alias("p")).groupBy("p").agg(F.sum("n").alias("n")).collect()  # 26 * 26 rows at most
+    pairs = words.select("n", F.explode(F.expr("element_at(transform(array(split(w, '')), c -> transform(slice(c, 2, size(c)), (x, i) -> concat(get(c, i), x))), 1)")).alias("p")).groupBy("p").agg(F.sum("n").alias("n")).collect()  # 26 * 26 rows at most
     counts = {r.p: r.n for r in pairs}
     total, size = sum(counts.values()), len(_ALPHABET)
     # one character for each transition, from ( up: its cost in thirds of a nat
@@ -121,8 +121,10 @@ def _features(f: str, scanner: Scanner) -> str:
     plain = f"regexp_replace(translate(lower({f}.value), '123456789', '000000000'), '[^a-z0]', '_')"
     size = len(_ALPHABET)
     transitions = scanner.transitions.replace("\\", "\\\\")  # quotes are below its first character
-    place = lambda i: f"locate(substring(y, {i}, 1), '{_ALPHABET}')"
-    cost = f"element_at(transform(array({plain}), y -> aggregate(sequence(1, {n} - 1), 0D, (a, i) -> a + ascii(substring('{transitions}', {size} * ({place('i')} - 1) + {place('i + 1')}, 1)) - 40)), 1) / ({n} - 1)"
+    place = lambda c: f"locate({c}, '{_ALPHABET}')"
+    # characters as an array, as a place in a string is found by counting from its start
+    each = f"aggregate(transform(slice(y, 2, size(y)), (c, i) -> ascii(substring('{transitions}', {size} * ({place('get(y, i)')} - 1) + {place('c')}, 1)) - 40), 0D, (a, c) -> a + c)"
+    cost = f"element_at(transform(array(split({plain}, '')), y -> {each}), 1) / ({n} - 1)"
     changes = " + ".join(f"regexp_count({f}.value, '{p}')" for p in ("[a-z][0-9]", "[0-9][a-z]", "[A-Z][0-9]", "[0-9][A-Z]", "[a-z][A-Z]", "[A-Z][a-z]", "[^A-Za-z0-9]"))
     covered = f"1D - length(regexp_replace(lower({f}.value), '{'|'.join(scanner.words) or '^$'}', '')) / {n}"
     names, values = ", ".join(f"'{w}'" for w in scanner.weights), ", ".join(f"{v!r}D" for v in scanner.weights.values())

@@ -43,10 +43,29 @@ def shared_folder(spark: SparkSession) -> str:
     return _local[context.applicationId]
 
 
+#: Paths of tables written on the way.
+_written: list[str] = []
+
+
+def written() -> int:
+    """How many tables this process has written on the way; see release."""
+    return len(_written)
+
+
+def release(spark: SparkSession, since: int, kept: DataFrame | None = None) -> None:
+    """Delete the tables written since then, when nothing reads them any more, but for those that `kept` reads."""
+    needed = " ".join(kept.inputFiles()) if kept is not None else ""
+    for path in _written[since:]:
+        if path.rpartition("/")[2] not in needed:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """The table written once to the shared folder and read again: a short lineage that a lost executor can't undo."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
