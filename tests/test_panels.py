@@ -298,3 +298,13 @@ def test_bundle_is_written(spark, small, tmp_path):
 def test_universe_pieces(spark):
     rows = spark.createDataFrame([(day(1), "A", "close", 1.0), (day(1), "A", "close", 2.0)], "date date, symbol string, parameter string, value double")
     assert one(panel.upsert(rows.limit(1), rows.where("value = 2"))).value == 2.0
+
+
+def test_asof_rows_without_a_key_match_nothing(spark):
+    from tickerloom.operators.asof import asof_join
+
+    left = spark.createDataFrame([("a", "2020-01-05"), (None, "2020-01-05"), ("b", "2020-01-05"), ("a", None)], "k string, d string").selectExpr("k", "cast(d as date) as d")
+    right = spark.createDataFrame([("a", "2020-01-01", 1), ("a", "2020-01-01", 3), ("a", "2020-01-01", 2), (None, "2020-01-01", 9), ("b", None, 8)], "k string, at string, v int").selectExpr("k", "cast(at as date) as at", "v")
+    got = {(r.k, r.d is None): r.v for r in asof_join(left, right, ["k"], "d", "at").collect()}
+    assert got == {("a", False): 3, (None, False): None, ("b", False): None, ("a", True): None}
+    assert asof_join(left, right, ["k"], "d", "at", how="inner").count() == 1

@@ -7,6 +7,7 @@ end on both sides, as engines add in different orders.
 from __future__ import annotations
 
 import datetime
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -31,6 +32,17 @@ def step(name: str, sql: str) -> None:
     STEPS[name] = sql
 
 
+def _needed(sql: str) -> list[str]:
+    """The steps that the SQL reads, itself or through others, in order."""
+    found, todo = set(), [sql]
+    while todo:
+        words = set(re.findall(r"\w+", todo.pop()))
+        new = {k for k in STEPS if k in words} - found
+        found |= new
+        todo += [STEPS[k] for k in new]
+    return [k for k in STEPS if k in found]
+
+
 def query(columns: str, sql: str | None = None):
     """Register a query with its columns; `~n` marks a double that is rounded to n places (8 without n)."""
     spec = [(c.partition("~")[0], (int(c.partition("~")[2] or 8) if "~" in c else None)) for c in columns.split()]
@@ -43,8 +55,8 @@ def query(columns: str, sql: str | None = None):
         QUERIES[name] = run
         if sql:
             out = ", ".join(c if n is None else f"round(cast({c} as double), {n}) + 0.0 as {c}" for c, n in spec)
-            chain = ",\n".join(f"{k} as ({v})" for k, v in STEPS.items())
-            ORACLE_SQL[name] = f"with {chain}\nselect {out} from ({sql})"
+            chain = ",\n".join(f"{k} as materialized ({STEPS[k]})" for k in _needed(sql))
+            ORACLE_SQL[name] = f"{f'with {chain}' if chain else ''}\nselect {out} from ({sql})"
         return f
 
     return add
@@ -302,13 +314,13 @@ def classify_subject(spark, sf_dir):
 
 
 @query("symbol direction other event_date event_type other_status", """
-with e as (select cast(o_orderdate as date) as event_date, 'merger' as event_type, concat('P', cast(o_custkey % 50 as string)) as p, concat('P', cast(o_custkey % 70 as string)) as s from orders where o_orderkey % 100 = 0)
+with e as (select cast(o_orderdate as date) as event_date, case when o_orderkey % 3 = 0 then 'merger' else 'rename' end as event_type, concat('P', cast(o_custkey as string)) as p, concat('P', cast(o_custkey + 1 as string)) as s from orders)
 select distinct x.*, case when h.symbol is null then null when l.symbol is null then 'delisted' else 'active' end as other_status from (
   select s as symbol, 'in' as direction, p as other, event_date, event_type from e union all select p, 'out', s, event_date, event_type from e) x
 left join part_history h on h.symbol = x.other left join part_listed l on l.symbol = x.other""")
 def action_lineage(spark, sf_dir):
-    e = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderkey % 100 = 0").selectExpr(
-        "cast(o_orderdate as date) as event_date", "'merger' as event_type", "concat('P', o_custkey % 50) as predecessor_symbols", "concat(' P', o_custkey % 70, ' ') as successor_symbols")
+    e = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+        "cast(o_orderdate as date) as event_date", "if(o_orderkey % 3 = 0, 'merger', 'rename') as event_type", "concat('P', o_custkey) as predecessor_symbols", "concat(' P', o_custkey + 1, ' ') as successor_symbols")
     return corpact.lineage(e, part_history(spark, sf_dir))
 
 
@@ -716,7 +728,9 @@ def active_sector_weights(spark, sf_dir):
     return r.active_sectors(m)
 
 
-@query("gross_ok net_ok weight_ok", "select true as gross_ok, true as net_ok, true as weight_ok")
+@query("gross_ok net_ok weight_ok", """
+select max(abs(x.g - r.gross)) < 1e-9 as gross_ok, max(abs(x.n - r.net)) < 1e-9 as net_ok, max(abs(x.w - 1)) < 1e-9 as weight_ok
+from (select cal_idx, sum(contrib_gross) as g, sum(contrib_net) as n, sum(weight) as w from contribution group by 1) x join returns r using (cal_idx)""")
 def identity_residuals(spark, sf_dir):
     m, r = result(spark, sf_dir)
     found = attribution.identity_residuals(r.contribution(m), r.returns, r.weights)
@@ -904,7 +918,7 @@ def cross_checks(spark, sf_dir):
 step("part_universe", """
 select symbol, quarter_end_date from (select symbol, last_day(date_trunc('quarter', date) + interval 2 month) as quarter_end_date, row_number() over (partition by last_day(date_trunc('quarter', date) + interval 2 month) order by max(close) desc, symbol) as r
 from fx_part_quotes group by 1, 2) where r <= 100""")
-step("part_events", "select cast(o_orderdate as date) as event_date, concat('P', cast(o_custkey as string)) as p, concat('P', cast(o_custkey + 1 as string)) as s from orders where o_orderkey % 3 = 0")
+step("part_events", "select cast(o_orderdate as date) as event_date, concat(case when o_orderkey % 3 = 0 then 'P' else 'Q' end, cast(o_custkey as string)) as p, concat('P', cast(o_custkey + case when o_orderkey % 3 = 0 then 1 else 1000000000 end as string)) as s from orders")
 step("part_spans", "select symbol, min(quarter_end_date) as a, max(quarter_end_date) as z from part_universe group by 1")
 
 
@@ -912,7 +926,7 @@ def part_changes(spark, sf_dir):
     q = fx("part_quotes")(spark, sf_dir)
     u = q.groupBy("symbol", F.last_day(F.add_months(F.trunc("date", "quarter"), 2)).alias("quarter_end_date")).agg(F.max("close").alias("c"))
     u = u.withColumn("r", F.row_number().over(Window.partitionBy("quarter_end_date").orderBy(F.desc("c"), "symbol"))).where("r <= 100")
-    events = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderkey % 3 = 0").selectExpr("cast(o_orderdate as date) as event_date", "'merger' as event_type", "concat('P', o_custkey) as predecessor_symbols", "concat('P', o_custkey + 1) as successor_symbols")
+    events = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("cast(o_orderdate as date) as event_date", "'merger' as event_type", "concat(if(o_orderkey % 3 = 0, 'P', 'Q'), o_custkey) as predecessor_symbols", "concat('P', o_custkey + if(o_orderkey % 3 = 0, 1, 1000000000)) as successor_symbols")
     return quality.unexplained_changes(u, events, part_history(spark, sf_dir))
 
 
