@@ -33,6 +33,8 @@ from tickerloom.llm.tables import table
 FOLDS, HELD_FOLD = 4, 2
 SAMPLE_DOCS = 800
 SAMPLE_ALL = 6400
+#: Counts of up to so many languages are sent to all tasks; beyond that, a join shuffles the texts.
+BROADCAST_LANGUAGES = 1000
 BUCKETS = 1 << 12
 STEPS, RATE, RIDGE = 300, 20.0, 1e-4
 #: Bytes of text whose features are held at once.
@@ -40,7 +42,7 @@ FEATURE_BYTES = 1 << 19
 #: Difference of losses under which a text is ambiguous.
 MARGIN = 0.02
 #: Loss against the nearest codeword beyond which a text is in no learned language.
-FAR = 0.4
+FAR = 0.5
 UNDETERMINED = "und"
 
 _LETTERS = W.LOWER.copy()
@@ -124,7 +126,10 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> OutputCodes | None:
     """Learn from rows with columns text, lang and h, a hash of the id: those whose hashes are in a share that holds about sample_docs of each language."""
     counts = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    each = max(20, min(sample_docs, SAMPLE_ALL // max(1, counts.count())))
+    languages = counts.count()
+    each = max(20, min(sample_docs, SAMPLE_ALL // max(1, languages)))
+    if languages <= BROADCAST_LANGUAGES:
+        counts = F.broadcast(counts)
     share = F.pmod("h", F.lit(1 << 30)) / float(1 << 30)
     sample = docs.join(counts, "lang").where(share < each / F.col("n")).select("text", "lang").mapInArrow(_sampled, "lang string, x binary").toArrow()
     if not sample.num_rows:
