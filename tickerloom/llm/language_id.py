@@ -42,7 +42,7 @@ FEATURE_BYTES = 1 << 19
 #: Difference of losses under which a text is ambiguous.
 MARGIN = 0.02
 #: Loss against the nearest codeword beyond which a text is in no learned language.
-FAR = 0.5
+FAR = 0.4
 UNDETERMINED = "und"
 
 _LETTERS = W.LOWER.copy()
@@ -138,11 +138,12 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> OutputCodes | None:
     return OutputCodes(x, sample["lang"].to_pylist())
 
 
-def _answers(texts: pa.Array, model: OutputCodes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Name, score, ambiguity and loss against the nearest codeword of each text."""
+def _answers(texts: pa.Array, model: OutputCodes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Name, score, ambiguity, loss against the nearest codeword and name of the second nearest of each text."""
     n = len(texts)
     letter = pc.match_substring_regex(texts, r"\p{L}").fill_null(False).to_numpy(zero_copy_only=False)
     name, score, close, far = np.full(n, UNDETERMINED, object), np.zeros(n), np.zeros(n, bool), np.full(n, np.inf)
+    second = name.copy()
     if model is not None:
         loss = model.losses(features(texts))
         order = np.sort(loss, 1)
@@ -151,21 +152,22 @@ def _answers(texts: pa.Array, model: OutputCodes | None) -> tuple[np.ndarray, np
         score[letter] = (1 / share.sum(1))[letter]
         close = letter & (order[:, min(1, loss.shape[1] - 1)] - order[:, 0] < MARGIN) & (loss.shape[1] > 1)
         far[letter] = order[letter, 0]
-    return name, score, close, far
+        second[letter] = np.array(model.names, object)[loss.argsort(1, kind="stable")[:, min(1, loss.shape[1] - 1)]][letter]
+    return name, score, close, far, second
 
 
 def _predicted(batches: Iterator[pa.RecordBatch], model: OutputCodes | None) -> Iterator[pa.RecordBatch]:
     for chunk in W.chunks(batches, limit=FEATURE_BYTES):
-        name, score, close, _ = _answers(chunk["text"], model)
+        name, score, close, *_ = _answers(chunk["text"], model)
         yield pa.RecordBatch.from_pydict({"doc_id": chunk["doc_id"], "held_out": chunk["held_out"], "lang_pred": pa.array(name.tolist(), pa.string()), "score": score, "ambiguous": close})
 
 
 def _kept(batches: Iterator[pa.RecordBatch], model: OutputCodes | None, languages: list[str] | None) -> Iterator[pa.RecordBatch]:
     for chunk in W.chunks(batches, limit=FEATURE_BYTES):
-        name, _, close, far = _answers(chunk["text"], model)
-        stays = (name != UNDETERMINED) & ~close & (far <= FAR)
+        name, _, close, far, second = _answers(chunk["text"], model)
+        stays = (name != UNDETERMINED) & (far <= FAR)
         if languages is not None:
-            stays &= np.isin(name.astype(str), languages)
+            stays &= np.isin(name.astype(str), languages) | (close & np.isin(second.astype(str), languages))
         yield chunk.filter(pa.array(stays))
 
 
@@ -184,7 +186,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def identified_documents(docs: DataFrame, languages: list[str] | None = None) -> DataFrame:
-    """The rows of docs, with all their columns, that are in a learned language (one of `languages`, if given): not `und`, not ambiguous between two, and not beyond FAR from all."""
+    """The rows of docs, with all their columns, that are in a learned language: not `und` and not beyond FAR from all. With `languages`, those predicted as one of them, and those that are ambiguous between one of them and another."""
     shared = docs.sparkSession.sparkContext.broadcast(_learned(docs)[1])
     return docs.mapInArrow(lambda b: _kept(b, shared.value, languages), docs.schema)
 
