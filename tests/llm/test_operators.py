@@ -563,6 +563,36 @@ def test_quality(spark, docs):
     assert quality.score_quality(empty(docs), marks).count() == 0
 
 
+def test_quality_matches_plain_moments_and_distances(spark):
+    """Some statistics by counting characters, class moments by loops, distances by inverse and determinant."""
+    rng = random.Random(16)
+    word = lambda k: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 6 + 3 * k)))
+    rows = [(i, " ".join(word(i % 2).upper() if rng.random() < 0.2 * (i % 2) else word(i % 2) + ",." * (rng.random() < 0.1) for _ in range(rng.randrange(20, 60))) + "\n7!") for i in range(240)]
+    labels = [(i, i % 2) for i in range(200)]
+    own = spark.createDataFrame([*rows, (900, ""), (901, None)], "doc_id long, text string").repartition(3)
+    x = {r.doc_id: list(r.x) for r in quality.text_statistics(own).collect()}
+    for i, t in rows:
+        raw, words = len(t) + 1, t.split()
+        share = lambda chars: math.sqrt(sum(c in chars for c in t) / raw)  # noqa: B023, E731
+        expected = {"log_bytes": math.log1p(raw), "upper": share("ABCDEFGHIJ"), "digit": share("0123456789"), "end_marks": share("!?"), "commas": share(".,;:"), "word_length": math.log1p(sum(map(len, words)) / len(words)),
+                    "long_words": math.sqrt(sum(len(w) > 12 for w in words) / len(words)), "distinct_words": len(set(words)) / len(words), "repeated_next": math.sqrt(sum(a == b for a, b in zip(words, words[1:])) / len(words))}
+        assert [x[i][quality.STATISTICS.index(k)] for k in expected] == pytest.approx(list(expected.values()))
+    learn = {k: [x[i] for i, y in labels if y == k and zlib.crc32(str(i).encode()) % 5] for k in (0, 1)}
+    size, total = len(quality.STATISTICS), sum(map(len, learn.values()))
+    mean = {k: [sum(r[a] for r in v) / len(v) for a in range(size)] for k, v in learn.items()}
+    cov = {k: np.array([[sum((r[a] - mean[k][a]) * (r[b] - mean[k][b]) for r in v) / len(v) for b in range(size)] for a in range(size)]) for k, v in learn.items()}
+    pooled = sum(len(learn[k]) / total * cov[k] for k in cov)
+    log = {}
+    for k, c in cov.items():
+        c = (1 - quality.POOLED - quality.DIAGONAL) * c + quality.POOLED * pooled + quality.DIAGONAL * np.diag(np.diag(c)) + quality.FLOOR * np.eye(size)
+        inverse, half = np.linalg.inv(c), np.linalg.slogdet(c)[1] / 2
+        log[k] = {i: -0.5 * (np.array(r) - mean[k]) @ inverse @ (np.array(r) - mean[k]) - half for i, r in x.items()}
+    got = {r.doc_id: r.score for r in quality.score_quality(own, spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
+    for i in x:
+        odds = (log[1][i] - log[0][i]) / quality.TEMPER + math.log(len(learn[1]) / len(learn[0]))
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-max(-500, min(500, odds)))), rel=1e-4, abs=1e-9)
+
+
 def test_media_round_trip(docs):
     rows = plain(docs)
     got = media.media_features(media.encode_media(docs)).collect()
