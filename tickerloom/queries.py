@@ -8,15 +8,18 @@ from __future__ import annotations
 
 import datetime
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickerloom import fixtures
+from tickerloom.functions import scalars
 from tickerloom.operators import asof, attribution, corpact, fundamentals, holdings, metrics, panel, quality, reports, select, signals, timeline, universe, weights
 from tickerloom.plans.runs import Config, Market, Result, configs_table, run_bounds, run_strategies, targets
-from tickerloom.sources.staging import staged
+from tickerloom.sources import readers
+from tickerloom.sources.staging import shared_folder, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -981,3 +984,59 @@ def two_key_lookup(spark, sf_dir):
     master = s.where("s_suppkey % 4 = 0").selectExpr("concat('I', s_suppkey) as isin", "cast(null as string) as ticker", "concat('by isin ', s_suppkey) as sector").unionByName(
         s.where("s_suppkey % 3 = 0").selectExpr("cast(null as string) as isin", "concat('S', s_suppkey) as ticker", "concat('by ticker ', s_suppkey) as sector"))
     return universe.lookup_by_isin_or_ticker(rows, master, "sector")
+
+
+# ---- landed files and texts --------------------------------------------------------------------------------------
+
+
+def landed(spark, name: str) -> str:
+    """A new folder for files of a query."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("date symbol parameter value~", "select date, symbol, 'close' as parameter, close as value from fx_quotes union all select date, symbol, 'volume', volume from fx_quotes")
+def landed_panel(spark, sf_dir):
+    path = landed(spark, "panel")
+    readers.write_long_panel(panel.melt_panel(quotes(spark, sf_dir), ["close", "volume"]), path)
+    return readers.read_long_panel(spark, path)
+
+
+@query("symbol date", "select symbol, date from fx_quotes")
+def landed_daily_symbols(spark, sf_dir):
+    path = landed(spark, "daily")
+    quotes(spark, sf_dir).write.parquet(path)
+    return readers.daily_symbols(spark, path)
+
+
+@query("symbol isin company_name listing_date", "select concat('P', cast(p_partkey as string)) as symbol, concat('IN', cast(p_partkey as string)) as isin, p_name as company_name, date '2001-03-31' as listing_date from part where p_partkey % 3 <> 0")
+def landed_listed(spark, sf_dir):
+    """Listed equities of the main board among those of other series, from CSV with the exchange's headers."""
+    path = landed(spark, "listed")
+    rows = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr(
+        "concat('P', p_partkey) as SYMBOL", "p_name as `NAME OF COMPANY`", "if(p_partkey % 3 <> 0, 'EQ', 'BE') as ` SERIES`", "'31-MAR-2001' as ` DATE OF LISTING`", "concat('IN', p_partkey) as ` ISIN NUMBER`")
+    rows.write.option("header", True).csv(path)
+    return readers.read_listed(spark, path)
+
+
+@query("date close~", "select date, close from fx_tri")
+def landed_levels(spark, sf_dir):
+    """A benchmark's history in two overlapping chunks of CSV, of which the later one counts."""
+    tri = fx("tri")(spark, sf_dir)
+    paths = {"old": landed(spark, "old"), "new": landed(spark, "new")}
+    tri.where("date < date'1997-01-01'").withColumn("close", F.when(F.col("date") >= "1996-01-01", 0.0).otherwise(F.col("close"))).write.option("header", True).csv(paths["old"])
+    tri.where("date >= date'1996-01-01'").write.option("header", True).csv(paths["new"])
+    return readers.consolidate_levels([readers.benchmark_level(spark, paths, k) for k in ("old", "new")])
+
+
+@query("o_orderkey filed quarter_end year_end name amount~ record growth~", """
+select o_orderkey, cast(o_orderdate as date) as filed, last_day(o_orderdate) as quarter_end, make_date(year(o_orderdate), 3, 31) as year_end,
+  trim(regexp_replace(lower(o_orderpriority), '[^a-z0-9]+', '_', 'g'), '_') as name, 1000 + o_orderkey % 1000 as amount, o_orderkey as record, (o_totalprice - o_orderkey) / nullif(o_orderkey, 0) as growth from orders""")
+def parsed_texts(spark, sf_dir):
+    """Dates, periods, names, numbers and ids as filings and pages spell them."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    period = F.concat(F.date_format("o_orderdate", "MMM yyyy"), F.expr("case o_orderkey % 3 when 0 then ' TTM' when 1 then 'ttm' else '' end"))
+    filed = F.expr("date_format(o_orderdate, case o_orderkey % 3 when 0 then 'dd-MMM-yyyy' when 1 then 'dd-MM-yyyy' else 'yyyy-MM-dd' end)")
+    return o.select(
+        "o_orderkey", scalars.parse_date(filed).alias("filed"), scalars.period_end(period).alias("quarter_end"), scalars.period_end(period, True).alias("year_end"), scalars.snake_case(F.concat(F.lit(" "), "o_orderpriority", F.lit(" %"))).alias("name"),
+        scalars.parse_number(F.expr("concat('1,', lpad(o_orderkey % 1000, 3, '0'), '%')")).alias("amount"), scalars.record_id(F.col("o_orderkey").cast("string")).alias("record"), scalars.sign_safe_growth(F.col("o_totalprice"), F.col("o_orderkey")).alias("growth"),
+    )
