@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tickerloom.llm import sql
 from tickerloom.llm.decontaminate import op3_decontaminate
+from tickerloom.llm.filter_audit import op13_filter_audit
 from tickerloom.llm.language_id import op7_language_id
 from tickerloom.llm.lm_score import op5_lm_score
 from tickerloom.llm.media import op8_media
@@ -25,10 +26,12 @@ QUERIES = {
     "op8_media": op8_media,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 #: The others hash with XXH64, learn models, tokenize or transform samples, which SQL can't express.
 ORACLE_SQL: dict[str, str] = {
     "op3_decontaminate": sql.DECONTAMINATE,
     "op9_substring_dedup": sql.SUBSTRING_DEDUP,
+    "op13_filter_audit": sql.FILTER_AUDIT,
 }

@@ -37,3 +37,38 @@ kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS stay FROM each_word
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(stay, '')) AS kept_sha256
 FROM docs LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+#: Operator 13: bits of the failed filters of each document, counted along all orders of the filters.
+FILTER_AUDIT = r"""
+WITH docs AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+fails AS (
+  SELECT doc_id, part,
+         CASE WHEN len(words) < 100 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN min(doc_id) OVER (PARTITION BY t) < doc_id THEN 16 ELSE 0 END AS bits
+  FROM docs),
+marks AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+found AS (
+  SELECT part, bits, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM fails LEFT JOIN marks USING (doc_id) GROUP BY part, bits),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c, unnest([1, 2, 4, 8, 16]) AS b),
+orders AS (
+  SELECT v.c || w.c || x.c || y.c || z.c AS filter_order, [v.b, w.b, x.b, y.b, z.b] AS bs
+  FROM letters v, letters w, letters x, letters y, letters z WHERE v.b + w.b + x.b + y.b + z.b = 31 AND (v.b | w.b | x.b | y.b | z.b) = 31),
+steps AS (SELECT filter_order, step, bs[step] AS bit, coalesce(list_sum(bs[1:step - 1]), 0)::BIGINT AS earlier FROM orders, range(1, 6) r(step)),
+each AS (
+  SELECT part, filter_order, step, bit,
+         sum(CASE WHEN bits & bit = 0 AND bits & earlier = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN bits & bit <> 0 AND bits & earlier = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN bits & bit <> 0 AND bits & earlier <> 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN bits = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN bits & bit <> 0 AND bits & earlier = 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN bits & bit <> 0 AND bits & earlier = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM found, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM each
+"""
