@@ -9,6 +9,7 @@ from tickerloom.llm.language_id import op7_language_id
 from tickerloom.llm.lm_score import op5_lm_score
 from tickerloom.llm.media import op8_media
 from tickerloom.llm.packing import op6_packing
+from tickerloom.llm.periodic_runs import op11_periodic_runs
 from tickerloom.llm.quality import op4_quality
 from tickerloom.llm.secret_scan import op1_secret_scan
 from tickerloom.llm.simhash_dedup import op2_simhash_dedup
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_media": op8_media,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_periodic_runs": op11_periodic_runs,
     "op13_filter_audit": op13_filter_audit,
 }
 
