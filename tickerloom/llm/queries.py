@@ -8,6 +8,7 @@ from tickerloom.llm.filter_audit import op13_filter_audit
 from tickerloom.llm.language_id import op7_language_id
 from tickerloom.llm.lm_score import op5_lm_score
 from tickerloom.llm.media import op8_media
+from tickerloom.llm.order_minhash import op12_order_minhash
 from tickerloom.llm.packing import op6_packing
 from tickerloom.llm.periodic_runs import op11_periodic_runs
 from tickerloom.llm.quality import op4_quality
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_order_minhash": op12_order_minhash,
     "op13_filter_audit": op13_filter_audit,
 }
 
