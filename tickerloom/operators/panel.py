@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tickerloom.operators.timeline import calendar
@@ -58,11 +58,24 @@ def dense_returns(quotes: DataFrame, cal: DataFrame | None = None) -> DataFrame:
     return full.select("symbol", "date", "cal_idx", "close_raw", "volume", "close", "ret", "first_close", "last_valid")
 
 
+def rolling_median(value: Column, window: WindowSpec, least: int) -> Column:
+    """The exact median over a bounded frame, null below `least` values: its few values are sorted for each row, without a map of them."""
+    values = F.sort_array(F.collect_list(value).over(window))
+    # an outer lambda binds the array, so it is sorted once
+    middle = F.transform(F.array(values), lambda x: (F.get(x, F.floor((F.size(x) - 1) / 2).cast("int")) + F.get(x, F.floor(F.size(x) / 2).cast("int"))) / 2)[0]
+    return F.when(F.count(value).over(window) >= least, middle)
+
+
 def with_adv(dense: DataFrame, rows: int = 30, least: int = 10) -> DataFrame:
     """dense with adv: exact rolling median of traded value over the last rows, null below `least` values."""
-    value = F.col("close_raw") * F.col("volume")
     w = Window.partitionBy("symbol").orderBy("cal_idx").rowsBetween(-(rows - 1), 0)
-    return dense.withColumn("adv", F.when(F.count(value).over(w) >= least, F.percentile(value, 0.5).over(w)))
+    return dense.withColumn("adv", rolling_median(F.col("close_raw") * F.col("volume"), w, least))
+
+
+def with_history(dense: DataFrame) -> DataFrame:
+    """dense with history_days: how many calendar days a symbol has had a filled close, up to each day."""
+    first = F.min(F.when(F.col("close_raw").isNotNull(), F.col("cal_idx"))).over(Window.partitionBy("symbol"))
+    return dense.withColumn("history_days", F.col("cal_idx") - first + 1)
 
 
 def adv(dense: DataFrame, rows: int = 30, least: int = 10) -> DataFrame:

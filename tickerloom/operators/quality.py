@@ -10,7 +10,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from tickerloom import schemas
 from tickerloom.operators.corpact import exploded_events
 from tickerloom.operators.panel import KEYS, pivot_panel
 from tickerloom.schemas import PRICE_FIELDS
@@ -226,16 +228,39 @@ def cross_checks(t: Tables) -> list[DataFrame]:
     ]
 
 
+#: The layouts that inputs must have; further columns are allowed.
+LAYOUTS = {
+    "prices": schemas.PANEL, "shares": "symbol STRING, date DATE, total_shares BIGINT, promoter_shares BIGINT, free_float_shares BIGINT", "universe": "quarter_end_date DATE, symbol STRING, rank INT",
+    "metadata": "symbol STRING, first_in_universe_date DATE, last_in_universe_date DATE", "financials": schemas.PANEL, "classification": "symbol STRING, macro_sector STRING, sector STRING, industry STRING, basic_industry STRING",
+}
+
+
+def column_table(schema: StructType, spark) -> DataFrame:
+    """(column, type) of a schema."""
+    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in schema.fields], "column string, type string")
+
+
+def schema_check(name: str, df: DataFrame | None, layout: str, spark) -> DataFrame:
+    """One check: the table is there and has the layout's columns in their types; detail names the missing and the retyped ones."""
+    if df is None:
+        return spark.createDataFrame([(name, "FAIL", None, "no table")], "name string, status string, metric double, detail string")
+    want = column_table(StructType.fromDDL(layout), spark)
+    both = want.join(column_table(df.schema, spark).withColumnRenamed("type", "found"), "column", "full").where("type is not null")
+    off = both.where("found is null or found <> type").select(F.concat_ws(" ", "column", F.coalesce("found", F.lit("missing"))).alias("d"))
+    found = off.agg(F.count(F.lit(1)).alias("metric"), F.nullif(F.array_join(F.array_sort(F.collect_list("d")), ", "), F.lit("")).alias("detail"))  # a few columns
+    return check(name, found, F.col("metric") == 0)
+
+
 def exists_checks(t: Tables, spark) -> list[DataFrame]:
-    names = ("prices", "shares", "universe", "metadata", "financials", "classification")
-    rows = [(f"{n}_exists", "PASS" if getattr(t, n) is not None else "FAIL", None, None) for n in names]
-    return [spark.createDataFrame(rows, "name string, status string, metric double, detail string")]
+    """One check a table: it is there, with the columns and types that the other checks read."""
+    return [schema_check(f"{n}_exists", getattr(t, n), layout, spark) for n, layout in LAYOUTS.items()]
 
 
 def validate(t: Tables, spark, as_of, outlier_threshold: float = 0.5) -> DataFrame:
-    """All checks whose tables are there."""
+    """All checks whose tables are there and have their layout; a table that lacks columns has its own check fail and skips the others."""
     parts = exists_checks(t, spark)
-    have = lambda *names: all(getattr(t, n) is not None for n in names)
+    sound = lambda n: getattr(t, n) is not None and (n not in LAYOUTS or all(f in set(getattr(t, n).columns) for f in StructType.fromDDL(LAYOUTS[n]).names))
+    have = lambda *names: all(map(sound, names))
     if have("shares", "metadata"):
         parts += shares_checks(t)
     if have("universe", "metadata"):

@@ -14,10 +14,7 @@ def pool(tables, rebalances: DataFrame, configs: DataFrame) -> DataFrame:
     days = F.broadcast(tables.cal.select(F.col("date").alias("rebal_date"), "cal_idx"))
     at = snapshot_asof(rebalances.select("run_id", "rebal_date"), tables.universe, "rebal_date").join(days, "rebal_date")
     names = at.join(tables.universe, "quarter_end_date").join(F.broadcast(configs), "run_id")
-    first = F.min(F.when(F.col("close_raw").isNotNull(), F.col("cal_idx"))).over(Window.partitionBy("symbol"))
-    daily = tables.dense.select("symbol", "cal_idx", "close", (F.col("cal_idx") - first + 1).alias("history_days"))
-    daily = daily.join(tables.adv.select("symbol", "cal_idx", "adv"), ["symbol", "cal_idx"])
-    out = names.join(daily, ["symbol", "cal_idx"], "left")
+    out = names.join(tables.daily.select("symbol", "cal_idx", "close", "adv", "history_days"), ["symbol", "cal_idx"], "left")
     return out.join(tables.sectors.select("symbol", F.col("sector").alias("_sector")), "symbol", "left").withColumn("sector", F.coalesce("_sector", F.lit("UNCLASSIFIED"))).drop("_sector")
 
 

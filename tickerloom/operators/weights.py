@@ -7,6 +7,7 @@ weight times scale_r exceeds the cap; capped groups come first, and the first ot
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -89,10 +90,11 @@ def cap_bucket(df: DataFrame, bucket: str, cap: Column, weight: str = "weight")
     return over.withColumn(weight, F.col(weight) * factor).drop("_own", "_cap")
 
 
-def capped(df: DataFrame) -> DataFrame:
+def capped(df: DataFrame, moving: list[int] | None = None) -> DataFrame:
     """df with weight from raw_weight under max_stock_wt, max_sector_wt and the map max_size_bucket_wt, to a joint fixed point.
 
-    One kind of cap is exact in one pass. With several the passes repeat for all rebalances together; converged ones no longer move.
+    One kind of cap is exact in one pass. With several, each pass works on the rebalances that the last one still moved; those
+    that have converged are set aside. The number of rebalances that still move after each pass is added to `moving`.
     """
     df = df.withColumn("weight", F.col("raw_weight"))
     used = df.agg(F.max(F.col("max_stock_wt").isNotNull()).alias("stock"), F.max(F.col("max_sector_wt").isNotNull()).alias("sector"), F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.map_keys("max_size_bucket_wt"))))).alias("buckets")).first()
@@ -107,15 +109,22 @@ def capped(df: DataFrame) -> DataFrame:
         steps.append(lambda x, name=name: cap_bucket(x, name, F.col("max_size_bucket_wt")[name]))
     if len(steps) <= 1:
         return steps[0](df) if steps else df
+    # rebalances under one kind of cap are done after one pass, and need no second one to say so
+    kinds = F.col("max_stock_wt").isNotNull().cast("int") + F.col("max_sector_wt").isNotNull().cast("int") + F.coalesce(F.size(F.map_filter("max_size_bucket_wt", lambda k, v: v.isNotNull())), F.lit(0))
+    done: list[DataFrame] = []
     for _ in range(PASSES):
-        before = df.withColumn("_before", F.col("weight"))
+        after = df.withColumn("_before", F.col("weight"))
         for step in steps:
-            before = step(before)
-        df = staged(before)
-        moved = df.agg(F.max(F.abs(F.col("weight") - F.col("_before")))).first()[0]
-        df = df.drop("_before")
-        if moved is None or moved <= CONVERGED:
-            return df
+            after = step(after)
+        change = F.max(F.abs(F.col("weight") - F.col("_before"))).over(Window.partitionBy(*KEYS))
+        after = staged(after.withColumn("_moves", (change > CONVERGED) & (kinds > 1)).drop("_before"))
+        done.append(after.where("not _moves").drop("_moves"))
+        df = after.where("_moves").drop("_moves")
+        n = df.select(*KEYS).distinct().count()
+        if moving is not None:
+            moving.append(n)
+        if not n:
+            return functools.reduce(DataFrame.unionByName, done)
     raise InfeasibleCap(f"the caps have no joint fixed point after {PASSES} passes")
 
 

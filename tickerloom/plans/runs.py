@@ -72,6 +72,7 @@ class Market:
     """Panels that all runs share."""
 
     cal: DataFrame
+    daily: DataFrame
     dense: DataFrame
     adv: DataFrame
     universe: DataFrame
@@ -84,8 +85,8 @@ class Market:
         """The panels staged once: calendar, dense prices with traded value, universe and the rest."""
         cal = staged(timeline.calendar(quotes))
         dense = panel.dense_returns(quotes, cal)
-        both = staged(panel.with_adv(dense))
-        return cls(cal, both.drop("adv"), both.select("symbol", "date", "cal_idx", "adv"), staged(universe), staged(sectors), staged(financials), staged(benchmark))
+        both = staged(panel.with_history(panel.with_adv(dense)))
+        return cls(cal, both, both.drop("adv", "history_days"), both.select("symbol", "date", "cal_idx", "adv"), staged(universe), staged(sectors), staged(financials), staged(benchmark))
 
 
 @dataclass

@@ -1040,3 +1040,6 @@ def parsed_texts(spark, sf_dir):
         "o_orderkey", scalars.parse_date(filed).alias("filed"), scalars.period_end(period).alias("quarter_end"), scalars.period_end(period, True).alias("year_end"), scalars.snake_case(F.concat(F.lit(" "), "o_orderpriority", F.lit(" %"))).alias("name"),
         scalars.parse_number(F.expr("concat('1,', lpad(o_orderkey % 1000, 3, '0'), '%')")).alias("amount"), scalars.record_id(F.col("o_orderkey").cast("string")).alias("record"), scalars.sign_safe_growth(F.col("o_totalprice"), F.col("o_orderkey")).alias("growth"),
     )
+
+
+from tickerloom import landed_queries  # noqa: E402, F401  registers its queries
