@@ -22,7 +22,7 @@ table gives an empty result; other columns are passed over.
 
 from __future__ import annotations
 
-import bisect
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,7 +34,8 @@ BINS, BIN_BITS = 64, 6
 TUPLE = 2
 #: Longer words are cut into pieces of so many characters.
 PIECE_CHARS = 16
-BLOCK_BYTES = 256 << 20
+#: Text of a block of neighbouring doc_ids, and how many blocks there are at least.
+BLOCK_BYTES, LEAST_BLOCKS = 256 << 20, 256
 
 _DIGITS = 4
 
@@ -96,40 +97,49 @@ def _block(doc_id: Column, h: Column, bounds: list[int], parts: int) -> Column:
     return F.when(doc_id.isNull(), unknown).otherwise(known)
 
 
-def with_successor(rows: DataFrame, columns: list[str], parts: int) -> DataFrame:
-    """rows (doc_id, h, ...) with next_<column>: the columns of the next row by descending doc_id and ascending h; of the first row after the last."""
+def with_successor(rows: DataFrame, columns: list[str], parts: int, extend: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """rows (doc_id, h, ...), extended, with next_<column>: the columns of the next row by descending doc_id and ascending h; of the first row after the last.
+
+    extend adds columns that follow from a row; they are computed once a row, and once more for the first row of each block.
+    """
     quantiles = [i / parts for i in range(1, parts)]
     found = rows.agg(F.approx_percentile("doc_id", quantiles, max(10_000, 20 * parts)).alias("q")).first()["q"] or []
     bounds = sorted(set(found), reverse=True)
-    dealt = rows.withColumn("block", _block(F.col("doc_id"), F.col("h"), bounds, parts))
+    block = _block(F.col("doc_id"), F.col("h"), bounds, parts)
+    dealt = extend(rows.withColumn("block", block))
     order = [F.desc_nulls_last("doc_id"), F.asc("h")]
     w = Window.partitionBy("block").orderBy(*order)
     ahead = dealt.withColumns({"next_block": F.lead("block").over(w)} | {f"next_{c}": F.lead(c).over(w) for c in columns})
     # the first row of each block, and the block before it that has rows: of known ids first, one row a block
-    firsts = dealt.groupBy("block").agg(F.min_by(F.struct("doc_id", "h"), F.struct((-F.col("doc_id")).alias("d"), "h")).alias("k")).collect()
+    firsts = rows.withColumn("block", block).groupBy("block").agg(F.min_by(F.struct("doc_id", "h"), F.struct((-F.col("doc_id")).alias("d"), "h")).alias("k")).collect()
     blocks = sorted(r["block"] for r in firsts)
     if not blocks:
-        return ahead.drop("block", "next_block", "h")
+        return ahead.drop("block", "next_block", "h").select(*[c for c in dealt.columns if c not in ("h", "block")], *(f"next_{c}" for c in columns))
     heads = {r["block"]: r["k"] for r in firsts}
     before = [(blocks[i - 1], b, heads[b]["doc_id"], heads[b]["h"]) for i, b in enumerate(blocks)]
     wanted = F.broadcast(rows.sparkSession.createDataFrame(before, "to_block int, block int, doc_id long, h long"))
-    same = dealt.alias("r").join(wanted.alias("w"), (F.col("r.block") == F.col("w.block")) & F.col("r.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("r.h") == F.col("w.h")))
-    head = same.groupBy("w.to_block").agg(*(F.first(f"r.{c}").alias(f"head_{c}") for c in columns))  # equal rows have equal columns
+    same = rows.alias("r").join(wanted.alias("w"), F.col("r.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("r.h") == F.col("w.h")))
+    plain = same.groupBy("w.to_block").agg(*(F.first(f"r.{c}").alias(c) for c in rows.columns))  # equal rows have equal columns
+    head = extend(plain).select("to_block", *(F.col(c).alias(f"head_{c}") for c in columns))
     out = ahead.join(F.broadcast(head), F.col("next_block").isNull() & (F.col("block") == F.col("to_block")), "left")
-    return out.withColumns({f"next_{c}": F.when(F.col("next_block").isNull(), F.col(f"head_{c}")).otherwise(F.col(f"next_{c}")) for c in columns}).select(*[c for c in rows.columns if c != "h"], *(f"next_{c}" for c in columns))
+    return out.withColumns({f"next_{c}": F.when(F.col("next_block").isNull(), F.col(f"head_{c}")).otherwise(F.col(f"next_{c}")) for c in columns}).select(*[c for c in dealt.columns if c not in ("h", "block")], *(f"next_{c}" for c in columns))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, h) of each row."""
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"))
 
 
 def fingerprinted(docs: DataFrame) -> DataFrame:
     """(doc_id, text, h, fp) of each row."""
-    text = F.coalesce("text", F.lit(""))
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"))
-    return with_fingerprint(own, "text", "fp")
+    return with_fingerprint(keyed(docs), "text", "fp")
 
 
 def op12_order_minhash(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     size = docs.select(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    pairs = with_successor(fingerprinted(docs), ["text", "fp"], block_count(size, BLOCK_BYTES))
+    pairs = with_successor(keyed(docs), ["text", "fp"], block_count(size, BLOCK_BYTES, LEAST_BLOCKS), lambda df: with_fingerprint(df, "text", "fp"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = pairs.select("doc_id", n.cast("long").alias("n_chars"), "fp", "next_fp", F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half)).alias("edited"))
