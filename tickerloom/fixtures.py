@@ -41,13 +41,13 @@ from {supplier} join {nation} on s_nationkey=n_nationkey join {region} on n_regi
 
 TRI = """select cast(o_orderdate as date) as date, 1000 + sum(o_totalprice)/count(*)/1000 as close from {orders} group by 1"""
 
+#: Every order is an action. Their effects are small, as a symbol has a hundred and more; symbols that end in 7 have no splits.
 ACTIONS = """
-select concat('S', cast(o_custkey % (select count(*) from {supplier}) as string)) as symbol, cast(o_orderdate as date) as ex_date,
-       case when o_orderpriority='1-URGENT' then 'split' when o_orderpriority='2-HIGH' then 'bonus' else 'dividend' end as action_type,
-       case when o_orderpriority='1-URGENT' then 10.0e0 when o_orderpriority='2-HIGH' then 1.0e0 end as ratio_num,
-       case when o_orderpriority='1-URGENT' then 5.0e0 when o_orderpriority='2-HIGH' then 1.0e0 end as ratio_denom,
-       case when o_orderpriority not in ('1-URGENT','2-HIGH') then cast(1.0 + o_orderkey % 50 as double) end as amount
-from {orders} where o_orderkey % 40 = 0"""
+select symbol, ex_date, case when p='1-URGENT' and symbol not like '%7' then 'split' when p='2-HIGH' then 'bonus' else 'dividend' end as action_type,
+       case when p='1-URGENT' and symbol not like '%7' then 98.0e0 + k % 5 when p='2-HIGH' then 1.0e0 end as ratio_num,
+       case when p='1-URGENT' and symbol not like '%7' then 97.0e0 when p='2-HIGH' then 51.0e0 + 6 * (k % 10) end as ratio_denom,
+       case when p='2-HIGH' or (p='1-URGENT' and symbol not like '%7') then null else cast(0.01e0 * (1 + k % 50) as double) end as amount
+from (select o_orderkey as k, o_orderpriority as p, cast(o_orderdate as date) as ex_date, concat('S', cast(o_custkey % (select count(*) from {supplier}) as string)) as symbol from {orders})"""
 
 PART_QUOTES = """select cast(l_shipdate as date) as date, concat('P', cast(l_partkey as string)) as symbol, max(l_extendedprice) as close, cast(sum(l_quantity) as double) as volume from {lineitem} group by 1, 2"""
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickerloom.operators import corpact, quality, weights
+from tickerloom.functions import scalars
+from tickerloom.operators import corpact, extract, quality, universe
 from tickerloom.plans.runs import configs_table, targets
 from tickerloom.queries import AS_OF, BUCKETS, ORACLE_SQL, all_of, base_config, checks_sql, few, fx, landed, market, quality_tables, query, quotes, step
-from tickerloom.sources import sinks
+from tickerloom.sources import readers, sinks
 from tickerloom.sources.staging import staged
 
 # ---- subjects of corporate actions -------------------------------------------------------------------------------
@@ -180,3 +181,172 @@ def schema_guard(spark, sf_dir):
     whole.select("s_suppkey", "s_nationkey", F.col("s_acctbal").cast("string").alias("s_acctbal"), F.lit("x").alias("s_comment")).write.parquet(path)
     layout = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in whole.schema.fields if f.name in ("s_suppkey", "s_name", "s_nationkey", "s_acctbal"))
     return quality.schema_check("suppliers_exists", spark.read.parquet(path), layout, spark)
+
+
+# ---- landed files ------------------------------------------------------------------------------------------------
+
+
+def land_files(df, path: str) -> str:
+    """Rows (file, value) as one text file each, in folders that name the file."""
+    df.select("file", "value").repartition("file").write.partitionBy("file").text(path)
+    return path
+
+
+@query("symbol ex_date action_type ratio_num~ ratio_denom~ amount~ source raw_subject", f"""
+select concat('S', cast(cust % 20 as string)) as symbol, x.d as ex_date, v.action_type, v.ratio_num, v.ratio_denom, v.amount, 'exchange' as source, x.subject as raw_subject
+from (select o_orderkey as key, o_custkey as cust, cast(o_orderdate as date) as d, s.subject from orders join ({VARIED.replace("{orders}", "orders")}) s on s.k = o_orderkey) x join varied v on v.k = x.key
+where v.action_type is not null and key % 7 <> 0""")
+def landed_ledger(spark, sf_dir):
+    """The ledger of actions from JSON files of events, one a symbol, half of them lists and half objects, with dates in four spellings and some unreadable."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    day = "case when o_orderkey % 7 = 0 then '-' else date_format(o_orderdate, case o_orderkey % 3 when 0 then 'dd-MMM-yyyy' when 1 then 'dd-MM-yyyy' else 'yyyy-MM-dd' end) end"
+    events = o.join(spark.sql(VARIED, orders=o), F.col("o_orderkey") == F.col("k")).selectExpr("o_custkey % 20 as c", f"to_json(named_struct('exDate', {day}, 'subject', subject, 'other', o_orderkey)) as entry")
+    files = events.groupBy("c").agg(F.array_join(F.collect_list("entry"), ",\n").alias("l"))
+    files = files.selectExpr("concat('S', c, '.json') as file", "if(c % 2 = 0, concat('[', l, ']'), concat('{\"data\": [', l, '], \"n\": 1}')) as value")
+    return corpact.adjustment_ledger(readers.read_events(spark, land_files(files, landed(spark, "events"))))
+
+
+@query("symbol date url record_id", """
+select concat('S', cast(o_custkey as string)) as symbol, cast(o_orderdate as date) as date, concat('https://x/', cast(o_orderkey as string), '.xml') as url, case when o_orderkey % 2 = 0 then o_orderkey else 0 end as record_id
+from orders where o_orderkey % 5 <> 0 and o_orderkey % 11 <> 0""")
+def landed_filings_index(spark, sf_dir):
+    """An index of filings in JSON of both shapes; placeholders in the place of links and unreadable dates are left out."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    entry = """to_json(named_struct('symbol', concat('S', o_custkey), 'date', if(o_orderkey % 11 = 0, 'soon', date_format(o_orderdate, 'dd-MMM-yyyy')),
+        'xbrl', case when o_orderkey % 5 <> 0 then concat('https://x/', o_orderkey, '.xml') when o_orderkey % 10 = 0 then 'https://x/-' else null end, 'recordId', if(o_orderkey % 2 = 0, cast(o_orderkey as string), 'n/a')))"""
+    files = o.selectExpr("o_orderdate", "o_orderkey", f"{entry} as entry").groupBy(F.year("o_orderdate").alias("y")).agg(F.array_join(F.collect_list("entry"), ",").alias("l"))
+    files = files.selectExpr("concat('index-', y, '.json') as file", "if(y % 2 = 0, concat(' [', l, ']'), concat('{\"data\": [', l, ']}')) as value")
+    return readers.read_filings_index(spark, land_files(files, landed(spark, "index")))
+
+
+@query("symbol sector", """
+with master as (
+  select f, p, isin, ticker, sector from (
+    select 0 as f, s_suppkey as p, concat('I', cast(s_suppkey % 50 as string)) as isin, case when s_suppkey % 3 = 0 then concat('s', cast(s_suppkey as string), ' ') else '' end as ticker, concat('first ', cast(s_suppkey as string)) as sector from supplier
+    union all select 1, s_suppkey, concat('I', cast(s_suppkey % 70 as string)), concat('S', cast(s_suppkey as string)), concat('second ', cast(s_suppkey as string)) from supplier)),
+keyed as (select trim(isin) as key, f, p, 0 as slot, sector from master union all select upper(trim(ticker)), f, p, 1, sector from master),
+firsts as (select key, arg_min(sector, f * 1000000000 + p * 2 + slot) as sector from keyed where key <> '' group by key)
+select concat('S', cast(s_suppkey as string)) as symbol, coalesce(a.sector, b.sector) as sector from supplier
+left join firsts a on a.key = concat('I', cast(s_suppkey % 100 as string)) left join firsts b on b.key = concat('S', cast(s_suppkey as string))""")
+def landed_security_lookup(spark, sf_dir):
+    """A security master of two JSON files with repeated ISINs and tickers, of which the first row wins; looked up by ISIN, else by ticker."""
+    s = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    one = s.selectExpr("s_suppkey as p", "to_json(named_struct('isin', concat('I', s_suppkey % 50), 'ticker', if(s_suppkey % 3 = 0, concat('s', s_suppkey, ' '), ''), 'sector', concat('first ', s_suppkey))) as e", "'a.json' as file")
+    two = s.selectExpr("s_suppkey as p", "to_json(named_struct('isin', concat('I', s_suppkey % 70), 'ticker', concat('S', s_suppkey), 'sector', concat('second ', s_suppkey))) as e", "'b.json' as file")
+    files = one.unionByName(two).groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "e"))), lambda x: x["e"]), ","), F.lit("]")).alias("value"))
+    master = readers.security_master(spark, land_files(files, landed(spark, "master")))
+    rows = s.selectExpr("concat('S', s_suppkey) as symbol", "concat('I', s_suppkey % 100) as isin", "concat('S', s_suppkey) as ticker")
+    return universe.lookup_by_isin_or_ticker(rows, master, "sector", ["file", "place"])
+
+
+#: A label's middle as a page spells it, and as it reads.
+SPELLED = ("'&amp;'", "'&#8211;'", "'&#x2013;'", "'&eacute;'", "'&nbsp;&nbsp; '", "'&notit;'", "'&lt'", "'&unknown;'", "'&#150;'", "'&#0;'", "'&NotEqualTilde;'", "'& '", "'&#xD800;'", "'&amp;lt;'")
+READ = ("'&'", "chr(8211)", "chr(8211)", "chr(233)", "' '", "concat(chr(172), 'it;')", "'<'", "'&unknown;'", "chr(8211)", "chr(65533)", "concat(chr(8770), chr(824))", "'& '", "chr(65533)", "'&lt;'")
+
+
+@query("p_partkey label", f"""
+select p_partkey, trim(regexp_replace(concat('Oil', m, coalesce(cast(p_size as string), ''), m, 'Gas'), '\\s+', ' ', 'g')) as label
+from (select p_partkey, p_size, case p_partkey % {len(READ)} {' '.join(f'when {i} then {x}' for i, x in enumerate(READ))} end as m from part)""")
+def clean_labels(spark, sf_dir):
+    """Labels with references to characters by name and number, with and without semicolons, and with spaces of several kinds."""
+    p = spark.read.parquet(f"{sf_dir}/part.parquet")
+    m = F.expr(f"case p_partkey % {len(SPELLED)} {' '.join(f'when {i} then {x}' for i, x in enumerate(SPELLED))} end")
+    return p.select("p_partkey", scalars.clean_label(F.concat(F.lit("  Oil"), m, F.coalesce(F.col("p_size").cast("string"), F.lit("")), m, F.lit("Gas \n"))).alias("label"))
+
+
+# ---- filings and pages -------------------------------------------------------------------------------------------
+
+
+@query("symbol date total_shares promoter_shares free_float_shares source", """
+select symbol, date, total_shares + 1 as total_shares, case when symbol like '%4' then 0 else promoter_shares end as promoter_shares, total_shares + 1 - case when symbol like '%4' then 0 else promoter_shares end as free_float_shares, 'filing' as source
+from fx_shares where symbol not like '%7' and symbol not like '%8'""")
+def landed_filing_shares(spark, sf_dir):
+    """Share counts from filings: of two of a day the higher id counts; names whose filing is short, or names the promoters without a number, are left out; one that never names them has none."""
+    s = fx("shares")(spark, sf_dir)
+    fact = lambda context, n: F.concat(F.lit(f'<in:NumberOfShares decimals="0" contextRef="{context}I" unitRef="shares">'), n, F.lit("</in:NumberOfShares>\n"))
+    promoter = F.when(F.col("symbol").like("%4"), F.lit("")).when(F.col("symbol").like("%8"), fact("ShareholdingOfPromoterAndPromoterGroup", F.lit("n/a"))).otherwise(fact("ShareholdingOfPromoterAndPromoterGroup", F.col("promoter_shares").cast("string")))
+    pad = F.when(F.col("symbol").like("%7"), F.lit("")).otherwise(F.repeat(F.lit(" "), 5000))
+    two = s.withColumn("id", F.explode(F.array(F.lit(9), F.lit(10)))).withColumn("total", F.col("total_shares") + F.col("id") - 9)
+    filings = two.select("symbol", "date", F.col("id").cast("string").alias("record_id"), F.concat(F.lit("<xbrl>"), fact("ShareholdingPattern", F.col("total").cast("string")), promoter, fact("PublicShareholding", F.col("public_shares").cast("string")), pad).alias("content"))
+    # a file a filing would be thousands of files here: one a symbol is landed, the others are read from the table of texts
+    first = filings.groupBy("symbol").agg(F.min("date").alias("date"))
+    some = filings.join(first, ["symbol", "date"], "left_semi")
+    path = land_files(some.select(F.concat_ws("_", "symbol", F.date_format("date", "yyyy-MM-dd"), F.concat("record_id", F.lit(".xml"))).alias("file"), F.col("content").alias("value")), landed(spark, "filings"))
+    rest = filings.join(first, ["symbol", "date"], "left_anti")
+    return extract.filing_shares(readers.read_filings(spark, path).unionByName(rest))
+
+
+@query("symbol section period line_item date value~2", """
+select symbol, 'quarters' as section, 'quarterly' as period, line_item, date, floor(value + 0.25123456) as value from fx_fin_raw where year(date) < 2001
+union all select symbol, 'balance-sheet', 'annual', 'reserves', make_date(year(date), 3, 31), floor(value + 0.25123456) from fx_fin_raw where line_item = 'sales' and month(date) = 3 and year(date) < 2001""")
+def page_financials(spark, sf_dir):
+    """Quarterly tables and a balance sheet from landed company pages, by the table function over their tags."""
+    f = fx("fin_raw")(spark, sf_dir).where("year(date) < 2001")
+    cell = lambda tag, x: F.concat(F.lit(f"<{tag}>"), x, F.lit(f"</{tag}>"))
+    number = F.format_number(F.floor(F.col("value") + 0.25123456), 2)  # no sum lies on the edge, in whatever order it is added
+
+    def table(rows, section: str):
+        """One row of cells for each line item and a head of months, by symbol."""
+        items = rows.groupBy("symbol", "line_item").agg(F.array_sort(F.collect_list(F.struct("date", number.alias("v")))).alias("c"))
+        lines = F.concat(F.lit("<tr>"), cell("td", F.concat(F.initcap(F.replace("line_item", F.lit("_"), F.lit(" "))), F.lit("&nbsp;+"))), F.array_join(F.transform("c", lambda x: cell("td", x["v"])), ""), F.lit("</tr>"))
+        head = F.concat(F.lit("<th></th>"), F.array_join(F.transform(F.max("c"), lambda x: cell("th", F.date_format(x["date"], "MMM yyyy"))), ""))
+        return items.withColumn("line", lines).groupBy("symbol").agg(F.concat(F.lit(f'<section id="{section}"><h2>x</h2><table class="data-table"><thead><tr>'), head, F.lit("</tr></thead><tbody>"), F.array_join(F.collect_list("line"), ""), F.lit("</tbody></table></section>")).alias("html"))
+
+    quarters, year = table(f, "quarters"), table(f.where("line_item = 'sales' and month(date) = 3").withColumn("line_item", F.lit("reserves")), "balance-sheet")
+    both = quarters.join(year.withColumnRenamed("html", "b"), "symbol", "left")
+    pages = both.select(F.concat("symbol", F.lit(".html")).alias("file"), F.concat(F.lit("<html><body>"), "html", F.coalesce("b", F.lit("")), F.lit("</body></html>")).alias("value"))
+    return extract.page_financials(readers.read_pages(spark, land_files(pages, landed(spark, "pages"))))
+
+
+@query("symbol macro_sector macro_code sector sector_code industry industry_code basic_industry basic_industry_code", """
+select symbol, macro_sector, 'IN01' as macro_code, concat(sector, ' & Co') as sector, concat('IN01', substr(sector, 8)) as sector_code, industry, 'IN010203' as industry_code, case when symbol like '%5' then null else basic_industry end as basic_industry,
+  case when symbol like '%5' then null else 'IN01020304' end as basic_industry_code from fx_sector where symbol not like '%3'""")
+def page_classification(spark, sf_dir):
+    """Four levels and their codes from the breadcrumb of company pages; pages without a sector are left out."""
+    link = lambda title, path, label: F.concat(F.lit('<a href="/market/'), path, F.lit(f'/" class="x" title="{title}">'), label, F.lit("</a>"))
+    s = fx("sector")(spark, sf_dir).withColumn("code", F.concat(F.lit("IN01"), F.substring("sector", 8, 9)))
+    parts = [link("Broad Sector", F.lit("IN01"), F.col("macro_sector")), F.when(F.col("symbol").like("%3"), F.lit("")).otherwise(link("Sector", F.concat(F.lit("IN01/"), "code"), F.concat("sector", F.lit("  &amp; Co")))),
+             link("Broad Industry", F.lit("IN01/IN0102/IN010203"), F.col("industry")), F.when(F.col("symbol").like("%5"), F.lit("")).otherwise(link("Industry", F.lit("IN01/IN0102/IN010203/IN01020304"), F.col("basic_industry")))]
+    pages = s.select(F.concat("symbol", F.lit(".html")).alias("file"), F.concat(F.lit('<p><a href="/about/" title="Sector">no</a>'), *parts).alias("value"))
+    return extract.page_classification(readers.read_pages(spark, land_files(pages, landed(spark, "crumbs"))))
+
+
+# ---- readers with guards -----------------------------------------------------------------------------------------
+
+
+@query("date close~ benchmark", "select date, close, 'ORDERS' as benchmark from fx_tri")
+def registered_benchmark(spark, sf_dir):
+    """A benchmark's level by its key, sorted and with its name."""
+    folder = landed(spark, "levels")
+    fx("tri")(spark, sf_dir).orderBy(F.desc("date")).write.option("header", True).csv(f"{folder}/orders.csv")
+    readers.register_benchmark("orders", "ORDERS", "orders.csv")
+    return readers.registered_level(spark, folder, "orders")
+
+
+@query("level symbol sector", """
+select 'industry' as level, symbol, industry as sector from fx_sector union all select 'basic_industry', symbol, basic_industry from fx_sector union all select 'industry of two columns', symbol, sector from fx_sector""")
+def taxonomy_levels(spark, sf_dir):
+    """Levels of a landed taxonomy, and the only one of a table of two columns in their place."""
+    s, full, bare = fx("sector")(spark, sf_dir), landed(spark, "full"), landed(spark, "bare")
+    s.write.option("header", True).csv(full)
+    s.select("symbol", "sector").write.option("header", True).csv(bare)
+    wanted = (("industry", full, "industry"), ("basic_industry", full, "basic_industry"), ("industry of two columns", bare, "industry"))
+    return all_of([readers.read_taxonomy(spark, path, level).withColumn("level", F.lit(name)) for name, path, level in wanted])
+
+
+@query("layout symbol series date open~ high~ low~ close~ prev_close~ volume~ turnover_lacs~", """
+select l.layout, q.symbol, 'EQ' as series, q.date, q.open, q.high, q.low, q.close, case when l.layout = 'full' then q.close end as prev_close, q.volume, cast(null as double) as turnover_lacs
+from fx_quotes q join (select 'classic' as layout, 0 as y union all select 'full', 1) l on l.y = year(q.date) % 2 where q.symbol not like '%9'""")
+def landed_daily_quotes(spark, sf_dir):
+    """Daily quotes of two layouts with padded headers; other series are left out, missing columns are null, and the day comes from the file's name where no column has it."""
+    q = quotes(spark, sf_dir).withColumn("s", F.when(F.col("symbol").like("%9"), F.lit("BE")).otherwise(F.lit(" EQ ")))
+    out = []
+    for layout, odd in (("classic", 0), ("full", 1)):
+        path, own = landed(spark, layout), q.where(F.year("date") % 2 == odd)
+        names = {v: k for k, v in readers.DAILY_LAYOUTS[layout].items()}
+        columns = [F.concat(F.col("symbol"), F.lit(" ")).alias(f" {names['symbol']}"), F.col("s").alias(f"{names['series']} "), *(F.col(c).alias(f" {names[c]}") for c in ("open", "high", "low", "close", "volume"))]
+        if layout == "full":
+            columns.append(F.col("close").alias(names["prev_close"]))
+        own.select(*columns, F.date_format("date", "yyyyMMdd").alias("day")).repartition("day").write.partitionBy("day").option("header", True).csv(path)
+        out.append(readers.read_daily(spark, path, layout).withColumn("layout", F.lit(layout)))
+    return all_of(out)

@@ -79,11 +79,21 @@ def sector_disagreements(ours: DataFrame, published: DataFrame) -> DataFrame:
     return both.where("ours <> published")
 
 
-def lookup_by_isin_or_ticker(rows: DataFrame, master: DataFrame, value: str) -> DataFrame:
-    """rows (isin, ticker) with a value of the security master, by ISIN or else by ticker; of repeated keys the least value counts."""
-    by_isin = master.where("isin is not null").groupBy("isin").agg(F.min(value).alias("_a"))
-    by_ticker = master.where("ticker is not null").groupBy("ticker").agg(F.min(value).alias("_b"))
-    return rows.join(by_isin, "isin", "left").join(by_ticker, "ticker", "left").withColumn(value, F.coalesce("_a", "_b")).drop("_a", "_b")
+def security_lookup(master: DataFrame, order: list[str]) -> DataFrame:
+    """(key, row): each ISIN and each ticker in capitals of a security master (isin, ticker, ...) with the first row that has it, by the columns of order. Blank keys are left out; a row's ISIN comes before its ticker."""
+    keys = F.array(F.struct(F.trim("isin").alias("key"), F.lit(0).alias("slot")), F.struct(F.upper(F.trim("ticker")).alias("key"), F.lit(1).alias("slot")))
+    rows = master.select(F.struct("*").alias("row"), F.explode(keys).alias("k")).where("k.key <> ''")
+    return rows.groupBy("k.key").agg(F.min_by("row", F.struct(*(F.col("row")[c] for c in order), F.col("k.slot"))).alias("row"))
+
+
+def lookup_by_isin_or_ticker(rows: DataFrame, master: DataFrame, value: str, order: list[str] | None = None) -> DataFrame:
+    """rows (isin, ticker) with a value of the security master, by ISIN or else by ticker; of repeated keys the first row by order, or else the one of the least value, counts."""
+    found = security_lookup(master, order or [value]).select("key", F.col("row")[value].alias("_v"))
+    by_isin = found.select(F.col("key").alias("_i"), F.col("_v").alias("_a"))
+    by_ticker = found.select(F.col("key").alias("_t"), F.col("_v").alias("_b"))
+    own = rows.withColumns({"_isin": F.trim("isin"), "_ticker": F.upper(F.trim("ticker"))})
+    out = own.join(by_isin, own["_isin"] == by_isin["_i"], "left").join(by_ticker, own["_ticker"] == by_ticker["_t"], "left")
+    return out.withColumn(value, F.when(F.col("_i").isNotNull(), F.col("_a")).otherwise(F.col("_b"))).drop("_a", "_b", "_i", "_t", "_isin", "_ticker")
 
 
 def source_counts(resolved: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import calendar
 import dataclasses
+import datetime
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,8 +70,9 @@ def normalise_daily(raw: DataFrame, layout: str) -> DataFrame:
 
 
 def read_daily(spark: SparkSession, path: str, layout: str) -> DataFrame:
-    raw = spark.read.option("header", True).csv(path).withColumn("_file", F.col("_metadata.file_name"))
-    return normalise_daily(raw, layout)
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    # the day is in the file's name, or in the name of the folder it lies in
+    return normalise_daily(raw.withColumn("_file", F.substring_index("_metadata.file_path", "/", -2)), layout)
 
 
 def read_listed(spark: SparkSession, path: str) -> DataFrame:
@@ -87,20 +90,54 @@ def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 
 def taxonomy(classification: DataFrame | None, level: str = "sector") -> DataFrame | None:
-    """(symbol, sector) at a level of the taxonomy; a bare (symbol, sector) table has that level only; None stays None."""
-    if classification is None:
-        return None
+    """(symbol, sector) at a level of the taxonomy; a table with no such level but a sector gives that, as older ones of two columns do; None stays None."""
     if level not in LEVELS:
         raise ValueError(f"no level {level}; there are {', '.join(LEVELS)}")
-    require_columns(classification, ["symbol", level], "classification")
-    return classification.select("symbol", F.col(level).alias("sector"))
+    if classification is None:
+        return None
+    require_columns(classification, ["symbol"], "classification")
+    own = level if level in classification.columns else "sector"
+    require_columns(classification, [own], "classification")
+    return classification.select("symbol", F.col(own).alias("sector"))
+
+
+def read_taxonomy(spark: SparkSession, path: str | None, level: str = "sector", default: str | None = None) -> DataFrame | None:
+    """taxonomy of a CSV with headers. A path that isn't there is an error; without a path the default one counts, which may be missing (None)."""
+    taxonomy(None, level)
+    if path is None and default is None:
+        return None
+    try:
+        return taxonomy(spark.read.option("header", True).csv(path or default), level)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        if path is not None:
+            raise FileNotFoundError(f"no classification at {path}") from e
+        return None
+
+
+#: Benchmarks by key: the index' name and its file, below the folder of benchmarks.
+BENCHMARKS: dict[str, tuple[str, str]] = {}
+
+
+def register_benchmark(key: str, name: str, file: str) -> None:
+    """Make a benchmark known by its key; a second one of a key is an error unless it is the same."""
+    if BENCHMARKS.get(key, (name, file)) != (name, file):
+        raise ValueError(f"benchmark {key} is {BENCHMARKS[key][0]} already")
+    BENCHMARKS[key] = name, file
 
 
 def benchmark_level(spark: SparkSession, registry: dict[str, str], key: str, path: str | None = None) -> DataFrame:
-    """(date, close) of a registered benchmark, or of an explicit file."""
+    """(date, close) of a registered benchmark, or of an explicit file, sorted by date."""
     if path is None and key not in registry:
         raise ValueError(f"no benchmark {key}; there are {', '.join(sorted(registry))}")
-    return read_csv(spark, path or registry[key], schemas.BENCHMARK)
+    return read_csv(spark, path or registry[key], schemas.BENCHMARK).orderBy("date")
+
+
+def registered_level(spark: SparkSession, folder: str, key: str, path: str | None = None) -> DataFrame:
+    """(date, close, benchmark) of a benchmark of the registry, or of an explicit file under its name, sorted by date."""
+    files = {k: f"{folder}/{file}" for k, (_, file) in BENCHMARKS.items()}
+    return benchmark_level(spark, files, key, path).withColumn("benchmark", F.lit(BENCHMARKS[key][0] if key in BENCHMARKS else key))
 
 
 def consolidate_levels(chunks: Iterable[DataFrame]) -> DataFrame:
@@ -123,22 +160,41 @@ def published_sectors(raw: DataFrame) -> DataFrame:
     return raw.select(F.upper(F.trim("Symbol")).alias("symbol"), clean_label(F.col("Industry")).alias("sector"))
 
 
+def json_entries(spark: SparkSession, path: str) -> DataFrame:
+    """(file, place, entry VARIANT): the entries of JSON files in their order; each file is a list of entries, or an object with a list under data. Files of other shapes have none."""
+    texts = read_documents(spark, path)
+    doc = F.try_parse_json("content")
+    listed = F.coalesce(F.try_variant_get(doc, "$", "array<variant>"), F.try_variant_get(doc, "$.data", "array<variant>"))
+    return texts.select("file", F.posexplode(listed).alias("place", "entry"))
+
+
+def entry_fields(entries: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """(file, place, ...): fields of the entries as text by name; null where an entry lacks one."""
+    return entries.select("file", "place", *(F.try_variant_get("entry", f"$.{field}", "string").alias(name) for name, field in fields.items()))
+
+
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """(symbol, ex_date, subject) of one JSON file a symbol, each a list of events."""
-    schema = "exDate string, subject string"
-    rows = spark.read.schema(schema).option("multiLine", True).json(path)
-    return rows.select(F.regexp_extract("_metadata.file_name", r"^(.*)\.json$", 1).alias("symbol"), F.col("exDate").alias("ex_date"), "subject")
+    """(symbol, ex_date, subject) of one JSON file of events a symbol."""
+    own = entry_fields(json_entries(spark, path), {"ex_date": "exDate", "subject": "subject"})
+    return own.select(F.regexp_extract("file", r"^(.*)\.json$", 1).alias("symbol"), "ex_date", "subject")
 
 
 def security_master(spark: SparkSession, path: str) -> DataFrame:
-    """(isin, ticker, sector, industry) of a security master in JSON."""
-    return spark.read.schema("isin string, ticker string, sector string, industry string").option("multiLine", True).json(path)
+    """(file, place, isin, ticker, sector, industry) of a security master in JSON, with the order of its rows."""
+    return entry_fields(json_entries(spark, path), {c: c for c in ("isin", "ticker", "sector", "industry")})
 
 
 def read_documents(spark: SparkSession, path: str, least_chars: int = 0) -> DataFrame:
-    """(file, content) of whole text files, such as filings and pages; shorter ones are left out."""
-    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("content"))
-    return rows.where(F.length("content") >= least_chars)
+    """(file, content) of whole text files, such as filings and pages; shorter ones are left out. In a folder partitioned by file that names them."""
+    raw = spark.read.text(path, wholetext=True)
+    name = F.col("file").cast("string") if "file" in raw.columns else F.col("_metadata.file_name")
+    return raw.select(name.alias("file"), F.col("value").alias("content")).where(F.length("content") >= least_chars)
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """(symbol, html) of company pages named SYMBOL.html."""
+    own = read_documents(spark, path).select(F.regexp_extract("file", r"^(.+)\.html?$", 1).alias("symbol"), F.col("content").alias("html"))
+    return own.where("symbol <> ''")
 
 
 def read_filings(spark: SparkSession, path: str, least_chars: int = 5000) -> DataFrame:
@@ -156,12 +212,8 @@ def filings_index(raw: DataFrame) -> DataFrame:
 
 
 def read_filings_index(spark: SparkSession, path: str) -> DataFrame:
-    """An index in JSON: a list of entries, or an object with a list under data."""
-    entry = "struct<symbol:string,date:string,xbrl:string,recordId:string>"
-    text = spark.read.text(path, wholetext=True).select(F.col("value").alias("v"))
-    entries = F.coalesce(F.from_json("v", f"array<{entry}>"), F.from_json("v", f"struct<data:array<{entry}>>")["data"])
-    rows = text.select(F.when(F.ltrim("v").startswith("{"), F.from_json("v", f"struct<data:array<{entry}>>")["data"]).otherwise(entries).alias("e"))
-    return filings_index(rows.select(F.explode("e").alias("e")).select("e.*"))
+    """An index in JSON: lists of entries, or objects with a list under data."""
+    return filings_index(entry_fields(json_entries(spark, path), {c: c for c in ("symbol", "date", "xbrl", "recordId")}))
 
 
 def append_gaps(gaps: DataFrame, path: str, recorded) -> None:
@@ -188,7 +240,21 @@ def symbols_from_list(df: DataFrame, text: str | None) -> DataFrame:
     return df.where(F.col("symbol").isin(wanted)) if wanted else df
 
 
-def history_floors(project_floor, lookback_days: int = 365, financial_quarters: int = 8) -> dict:
-    """The first dates kept: of the project, of prices (days before it) and of financials (quarters before it), as literal columns."""
-    floor = F.lit(project_floor).cast(T.DateType())
-    return {"project": floor, "prices": F.date_sub(floor, lookback_days), "financials": F.add_months(floor, -3 * financial_quarters)}
+def history_floors(project_floor, lookback_days: int = 365, financial_quarters: int = 8, **overrides) -> dict:
+    """The first dates kept: of the project, of prices (days before it) and of financials (quarters before it), as literal columns.
+
+    overrides give later floors by name; one that is earlier than its floor is an error, as nothing before it is kept.
+    """
+    floor = datetime.date.fromisoformat(str(project_floor))
+    month = floor.year * 12 + floor.month - 1 - 3 * financial_quarters
+    last = calendar.monthrange(month // 12, month % 12 + 1)[1]
+    own = {"project": floor, "prices": floor - datetime.timedelta(days=lookback_days), "financials": datetime.date(month // 12, month % 12 + 1, min(floor.day, last))}
+    for name, value in overrides.items():
+        if name not in own:
+            raise ValueError(f"no floor {name}; there are {', '.join(own)}")
+        if value is not None:
+            wanted = datetime.date.fromisoformat(str(value))
+            if wanted < own[name]:
+                raise ValueError(f"the floor of {name} is {own[name]}; {wanted} is earlier")
+            own[name] = wanted
+    return {k: F.lit(v).cast(T.DateType()) for k, v in own.items()}
