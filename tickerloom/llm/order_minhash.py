@@ -32,6 +32,8 @@ from tickerloom.llm.tables import block_count, table
 K = 3
 BINS, BIN_BITS = 64, 6
 TUPLE = 2
+#: Hashes share a number with places of so many bits, so that plain numbers are sorted; a text of more pieces counts places anew.
+PLACE_BITS = 26
 #: Longer words are cut into pieces of so many characters.
 PIECE_CHARS = 16
 #: Text of a block of neighbouring doc_ids, and how many blocks there are at least.
@@ -49,20 +51,22 @@ def pieces(text: Column) -> Column:
 
 def with_fingerprint(docs: DataFrame, text: str, name: str, k: int = K, size: int = TUPLE) -> DataFrame:
     """docs with an array of BINS numbers, 0 for a set without k-mers; columns named with a leading _o serve on the way."""
+    low, high = (1 << PLACE_BITS) - 1, -(1 << PLACE_BITS)
     step = docs.withColumn("_ow", F.transform(pieces(F.col(text)), lambda w: F.xxhash64(w)))
     gram = ", ".join(f"get(_ow, i + {j})" for j in range(k))
-    step = step.withColumn("_os", F.expr(f"""if(size(_ow) = 0, cast(array() as array<struct<h: bigint, p: int>>),
-        sort_array(transform(sequence(0, greatest(size(_ow) - {k}, 0)), i -> struct(xxhash64({gram}) as h, i as p))))""")).drop("_ow")
-    step = step.withColumn("_of", F.expr("filter(transform(_os, (x, i) -> if(i > 0 and get(_os, i - 1).h = x.h, -1, i)), i -> i >= 0)"))
+    step = step.withColumn("_os", F.expr(f"sort_array(if(size(_ow) = 0, slice(array(0L), 1, 0), transform(sequence(0, greatest(size(_ow) - {k}, 0)), i -> xxhash64({gram}) & {high}L | i & {low}L)))")).drop("_ow")
+    step = step.withColumn("_of", F.expr(f"filter(transform(_os, (x, i) -> if(i > 0 and (get(_os, i - 1) ^ x) & {high}L = 0, -1, i)), i -> i >= 0)"))
     # the o-th of equal k-mers, hashed with its number; most are the only ones
-    step = step.withColumn("_on", F.expr("""sort_array(flatten(transform(_of, (a, j) -> if(coalesce(get(_of, j + 1), size(_os)) = a + 1,
-        array(struct(xxhash64(get(_os, a).h, 0) as v, get(_os, a).p as p)),
-        transform(sequence(a, coalesce(get(_of, j + 1), size(_os)) - 1), (i, o) -> struct(xxhash64(get(_os, i).h, o) as v, get(_os, i).p as p))))))""")).drop("_os", "_of")
-    bin_of = lambda x: f"cast(shiftrightunsigned({x}.v, {64 - BIN_BITS}) as int)"
-    step = step.withColumn("_oc", F.expr(f"filter(_on, (x, i) -> i < {size} or {bin_of(f'get(_on, i - {size})')} <> {bin_of('x')})")).drop("_on")
-    step = step.withColumn("_oh", F.expr(f"filter(transform(_oc, (x, i) -> if(i > 0 and {bin_of('get(_oc, i - 1)')} = {bin_of('x')}, -1, i)), i -> i >= 0)"))
+    numbered = lambda x, o: f"coalesce(xxhash64({x} & {high}L, {o}) & {high}L | {x} & {low}L, 0L)"
+    step = step.withColumn("_on", F.expr(f"""sort_array(flatten(transform(_of, (a, j) -> if(coalesce(get(_of, j + 1), size(_os)) = a + 1, array({numbered("get(_os, a)", 0)}),
+        transform(sequence(a, coalesce(get(_of, j + 1), size(_os)) - 1), (i, o) -> {numbered("get(_os, i)", "o")})))))""")).drop("_os", "_of")
+    bin_of = lambda x: f"cast(shiftrightunsigned({x}, {64 - BIN_BITS}) as int)"
+    apart = lambda x, y: f"shiftrightunsigned({x} ^ {y}, {64 - BIN_BITS}) <> 0"
+    step = step.withColumn("_oc", F.expr(f"filter(_on, (x, i) -> i < {size} or {apart(f'get(_on, i - {size})', 'x')})")).drop("_on")
+    step = step.withColumn("_oh", F.expr(f"filter(transform(_oc, (x, i) -> if(i = 0 or {apart('get(_oc, i - 1)', 'x')}, i, -1)), i -> i >= 0)"))
     # a set's k-mers in text order, as (bin, number)
-    order = "transform(array_sort(transform(slice(_oc, a + 1, coalesce(get(_oh, j + 1), size(_oc)) - a), x -> struct(x.p as p, x.v as v))), x -> x.v)"
+    turned = f"shiftleft(x & {low}L, {64 - PLACE_BITS}) | shiftrightunsigned(x, {PLACE_BITS})"
+    order = f"transform(sort_array(transform(slice(_oc, a + 1, coalesce(get(_oh, j + 1), size(_oc)) - a), x -> {turned})), x -> shiftleft(x, {PLACE_BITS}))"
     entries = f"map_from_entries(transform(_oh, (a, j) -> struct({bin_of('get(_oc, a)')}, cast(1 + pmod(xxhash64({order}), {16**_DIGITS - 1}) as int))))"
     # an outer lambda binds the map, so it is made once
     return step.withColumn(name, F.expr(f"transform(array({entries}), m -> transform(sequence(0, {BINS - 1}), b -> coalesce(m[b], 0)))[0]")).drop("_oc", "_oh")
