@@ -26,13 +26,13 @@ def values(targets: DataFrame, segs: DataFrame, tables) -> DataFrame:
     A holding whose last valid close is past, or that never had one, keeps its value under the label CASH from the day after the trade.
     """
     held = targets.select("run_id", "rebal_date", "symbol", F.col("weight").alias("_w")).join(segs, ["run_id", "rebal_date"])
-    daily = held.withColumn("cal_idx", F.explode(F.sequence(F.col("trade_idx") - 1, F.col("end_idx"))))
-    prices = tables.dense.select("symbol", "cal_idx", F.coalesce("close", "first_close").alias("_c"), "last_valid")
-    base = prices.select("symbol", (F.col("cal_idx") + 1).alias("trade_idx"), F.col("_c").alias("_base"))
-    joined = daily.join(prices, ["symbol", "cal_idx"], "left").join(base, ["symbol", "trade_idx"], "left")
-    growth = F.coalesce(F.try_divide("_c", "_base"), F.lit(1.0))
-    day = F.broadcast(tables.cal)
-    out = joined.withColumn("value", F.col("_w") * F.when(F.col("symbol") == CASH, 1.0).otherwise(growth)).join(day, "cal_idx", "left")
+    series = tables.series.select("symbol", "closes", "first_close", "last_valid")
+    # each holding meets its symbol's row once; its days are read from the arrays before they become rows
+    at = lambda i: F.coalesce(F.get("closes", i), F.col("first_close"))
+    growth = lambda i: F.when(F.col("symbol") == CASH, 1.0).otherwise(F.coalesce(F.try_divide(at(i), at(F.col("trade_idx") - 1)), F.lit(1.0)))
+    days = F.transform(F.sequence(F.col("trade_idx") - 1, F.col("end_idx")), lambda i: F.struct(i.alias("cal_idx"), (F.col("_w") * growth(i)).alias("value")))
+    daily = held.join(series, "symbol", "left").select("run_id", "trade_idx", "trade_date", "symbol", "last_valid", F.explode(days).alias("_d"))
+    out = daily.select("run_id", "trade_idx", "trade_date", "symbol", "last_valid", "_d.*").join(F.broadcast(tables.cal), "cal_idx", "left")
     gone = (F.col("date") > F.col("trade_date")) & (F.col("last_valid").isNull() | (F.col("last_valid") < F.col("date")))
     label = F.when((F.col("symbol") == CASH) | gone, CASH).otherwise(F.col("symbol"))
     return out.select("run_id", "trade_idx", "trade_date", "cal_idx", "date", "symbol", label.alias("label"), "value", "last_valid")
@@ -88,8 +88,7 @@ def costs(trades: DataFrame, configs: DataFrame, tables) -> DataFrame:
     at = snapshot_asof(traded, tables.universe, "trade_date") if not tables.universe.isEmpty() else traded.withColumn("quarter_end_date", F.lit(None).cast("date"))
     traded = traded.join(at.select("run_id", "trade_idx", "symbol", "quarter_end_date"), ["run_id", "trade_idx", "symbol"], "left")
     snap = tables.universe.select("quarter_end_date", "symbol", "market_cap_inr", "free_float_shares", "shares_outstanding")
-    value = tables.adv.select("symbol", F.col("cal_idx").alias("trade_idx"), "adv")
-    rows = traded.join(snap, ["quarter_end_date", "symbol"], "left").join(value, ["symbol", "trade_idx"], "left")
+    rows = traded.join(snap, ["quarter_end_date", "symbol"], "left").join(tables.series.select("symbol", "advs"), "symbol", "left").withColumn("adv", F.get("advs", "trade_idx")).drop("advs")
     rows = rows.withColumns({
         "_a": F.when(F.col("market_cap_inr") > 0, -F.log10("market_cap_inr")), "_b": F.when(F.col("adv") > 0, -F.log10("adv")),
         "_c": -F.try_divide("free_float_shares", "shares_outstanding"),

@@ -72,10 +72,13 @@ def with_adv(dense: DataFrame, rows: int = 30, least: int = 10) -> DataFrame:
     return dense.withColumn("adv", rolling_median(F.col("close_raw") * F.col("volume"), w, least))
 
 
-def with_history(dense: DataFrame) -> DataFrame:
-    """dense with history_days: how many calendar days a symbol has had a filled close, up to each day."""
-    first = F.min(F.when(F.col("close_raw").isNotNull(), F.col("cal_idx"))).over(Window.partitionBy("symbol"))
-    return dense.withColumn("history_days", F.col("cal_idx") - first + 1)
+def by_symbol(dense: DataFrame) -> DataFrame:
+    """(symbol, closes, advs, rets, first_close, first_idx, last_valid): a row a symbol of a dense panel with adv; arrays hold a value a calendar day, so a day's value is get(closes, cal_idx)."""
+    day = F.struct("cal_idx", "close", "adv", "ret")
+    packed = dense.groupBy("symbol").agg(
+        F.array_sort(F.collect_list(day)).alias("_d"), F.first("first_close").alias("first_close"), F.first("last_valid").alias("last_valid"),
+        F.min(F.when(F.col("close_raw").isNotNull(), F.col("cal_idx"))).alias("first_idx"))
+    return packed.select("symbol", F.col("_d.close").alias("closes"), F.col("_d.adv").alias("advs"), F.col("_d.ret").alias("rets"), "first_close", "first_idx", "last_valid")
 
 
 def adv(dense: DataFrame, rows: int = 30, least: int = 10) -> DataFrame:

@@ -35,19 +35,19 @@ def standardised(df: DataFrame, value: str, by: list[str], sigma, out: str) -> D
 
 def momentum_12_1(tables, pool: DataFrame) -> DataFrame:
     """Close 21 trading days back over close 251 days back, less 1, on the global calendar; none before 252 days exist."""
-    c = tables.dense.select("symbol", "cal_idx", "close")
-    near, far = c.withColumnRenamed("close", "near"), c.withColumnRenamed("close", "far")
-    at = pool.where("cal_idx >= 251").select(*KEYS, "symbol", "cal_idx")
-    both = at.join(near.withColumn("cal_idx", F.col("cal_idx") + 21), ["symbol", "cal_idx"]).join(far.withColumn("cal_idx", F.col("cal_idx") + 251), ["symbol", "cal_idx"])
-    return both.select(*KEYS, "symbol", (F.try_divide("near", "far") - 1).alias("raw")).where("raw is not null")
+    at = pool.where("cal_idx >= 251").select(*KEYS, "symbol", "cal_idx").join(tables.series.select("symbol", "closes"), "symbol")
+    raw = F.try_divide(F.get("closes", F.col("cal_idx") - 21), F.get("closes", F.col("cal_idx") - 251)) - 1
+    return at.select(*KEYS, "symbol", raw.alias("raw")).where("raw is not null")
 
 
 def vol_inverse(tables, pool: DataFrame) -> DataFrame:
     """One over the standard deviation of the last 252 filled returns; none with fewer than 60 calendar rows."""
-    w = Window.partitionBy("symbol").orderBy("cal_idx").rowsBetween(-251, 0)
-    vol = tables.dense.select("symbol", "cal_idx", F.stddev_samp("ret").over(w).alias("vol"))
-    at = pool.where("cal_idx >= 59").select(*KEYS, "symbol", "cal_idx")
-    return at.join(vol, ["symbol", "cal_idx"]).where("vol > 0").select(*KEYS, "symbol", (1 / F.col("vol")).alias("raw"))
+    at = pool.where("cal_idx >= 59").select(*KEYS, "symbol", "cal_idx").join(tables.series.select("symbol", "rets"), "symbol")
+    last = at.select(*KEYS, "symbol", F.slice("rets", F.greatest(F.col("cal_idx") - 251, F.lit(0)) + 1, F.least(F.col("cal_idx") + 1, F.lit(252))).alias("r"))
+    total = lambda f: F.aggregate("r", F.lit(0.0), lambda a, x: a + f(x))
+    mean = last.withColumn("m", total(lambda x: x) / F.size("r"))
+    vol = F.sqrt(total(lambda x: (x - F.col("m")) * (x - F.col("m"))) / (F.size("r") - 1))
+    return mean.select(*KEYS, "symbol", vol.alias("vol")).where("vol > 0").select(*KEYS, "symbol", (1 / F.col("vol")).alias("raw"))
 
 
 def earnings_growth_yoy(tables, pool: DataFrame) -> DataFrame:

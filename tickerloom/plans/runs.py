@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.operators import attribution, holdings, metrics, panel, select, signals, timeline, weights
-from tickerloom.sources.staging import staged
+from tickerloom.sources.staging import staged, staged_by
 
 
 @dataclass
@@ -72,9 +72,9 @@ class Market:
     """Panels that all runs share."""
 
     cal: DataFrame
-    daily: DataFrame
     dense: DataFrame
     adv: DataFrame
+    series: DataFrame
     universe: DataFrame
     sectors: DataFrame
     financials: DataFrame
@@ -82,11 +82,11 @@ class Market:
 
     @classmethod
     def build(cls, quotes: DataFrame, universe: DataFrame, sectors: DataFrame, financials: DataFrame, benchmark: DataFrame) -> Market:
-        """The panels staged once: calendar, dense prices with traded value, universe and the rest."""
+        """The panels staged once: calendar, dense prices with traded value, the same as arrays in buckets of symbols, universe and the rest."""
         cal = staged(timeline.calendar(quotes))
         dense = panel.dense_returns(quotes, cal)
-        both = staged(panel.with_history(panel.with_adv(dense)))
-        return cls(cal, both, both.drop("adv", "history_days"), both.select("symbol", "date", "cal_idx", "adv"), staged(universe), staged(sectors), staged(financials), staged(benchmark))
+        both = staged(panel.with_adv(dense))
+        return cls(cal, both.drop("adv"), both.select("symbol", "date", "cal_idx", "adv"), staged_by(panel.by_symbol(both), "symbol"), staged(universe), staged(sectors), staged(financials), staged(benchmark))
 
 
 @dataclass

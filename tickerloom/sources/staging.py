@@ -32,3 +32,11 @@ def staged(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def staged_by(df: DataFrame, key: str) -> DataFrame:
+    """staged in buckets of the key, as many as there are shuffle partitions: joins on the key don't shuffle the table again."""
+    spark = df.sparkSession
+    n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"staged_{uuid.uuid4().hex}"
+    df.repartition(n, key).write.format("parquet").bucketBy(n, key).sortBy(key).option("path", f"{shared_folder(spark)}/{name}").saveAsTable(name)
+    return spark.table(name)
