@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from tickerloom.functions import scalars
-from tickerloom.operators import corpact, extract, quality, universe
+from tickerloom.operators import corpact, extract, fundamentals, panel, quality, select, signals, timeline, universe, weights
 from tickerloom.plans.runs import configs_table, targets
-from tickerloom.queries import AS_OF, BUCKETS, ORACLE_SQL, all_of, base_config, checks_sql, few, fx, landed, market, quality_tables, query, quotes, step
+from tickerloom.queries import AS_OF, BUCKETS, ORACLE_SQL, START, all_of, base_config, fx, landed, market, quality_tables, query, quotes, result, step
 from tickerloom.sources import readers, sinks
 from tickerloom.sources.staging import staged
 
@@ -120,9 +122,7 @@ select date, symbol, parameter, case when parameter = 'close' and year(date) = 1
 from (select date, symbol, 'close' as parameter, close as value from fx_quotes union all select date, symbol, 'volume', volume from fx_quotes)""")
 def upsert_panel_sink(spark, sf_dir):
     """A long panel stored by parameter and year, of which one year of closes is corrected."""
-    from tickerloom.operators.panel import melt_panel
-
-    path, long = landed(spark, "panel"), staged(melt_panel(quotes(spark, sf_dir), ["close", "volume"]))
+    path, long = landed(spark, "panel"), staged(panel.melt_panel(quotes(spark, sf_dir), ["close", "volume"]))
     sinks.upsert_panel(spark, path, long)
     sinks.upsert_panel(spark, path, long.where("parameter = 'close' and year(date) = 1998").withColumn("value", F.col("value") + 1))
     return spark.read.parquet(path)
@@ -350,3 +350,144 @@ def landed_daily_quotes(spark, sf_dir):
         own.select(*columns, F.date_format("date", "yyyyMMdd").alias("day")).repartition("day").write.partitionBy("day").option("header", True).csv(path)
         out.append(readers.read_daily(spark, path, layout).withColumn("layout", F.lit(layout)))
     return all_of(out)
+
+
+# ---- logs, bundles and typed tables ------------------------------------------------------------------------------
+
+
+@query("script symbol reason error_msg recorded_date", """
+select 'prices' as script, concat('S', cast(s_suppkey as string)) as symbol, 'NoPriceData' as reason, 'x' as error_msg, date '2001-01-01' as recorded_date from supplier where s_suppkey % 3 = 0
+union all select 'financials', concat('S', cast(s_suppkey as string)), 'ParseFailed', null, date '2001-01-02' from supplier where s_suppkey % 5 = 0""")
+def landed_gap_log(spark, sf_dir):
+    """A log of failures that two days append to, read by its layout."""
+    path, s = landed(spark, "gaps"), spark.read.parquet(f"{sf_dir}/supplier.parquet").selectExpr("concat('S', s_suppkey) as symbol", "s_suppkey as k")
+    readers.append_gaps(s.where("k % 3 = 0").selectExpr("'prices' as script", "symbol", "'NoPriceData' as reason", "'x' as error_msg"), path, "2001-01-01")
+    readers.append_gaps(s.where("k % 5 = 0").selectExpr("'financials' as script", "symbol", "'ParseFailed' as reason", "cast(null as string) as error_msg"), path, "2001-01-02")
+    return readers.read_table(spark, path, "GAPS")
+
+
+@query("part symbol day value~ label", """
+select 'weights' as part, symbol, date as day, weight as value, null as label from weights_all union all select 'targets', symbol, rebal_date, weight, sector from (select t.*, null as x from target t)
+union all select 'costed', symbol, trade_date, round(cost_bps, 6), null from costed union all select 'returns', null, date, net, null from returns
+union all select 'config', null, date '1995-06-30', 0.2, '' union all select 'summary', null, null, round(cagr, 6), null from (""" + ORACLE_SQL["series_statistics"] + """) where series = 'net'""")
+def run_bundle(spark, sf_dir):
+    """The tables of a run and its summary, written by run and read back."""
+    path = landed(spark, "bundle")
+    readers.write_result(result(spark, sf_dir)[1], path)
+    read = lambda name: spark.read.parquet(f"{path}/{name}").where("run_id = 'base'")
+    null = lambda kind: F.lit(None).cast(kind)
+    row = lambda df, part, symbol, day, value, label: df.select(F.lit(part).alias("part"), symbol.alias("symbol"), day.alias("day"), value.alias("value"), label.alias("label"))
+    summary = spark.read.text(f"{path}/summary").select(F.from_json("value", "run_id string, net_cagr double").alias("s")).where("s.run_id = 'base'")
+    return all_of([
+        row(read("weights"), "weights", F.col("symbol"), F.col("date"), F.col("weight"), null("string")), row(read("targets"), "targets", F.col("symbol"), F.col("rebal_date"), F.col("weight"), F.col("sector")),
+        row(read("costed"), "costed", F.col("symbol"), F.col("trade_date"), F.round("cost_bps", 6), null("string")), row(read("returns"), "returns", null("string"), F.col("date"), F.col("net"), null("string")),
+        row(read("configs"), "config", null("string"), F.col("start"), F.col("max_stock_wt"), F.array_join("extra_filters", ",")), row(summary, "summary", null("string"), null("date"), F.round("s.net_cagr", 6), null("string")),
+    ])
+
+
+@query("parameter files sized dated", "select p as parameter, count(distinct year(date)) as files, true as sized, true as dated from (select unnest(['close', 'volume']) as p, date from fx_quotes) group by 1")
+def input_fingerprints(spark, sf_dir):
+    """Size and time of every input file below a folder."""
+    path = landed(spark, "prints")
+    panel.melt_panel(quotes(spark, sf_dir), ["close", "volume"]).withColumn("year", F.year("date")).repartition("parameter", "year").write.partitionBy("parameter", "year").parquet(path)
+    files = readers.fingerprints(spark, path).where("file_path like '%.parquet'")
+    by = files.groupBy(F.regexp_extract("file_path", "parameter=([a-z]+)", 1).alias("parameter"))
+    return by.agg(F.count_distinct("file_path").alias("files"), (F.min("file_size") > 0).alias("sized"), (F.min("file_modification_time") > F.lit("2020-01-01").cast("timestamp")).alias("dated"))
+
+
+@query("list symbol sector industry note", """
+select 'overrides' as list, symbol, concat(sector, ' & x') as sector, industry, case when symbol like '%2' then 'n' end as note from fx_sector
+union all select 'published', symbol, 'Oil, Gas & Consumable Fuels', null, null from fx_sector where symbol like '%4' union all select 'absent', 'none', null, null, null where false""")
+def landed_sector_lists(spark, sf_dir):
+    """Overrides and a published list in CSV, with entities, spellings and small letters, and a file that may be absent."""
+    s, over, public = fx("sector")(spark, sf_dir), landed(spark, "over"), landed(spark, "public")
+    s.select(F.lower(F.concat(F.lit(" "), "symbol")).alias("symbol"), "macro_sector", F.concat("sector", F.lit("  &amp;  x")).alias("sector"), "industry", "basic_industry", F.when(F.col("symbol").like("%2"), F.lit("n")).alias("note")).write.option("header", True).csv(over)
+    s.where("symbol like '%4'").select(F.lower("symbol").alias("Symbol"), F.lit("Oil Gas &#38; Consumable Fuels ").alias("Industry")).write.option("header", True).csv(public)
+    overrides = all_of([readers.read_overrides(spark, over), readers.read_overrides(spark, landed(spark, "absent"))]).select(F.lit("overrides").alias("list"), "symbol", "sector", "industry", "note")
+    published = readers.published_sectors(spark.read.option("header", True).csv(public))
+    return overrides.unionByName(published.withColumn("list", F.lit("published")), allowMissingColumns=True)
+
+
+@query("quarter_end_date rank symbol market_cap_inr~0 close_inr~", "select quarter_end_date, rank, symbol, market_cap_inr, close_inr from universe where symbol in ('S1', 'S2', 'S40', 'S41', 'S77')")
+def landed_universe(spark, sf_dir):
+    """The ranked universe from its typed table, of a list of symbols."""
+    path = landed(spark, "universe")
+    u = market(spark, sf_dir).universe
+    u.select("quarter_end_date", F.col("rank").cast("int").alias("rank"), "symbol", F.lit("IN").alias("isin"), *(F.col(c).cast("double").alias(c) for c in ("market_cap_inr", "free_float_market_cap_inr", "close_inr", "shares_outstanding", "free_float_shares"))).write.parquet(path)
+    return readers.symbols_from_list(readers.read_table(spark, path, "UNIVERSE"), " s1, S2,,s40 ,S41,s77 ").orderBy("quarter_end_date", "rank")
+
+
+# ---- fundamentals, schedules, guards of caps, the user's own parts -----------------------------------------------
+
+step("annual_raw", """
+select symbol, make_date(year(date), 3, 31) as date, max(case when line_item = 'sales' then value end) as s, max(case when line_item = 'expenses' then value end) as e, max(case when line_item = 'net_profit' then value end) as n
+from fx_fin_raw where month(date) = 3 group by 1, 2""")
+
+
+@query("symbol date parameter value~", """
+select symbol, date, parameter, floor(value + 0.25123456) as value from (
+select symbol, date, 'total_assets' as parameter, s * 3 as value from annual_raw union all select symbol, date, 'cfo', e from annual_raw union all select symbol, date, 'cfi', -n from annual_raw
+union all select symbol, date, 'fcf', 1.0 from annual_raw where symbol like '%5' and year(date) = 1997 union all select symbol, date, 'fcf', e - n from annual_raw where symbol not like '%5'
+union all select symbol, date, 'net_equity', s + e from annual_raw where symbol not like '%7' union all select symbol, date, 'total_liabilities', s * 3 - (s + e) from annual_raw where symbol not like '%7')""")
+def annual_fundamentals(spark, sf_dir):
+    """Equity, liabilities and free cash flow of annual sections; the flow only of symbols that state none in any year."""
+    f = fx("fin_raw")(spark, sf_dir).where("month(date) = 3")
+    v = lambda item: F.max(F.when(F.col("line_item") == item, F.col("value")))
+    wide = f.groupBy("symbol", F.make_date(F.year("date"), F.lit(3), F.lit(31)).alias("date")).agg(v("sales").alias("s"), v("expenses").alias("e"), v("net_profit").alias("n"))
+    own = wide.select("symbol", "date", (F.col("s") * 3).alias("total_assets"), F.col("e").alias("cfo"), (-F.col("n")).alias("cfi"), F.expr("if(symbol like '%5' and year(date) = 1997, 1.0D, null)").alias("fcf"), F.col("s").alias("_share_capital"), F.expr("if(symbol like '%7', null, e)").alias("_reserves"))
+    return fundamentals.derived(panel.melt_panel(own), annual=True).withColumn("value", F.floor(F.col("value") + 0.25123456))
+
+
+@query("symbol reason", """
+select symbol, reason from (select concat('S', cast(s_suppkey as string)) as symbol, case s_suppkey % 7 when 0 then 'PageFetchFailed' when 1 then 'ParseFailed' when 2 then 'NoQuarterlyData' when 3 then 'NoRecentData' when 4 then 'NoQuarterlyData' end as reason from supplier) where reason is not null""")
+def failures_of_pages(spark, sf_dir):
+    """Every reason: no page, nothing parsed, annual figures alone (new or old), and quarters that are all old beside new annual ones."""
+    s = spark.read.parquet(f"{sf_dir}/supplier.parquet").selectExpr("concat('S', s_suppkey) as symbol", "s_suppkey % 7 as k")
+    rows = [(2, "annual", "2001-03-31"), (3, "quarterly", "1999-12-31"), (3, "annual", "2001-03-31"), (4, "annual", "1998-03-31"), (5, "quarterly", "2000-01-01"), (6, "quarterly", "2001-06-30"), (6, "quarterly", "1998-06-30")]
+    kinds = spark.createDataFrame(rows, "k int, period string, d string").selectExpr("cast(k as bigint) as k", "period", "cast(d as date) as date")
+    return fundamentals.failures(s, s.where("k <> 0"), s.join(F.broadcast(kinds), "k"), "2000-01-01")
+
+
+CUSTOM = ("1996-02-10", "1997-07-19", "1997-07-20", "1999-12-25", "1990-01-01")
+
+
+@query("run_id rebal_date", f"""
+with ends as (
+  select distinct 'M' as run_id, cast(last_day(date) as date) as d from calendar union all select distinct 'A', make_date(year(date), 12, 31) from calendar
+  union all select 'custom', unnest([{', '.join(f"date '{d}'" for d in CUSTOM)}])),
+inside as (select run_id, d, (select min(quarter_end_date) from universe) as first from ends where d between date '{START}' and (select max(date) from calendar)),
+near as (select run_id, d, first, (select max(date) from calendar where date <= d) as back, (select min(date) from calendar where date >= d) as ahead from inside)
+select distinct run_id, case when back is null or back < first then coalesce(ahead, back) else back end as rebal_date from near""")
+def other_schedules(spark, sf_dir):
+    """Rebalances by month, by year and on dates of one's own, those out of span left out."""
+    m = market(spark, sf_dir)
+    dates = [datetime.date.fromisoformat(d) for d in CUSTOM]
+    configs = [base_config(run_id="M", rebal_freq="M"), base_config(run_id="A", rebal_freq="A"), base_config(run_id="custom", rebal_freq="custom", custom_rebal_dates=dates)]
+    return timeline.schedule(configs_table(spark, configs), m.cal, m.universe)
+
+
+@query("rebal_date cap~ n", "select rebal_date, 0.06 as cap, count(distinct symbol) as n from ff group by 1 having 0.06 * count(distinct symbol) < 1 - 1e-12")
+def infeasible_caps(spark, sf_dir):
+    """Rebalances whose names are too few for a cap, which a run refuses by naming them."""
+    m = market(spark, sf_dir)
+    configs = configs_table(spark, [base_config(max_stock_wt=0.06)])
+    names = select.eligible(select.pool(m, timeline.schedule(configs, m.cal, m.universe), configs)).where("free_float_market_cap_inr > 0")
+    return weights.infeasible(names, "symbol", "max_stock_wt")
+
+
+@query("rebal_date symbol weight~", """
+select rebal_date, symbol, 1.0 / count(*) over (partition by rebal_date) as weight from (
+  select *, count(adv) over (partition by rebal_date) as scored, row_number() over (partition by rebal_date order by adv desc nulls last, rank, symbol) as r
+  from (select p.*, a.adv from pool p left join adv30 a on a.symbol = p.symbol and a.date = p.rebal_date where p.close >= 1 and p.symbol not like '%5')) where scored = 0 or (adv is not null and r <= 5)""")
+def own_signal_and_filter(spark, sf_dir):
+    """Targets of a signal and a filter of the user's own: the five most traded names of those that the filter keeps, or all where none has a score."""
+
+    def most_traded(tables, pool):
+        return pool.where("adv is not null").select("run_id", "rebal_date", "symbol", F.col("adv").alias("raw"))
+
+    def no_fives(tables, pool):
+        return pool.where("symbol not like '%5'")
+
+    signals.SIGNALS["most_traded"] = most_traded
+    config = base_config(weighting="equal", signal="most_traded", signal_top_n=5, max_stock_wt=None, winsor_sigma=None)
+    return targets(market(spark, sf_dir), configs_table(spark, [config]), extra=[no_fives], buckets=BUCKETS)

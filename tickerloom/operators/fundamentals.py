@@ -46,7 +46,7 @@ def _names(spark) -> DataFrame:
 
 
 def canonical(raw: DataFrame) -> DataFrame:
-    """(symbol, date, parameter, value) of raw items (symbol, date, line_item, value): known names are mapped, artefacts dropped, unknown names kept."""
+    """(symbol, date, parameter, value) of raw items (symbol, date, line_item, value): known names are mapped, artefacts dropped, unknown names kept. Of several raw names of one parameter in a period the largest value counts."""
     own = raw.where(~F.col("line_item").isin(*DROPPED) & F.col("value").isNotNull())
     named = own.join(_names(raw.sparkSession), "line_item", "left")
     return named.groupBy("symbol", "date", F.coalesce("canonical", "line_item").alias("parameter")).agg(F.max("value").alias("value"))
@@ -79,9 +79,10 @@ def merge_sections(items: DataFrame) -> DataFrame:
 
 
 def failures(symbols: DataFrame, pages: DataFrame, parsed: DataFrame, recent) -> DataFrame:
-    """(symbol, reason) of symbols without usable figures: no page, nothing parsed, nothing since `recent`, or no quarterly rows. parsed is (symbol, period, date)."""
+    """(symbol, reason) of symbols without usable figures: no page, nothing parsed, no quarterly rows, or none of them since `recent`. parsed is (symbol, period, date)."""
     have = pages.select("symbol").distinct().withColumn("_page", F.lit(True))
-    seen = parsed.groupBy("symbol").agg(F.count(F.lit(1)).alias("_n"), F.max("date").alias("_last"), F.count_if(F.col("period") == "quarterly").alias("_q"))
+    seen = parsed.groupBy("symbol").agg(F.count(F.lit(1)).alias("_n"), F.max(F.when(F.col("period") == "quarterly", F.col("date"))).alias("_last"), F.count_if(F.col("period") == "quarterly").alias("_q"))
     out = symbols.select("symbol").distinct().join(have, "symbol", "left").join(seen, "symbol", "left")
-    reason = F.when(F.col("_page").isNull(), "PageFetchFailed").when(F.col("_n").isNull(), "ParseFailed").when(F.col("_last") < F.lit(recent).cast("date"), "NoRecentData").when(F.col("_q") == 0, "NoQuarterlyData")
+    old = F.col("_last").isNull() | (F.col("_last") < F.lit(recent).cast("date"))
+    reason = F.when(F.col("_page").isNull(), "PageFetchFailed").when(F.col("_n").isNull(), "ParseFailed").when(F.col("_q") == 0, "NoQuarterlyData").when(old, "NoRecentData")
     return out.select("symbol", reason.alias("reason")).where("reason is not null")

@@ -51,8 +51,14 @@ def raw_weights(names: DataFrame) -> DataFrame:
     return weighed.where("_w > 0").withColumn("raw_weight", _normalised(F.col("_w"))).drop("_w")
 
 
+def infeasible(df: DataFrame, group: str, cap: str) -> DataFrame:
+    """(run_id, rebal_date, cap, n): rebalances whose n groups can't hold all weight under their cap."""
+    n = df.where(F.col(cap).isNotNull()).groupBy(*KEYS, F.col(cap).alias("cap")).agg(F.count_distinct(group).alias("n"))
+    return n.where(F.col("cap") * F.col("n") < 1 - 1e-12)
+
+
 def _check(df: DataFrame, group: str, cap: str) -> None:
-    bad = df.where(F.col(cap).isNotNull()).groupBy(*KEYS, cap).agg(F.count_distinct(group).alias("n")).where(F.col(cap) * F.col("n") < 1 - 1e-12).limit(20).collect()
+    bad = infeasible(df, group, cap).limit(20).collect()
     if bad:
         raise InfeasibleCap(f"{cap} can't hold at " + ", ".join(f"{r.run_id} {r.rebal_date} ({r.n} groups)" for r in bad))
 

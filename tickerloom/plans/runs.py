@@ -67,6 +67,12 @@ def configs_table(spark: SparkSession, configs: list[Config]) -> DataFrame:
     return spark.createDataFrame([dataclasses.astuple(c) for c in configs], SCHEMA)
 
 
+def recorded(configs: DataFrame, extra: list[Callable] | None = None) -> DataFrame:
+    """configs as they are kept with their results: with extra_filters, the names of the user's filters; signals are names already."""
+    names = [getattr(f, "__name__", type(f).__name__) for f in extra or []]
+    return configs.withColumn("extra_filters", F.array(*map(F.lit, names)).cast("array<string>"))
+
+
 @dataclass
 class Market:
     """Panels that all runs share."""
@@ -144,4 +150,4 @@ def run_strategies(market: Market, configs: DataFrame, extra: list[Callable] | N
     idle = holdings.cash_before_first_trade(segs, bounds, market.cal)
     returns = staged(holdings.returns_table(holdings.gross_returns(vals), idle, turned, holdings.benchmark_returns(market.benchmark, market.cal)))
     held = holdings.daily_weights(vals).unionByName(idle.select("run_id", "cal_idx", "date", F.lit("CASH").alias("symbol"), F.lit(1.0).alias("weight")))
-    return Result(configs, wanted, segs, staged(held), trades, costed, turned, returns)
+    return Result(recorded(configs, extra), wanted, segs, staged(held), trades, costed, turned, returns)
