@@ -129,3 +129,47 @@ def test_rolling_median_is_exact(spark):
 def test_subjects_bind_their_sums(spark, subject, expected):
     r = corpact.classify_subject(spark.createDataFrame([(subject,)], "subject string")).first()
     assert (r.action_type, r.ratio_num, r.ratio_denom, r.amount) == expected
+
+
+def lineage_of_scan(plan: str, mark: str) -> list[str]:
+    """The operators above the scan whose line holds mark, from the scan up."""
+    lines = [x for x in plan.splitlines() if x.strip(" :+-")]
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    at = next(i for i, x in enumerate(lines) if mark in x and "Scan" in x)
+    out, d = [], depth(lines[at])
+    for x in reversed(lines[:at]):
+        if depth(x) < d:
+            out.append(x.lstrip(" :+-"))
+            d = depth(x)
+    return out
+
+
+def test_the_panel_isnt_shuffled_for_pools_holdings_and_costs(spark):
+    """Holdings and names move to the panel's buckets; the panel stays where it lies."""
+    from tickerloom.operators import holdings, select, timeline
+    from tickerloom.plans.runs import Config, Market, configs_table
+
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=i) for i in range(120)]
+    quotes = spark.createDataFrame([(d, s, 10.0 + i % 7, 5.0) for i, d in enumerate(days) for s in "ABCD"], "date date, symbol string, close double, volume double")
+    universe = spark.createDataFrame([(dt.date(2020, 1, 1), i + 1, s, 1e6, 1e6, 10.0, 100.0, 60.0) for i, s in enumerate("ABCD")], "quarter_end_date date, rank int, symbol string, market_cap_inr double, free_float_market_cap_inr double, close_inr double, shares_outstanding double, free_float_shares double")
+    sectors = spark.createDataFrame([(s, "x") for s in "ABCD"], "symbol string, sector string")
+    nothing = spark.createDataFrame([], "symbol string, date date, parameter string, value double")
+    m = Market.build(quotes, universe, sectors, nothing, quotes.select("date", "close").distinct())
+    row = m.series.where("symbol = 'B'").first()
+    assert row.closes == [10.0 + i % 7 for i in range(120)] and row.first_idx == 0 and row.last_valid == days[-1] and row.advs[:9] == [None] * 9 and row.advs[9] is not None
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        configs = configs_table(spark, [Config("r", max_stock_wt=None, rebal_freq="M")])
+        pool = select.pool(m, timeline.schedule(configs, m.cal, m.universe), configs)
+        wanted = spark.createDataFrame([("r", days[30], "A", 1.0)], "run_id string, rebal_date date, symbol string, weight double")
+        segs = spark.createDataFrame([("r", days[30], 31, days[31], 60)], "run_id string, rebal_date date, trade_idx int, trade_date date, end_idx int")
+        values = holdings.values(wanted, segs, m)
+        traded = spark.createDataFrame([("r", days[30], days[31], 31, "A", "x", 1.0, 1.0, 0.0, 1.0)], "run_id string, rebal_date date, trade_date date, trade_idx int, symbol string, sector string, raw_weight double, target_weight double, drift_weight double, delta_weight double")
+        for df, mark in ((pool, "closes#"), (values, "closes#"), (holdings.costs(traded, configs, m), "advs#")):
+            above = lineage_of_scan(df._jdf.queryExecution().executedPlan().toString(), mark)
+            join = next(i for i, x in enumerate(above) if "SortMergeJoin" in x)
+            assert not any("Exchange" in x for x in above[:join]), above
+        assert values.count() == 31 and values.where("cal_idx = 30").first().value == 1.0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

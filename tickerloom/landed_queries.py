@@ -491,3 +491,48 @@ def own_signal_and_filter(spark, sf_dir):
     signals.SIGNALS["most_traded"] = most_traded
     config = base_config(weighting="equal", signal="most_traded", signal_top_n=5, max_stock_wt=None, winsor_sigma=None)
     return targets(market(spark, sf_dir), configs_table(spark, [config]), extra=[no_fives], buckets=BUCKETS)
+
+
+# ---- whole rows of operators that other queries count ------------------------------------------------------------
+
+
+@query("symbol line_item date value~", """
+select symbol, line_item, date, floor(value + 0.25123456) as value from fx_fin_raw where line_item in ('sales', 'expenses') or symbol like '%4'
+union all select symbol, line_item, date + 7, floor(value + 0.25123456) from fx_fin_raw where line_item not in ('sales', 'expenses') and symbol not like '%4'""")
+def merged_section_rows(spark, sf_dir):
+    """Line items of two sections, of which the first that has an item gives all its rows."""
+    raw = fx("fin_raw")(spark, sf_dir)
+    first = raw.where("line_item in ('sales', 'expenses') or symbol like '%4'").withColumn("section_order", F.lit(0))
+    both = first.unionByName(raw.withColumns({"section_order": F.lit(1), "date": F.date_add("date", 7)}))
+    return fundamentals.merge_sections(both).withColumn("value", F.floor(F.col("value") + 0.25123456))
+
+
+@query("date symbol close~", "select date, symbol, close from fx_quotes where symbol in (select symbol from universe where rank <= 5)")
+def pruned_rows(spark, sf_dir):
+    return universe.prune(quotes(spark, sf_dir), market(spark, sf_dir).universe.where("rank <= 5"))
+
+
+@query("date symbol close~ gap", """
+select date, symbol, case when symbol like '%3' then close * 2 else close end as close, null as gap from fx_quotes where symbol not like '%8' union all select distinct null::date, symbol, null, 'NoPriceData' from fx_quotes where symbol like '%8'""")
+def primary_fallback_rows(spark, sf_dir):
+    """Rows of the first source, of the second where the first has none, and the names that neither has."""
+    q = quotes(spark, sf_dir)
+    both, gaps = panel.primary_else_fallback(q, q.where("symbol not like '%3' and symbol not like '%8'"), q.where("symbol not like '%8'").withColumn("close", F.col("close") * 2))
+    return both.select("date", "symbol", "close", F.lit(None).cast("string").alias("gap")).unionByName(gaps.select("symbol", F.col("reason").alias("gap")), allowMissingColumns=True)
+
+
+@query("date symbol parameter value~", """
+select date, symbol, parameter, value from (unpivot (select date, symbol, open, close, case when symbol like '%1' then null else volume end as volume from fx_quotes where symbol not like '%6') on open, close, volume into name parameter value value)
+union all select distinct null::date, symbol, 'none', null from fx_quotes where symbol like '%6'""")
+def vendor_rows(spark, sf_dir):
+    """A vendor's frame with times of day as a long panel of days, and the names that it leaves empty."""
+    q = quotes(spark, sf_dir)
+    frame = q.where("symbol not like '%6'").select((F.col("date").cast("timestamp") + F.expr("interval 9 hours")).alias("date"), "symbol", "open", "close", F.expr("if(symbol like '%1', null, volume)").alias("volume"))
+    long, missing = panel.vendor_long(frame, q)
+    return long.unionByName(missing.withColumn("parameter", F.lit("none")), allowMissingColumns=True)
+
+
+@query("date symbol close~ volume~6", ORACLE_SQL["back_adjust"])
+def adjusted_fallback_rows(spark, sf_dir):
+    """Fallback quotes, back-adjusted by the ledger."""
+    return corpact.adjusted_fallback(quotes(spark, sf_dir), fx("actions")(spark, sf_dir))[0]

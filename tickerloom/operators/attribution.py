@@ -27,7 +27,7 @@ def earning_weights(weights: DataFrame, trades: DataFrame, cal: DataFrame) -> Da
     """(run_id, cal_idx, symbol, earning): the weights that earned each day's return: the day before's, on trade days the targets."""
     traded = trades.select("run_id", F.col("trade_idx").alias("cal_idx")).distinct()
     before = weights.select("run_id", (F.col("cal_idx") + 1).alias("cal_idx"), "symbol", F.col("weight").alias("earning")).join(traded, ["run_id", "cal_idx"], "left_anti")
-    last = F.broadcast(weights.groupBy("run_id").agg(F.max("cal_idx").alias("_last")))
+    last = weights.groupBy("run_id").agg(F.max("cal_idx").alias("_last"))
     before = before.join(last, "run_id").where("cal_idx <= _last").drop("_last")
     on_trade = trades.select("run_id", F.col("trade_idx").alias("cal_idx"), "symbol", F.col("target_weight").alias("earning"))
     return before.unionByName(on_trade)

@@ -17,7 +17,7 @@ from tickerloom.schemas import CASH
 def segments(trades: DataFrame, bounds: DataFrame) -> DataFrame:
     """trades (run_id, rebal_date, trade_idx, trade_date) with end_idx, the last day before the run's next trade or its end; bounds (run_id, last_idx)."""
     after = F.lead("trade_idx").over(Window.partitionBy("run_id").orderBy("trade_idx"))
-    return trades.join(F.broadcast(bounds), "run_id").withColumn("end_idx", F.coalesce(after - 1, F.col("last_idx"))).where("trade_idx <= last_idx").drop("last_idx")
+    return trades.join(bounds, "run_id").withColumn("end_idx", F.coalesce(after - 1, F.col("last_idx"))).where("trade_idx <= last_idx").drop("last_idx")
 
 
 def values(targets: DataFrame, segs: DataFrame, tables) -> DataFrame:
@@ -97,7 +97,7 @@ def costs(trades: DataFrame, configs: DataFrame, tables) -> DataFrame:
     for c in ("_a", "_b", "_c"):
         rows = standardised(rows, c, by, 5.0, f"{c}z")
     rows = rows.withColumn("_raw", F.coalesce("_az", F.lit(0.0)) + F.coalesce("_bz", F.lit(0.0)) + F.coalesce("_cz", F.lit(0.0)))
-    rows = standardised(rows, "_raw", by, 5.0, "illiquidity_z").join(F.broadcast(configs.select("run_id", "tcost_base", "tcost_k", "tcost_floor", "tcost_ceiling")), "run_id")
+    rows = standardised(rows, "_raw", by, 5.0, "illiquidity_z").join(configs.select("run_id", "tcost_base", "tcost_k", "tcost_floor", "tcost_ceiling"), "run_id")
     bps = F.col("tcost_base") + F.col("tcost_k") * F.greatest(F.lit(0.0), F.coalesce("illiquidity_z", F.lit(0.0)))
     return rows.withColumn("cost_bps", F.least(F.col("tcost_ceiling"), F.greatest(F.col("tcost_floor"), bps))).select(*trades.columns, "illiquidity_z", "cost_bps")
 

@@ -13,7 +13,7 @@ def pool(tables, rebalances: DataFrame, configs: DataFrame) -> DataFrame:
     """The universe as of each rebalance with the run's configuration, the day's index, filled close, listing age, ADV and group."""
     days = F.broadcast(tables.cal.select(F.col("date").alias("rebal_date"), "cal_idx"))
     at = snapshot_asof(rebalances.select("run_id", "rebal_date"), tables.universe, "rebal_date").join(days, "rebal_date")
-    names = at.join(tables.universe, "quarter_end_date").join(F.broadcast(configs), "run_id")
+    names = at.join(tables.universe, "quarter_end_date").join(configs, "run_id")
     series = tables.series.select("symbol", "closes", "advs", "first_idx")
     out = names.join(series, "symbol", "left").withColumns({"close": F.get("closes", "cal_idx"), "adv": F.get("advs", "cal_idx"), "history_days": F.col("cal_idx") - F.col("first_idx") + 1}).drop("closes", "advs", "first_idx")
     return out.join(tables.sectors.select("symbol", F.col("sector").alias("_sector")), "symbol", "left").withColumn("sector", F.coalesce("_sector", F.lit("UNCLASSIFIED"))).drop("_sector")

@@ -139,7 +139,7 @@ def run_bounds(configs: DataFrame, cal: DataFrame) -> DataFrame:
 def run_strategies(market: Market, configs: DataFrame, extra: list[Callable] | None = None, buckets: dict | None = None) -> Result:
     """Run all configurations together; the panels are read once whatever their number."""
     wanted = staged(targets(market, configs, extra, buckets))
-    at = wanted.select("run_id", "rebal_date").distinct().join(F.broadcast(configs.select("run_id", "rebal_offset")), "run_id")
+    at = wanted.select("run_id", "rebal_date").distinct().join(configs.select("run_id", "rebal_offset"), "run_id")
     trade = timeline.trade_dates(at, market.cal)
     bounds = run_bounds(configs, market.cal)
     segs = staged(holdings.segments(trade, bounds))
