@@ -11,8 +11,9 @@ Model. Every token has a class, and every class its own parameters: the WORDS mo
 each, all others share SHAPES classes by their endings; inside a class a token has its smoothed share of the class. Both
 numbers are parameters. The score of class k after words of classes i, j is bilinear: (R_i*C1 + R_j*C2).Q_k + b_k.
 Parameters are learned in numpy by noise-contrastive estimation from every window of every training document, in ROUNDS
-rounds: tasks go on from the same parameters, each with its own documents' windows of the round, and Spark averages what
-they have learned, weighted by windows. As the score splits into A[i,k] + B[j,k], the normaliser of every context is one
+rounds: shards of documents, dealt by the hash of doc_id, go on from the same parameters, each with its own windows of the
+round, and Spark averages what they have learned, weighted by windows. Shards don't follow the input's partitions, so the
+same rows give the same scores in any layout, but for rounding. As the score splits into A[i,k] + B[j,k], the normaliser of every context is one
 matrix product, exp(A) exp(B)^T, so each token's log-probability is exactly normalised, unknown tokens included.
 
 Results by case: null and empty texts are just their end token; a null doc_id counts as held out, and nothing is
@@ -23,6 +24,7 @@ have classes; a very long text is coded and scored as a whole in one task; other
 
 from __future__ import annotations
 
+import copy
 import math
 import uuid
 from collections.abc import Iterator
@@ -46,7 +48,9 @@ SMOOTHING = 0.1
 WORDS = 1000
 SHAPES = 1000
 DIMENSIONS = 32
-ROUNDS = 4
+ROUNDS = 8
+#: Training tokens of a shard, which goes on by itself within a round.
+SHARD_TOKENS = 4_000_000
 BATCH = 2048
 NOISE = 64
 RATE = 0.1
@@ -280,30 +284,73 @@ class _Coded:
         self.k = self.klass[self.code]
 
 
-def _learn(batches: Iterator[pa.RecordBatch], model: LogBilinear, classes: Classes, turn: int) -> Iterator[pa.RecordBatch]:
-    """Go on from the model with a task's windows of one round: its parameters times the windows, in parts."""
-    rng, windows = np.random.default_rng(turn), 0
+def _dealt(batches: Iterator[pa.RecordBatch], classes: Classes, shards: int) -> Iterator[pa.RecordBatch]:
+    """The classes of training documents by the shard that the hash of a document's id chooses; a batch sends a shard one row."""
     for batch in batches:
         for row in batch.to_pylist():
             own = _Coded(row, classes)
-            one, two = _contexts(own.k, own.lengths)
-            take = np.flatnonzero(np.repeat(own.held == 0, own.lengths))[turn::ROUNDS]
-            model.fit(one[take], two[take], own.k[take], rng)
-            windows += len(take)
+            first = np.cumsum(own.lengths) - own.lengths
+            train = np.flatnonzero(own.held == 0)
+            keys = W.mix(np.frombuffer(row["ids"], np.int64)[train].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
+            shard = (keys % np.uint64(shards)).astype(np.int64)
+            order = np.argsort(shard, kind="stable")
+            heads = np.flatnonzero(np.append(True, np.diff(shard[order]) != 0)) if len(order) else order
+            out = {"shard": [], "keys": [], "lengths": [], "classes": []}
+            for docs in np.split(order, heads[1:]) if len(order) else []:
+                at = train[docs]
+                out["shard"].append(int(shard[docs[0]]))
+                out["keys"].append(keys[docs].tobytes())
+                out["lengths"].append(own.lengths[at].tobytes())
+                k = np.concatenate([own.k[a : a + n] for a, n in zip(first[at].tolist(), own.lengths[at].tolist(), strict=True)])
+                out["classes"].append(W.pack(k.astype(np.uint32)))
+            yield pa.RecordBatch.from_pydict({"shard": pa.array(out["shard"], pa.int32())} | {c: pa.array(out[c], pa.binary()) for c in ("keys", "lengths", "classes")})
+
+
+def _gathered(sent: pa.Table) -> pa.Table:
+    """One shard's documents in the order of their keys, then of their classes, wherever they came from."""
+    docs = []
+    for row in sent.to_pylist():
+        lengths = np.frombuffer(row["lengths"], np.int64)
+        k = W.unpack(row["classes"], np.uint32, int(lengths.sum()))
+        docs += zip(np.frombuffer(row["keys"], np.uint64).tolist(), lengths.tolist(), (x.tobytes() for x in np.split(k, np.cumsum(lengths)[:-1])), strict=True)
+    docs.sort()
+    lengths, k = np.array([n for _, n, _ in docs], np.int64), np.frombuffer(b"".join(x for _, _, x in docs), np.uint32)
+    return pa.table({"shard": sent["shard"][:1], "lengths": pa.array([lengths.tobytes()], pa.binary()), "classes": pa.array([W.pack(k)], pa.binary())})
+
+
+def _learn(batches: Iterator[pa.RecordBatch], model: LogBilinear, turn: int) -> Iterator[pa.RecordBatch]:
+    """From the same model, each shard's windows of one round: the parameters times the windows, summed over a task's shards, in parts."""
+    windows, total = 0, 0.0
+    for batch in batches:
+        for row in batch.to_pylist():
+            lengths = np.frombuffer(row["lengths"], np.int64)
+            k = W.unpack(row["classes"], np.uint32, int(lengths.sum())).astype(np.int32)
+            one, two = _contexts(k, lengths)
+            take = np.arange(turn, len(k), ROUNDS)
+            own = copy.deepcopy(model)
+            own.fit(one[take], two[take], k[take], np.random.default_rng((turn, row["shard"])))
+            windows, total = windows + len(take), total + own.vector().astype(np.float64) * len(take)
     if windows:
-        yield pa.RecordBatch.from_pydict({"part": pa.array(range(PARTS), pa.int32()), "windows": [windows] * PARTS, "sums": [(x.astype(np.float64) * windows).astype(np.float32).tobytes() for x in np.array_split(model.vector(), PARTS)]})
+        yield pa.RecordBatch.from_pydict({"part": pa.array(range(PARTS), pa.int32()), "windows": [windows] * PARTS, "sums": [x.tobytes() for x in np.array_split(total, PARTS)]})
 
 
 def _averaged(sent: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x.as_py(), np.float32).astype(np.float64) for x in sent["sums"])
+    total = sum(np.frombuffer(x.as_py(), np.float64) for x in sent["sums"])
     return pa.table({"part": sent["part"][:1], "values": pa.array([(total / sum(sent["windows"].to_pylist())).astype(np.float32).tobytes()], pa.binary())})
 
 
-def learned(documents: DataFrame, classes: Classes, shares: np.ndarray) -> LogBilinear:
-    """The model after ROUNDS rounds over all training windows of the coded documents; its size doesn't depend on them."""
+def learned(documents: DataFrame, classes: Classes, shares: np.ndarray, tokens: int) -> LogBilinear:
+    """The model after ROUNDS rounds over all training windows of the coded documents; its size doesn't depend on them.
+
+    Documents are dealt into shards of about SHARD_TOKENS by their ids, so how many there are follows from the training tokens,
+    and what a shard learns from its documents: not from the layout of the input.
+    """
+    shards = max(1, math.ceil(tokens / SHARD_TOKENS))
+    dealt = documents.mapInArrow(lambda b: _dealt(b, classes, shards), "shard int, keys binary, lengths binary, classes binary")
+    gathered = saved(dealt.groupBy("shard").applyInArrow(_gathered, "shard int, lengths binary, classes binary"), "shards")
     model = LogBilinear(shares)
     for turn in range(ROUNDS):
-        sent = documents.mapInArrow(lambda b, turn=turn: _learn(b, model, classes, turn), "part int, windows long, sums binary")
+        sent = gathered.mapInArrow(lambda b, turn=turn: _learn(b, model, turn), "part int, windows long, sums binary")
         parts = {r.part: np.frombuffer(r["values"], np.float32) for r in sent.groupBy("part").applyInArrow(_averaged, "part int, values binary").collect()}  # PARTS rows
         if parts:
             model.set_vector(np.concatenate([parts[i] for i in range(PARTS)]))
@@ -352,7 +399,7 @@ def score_texts(docs: DataFrame, words: int = WORDS, kinds: int = SHAPES, sum_ro
         class_distinct[r.top_shape + 1] -= 1
     classes = Classes(np.array([r.top_hash for r in top], np.int64).view(np.uint64), kinds)
     shares = np.append(class_total, [r.top_count for r in top]) + 1.0
-    model = learned(documents.select("distinct", "own", "shapes", "codes", "held", "lengths"), classes, shares / shares.sum())
+    model = learned(documents.select("distinct", "own", "shapes", "codes", "ids", "held", "lengths"), classes, shares / shares.sum(), int(total))
     shared = docs.sparkSession.sparkContext.broadcast((classes, model.tables()))
     both = documents.unionByName(answers.select("batch", "block", "counts"), allowMissingColumns=True)
     return both.groupBy("batch").applyInArrow(lambda t: _scores(t, blocks, *shared.value, total, distinct, class_total, class_distinct), SCORE)
