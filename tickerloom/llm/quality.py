@@ -8,8 +8,8 @@ factor's log-determinant; the score is the logistic of the difference of log-den
 
 Results by case: a null text counts as empty and both are scored; rows of labels without quality or without a
 document aren't learned from; several labels of one document each count; a null doc_id counts as held out;
-with labels of one class or none the score is that class's share, or a half; repeated rows stay; an empty table
-gives an empty result; other columns are passed over.
+with labels of one class or none the score is that class's share, or a half; repeated rows stay; ties don't arise, as a
+row's score takes no other row's rank into account; a very long text is counted whole in one task; an empty table gives an empty result; other columns are passed over.
 """
 
 from __future__ import annotations

@@ -5,6 +5,9 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,29 +46,36 @@ def shared_folder(spark: SparkSession) -> str:
     return _local[context.applicationId]
 
 
-#: Paths of tables written on the way.
-_written: list[str] = []
+#: Paths of the tables that the current call has written on the way, if it has asked for them.
+_on_the_way: ContextVar[list[str] | None] = ContextVar("on_the_way", default=None)
 
 
-def written() -> int:
-    """How many tables this process has written on the way; see release."""
-    return len(_written)
+@contextmanager
+def on_the_way() -> Iterator[list[str]]:
+    """The paths of tables that are written within, by this thread; see release."""
+    token = _on_the_way.set([])
+    try:
+        yield _on_the_way.get()
+    finally:
+        _on_the_way.reset(token)
 
 
-def release(spark: SparkSession, since: int, kept: DataFrame | None = None) -> None:
-    """Delete the tables written since then, when nothing reads them any more, but for those that `kept` reads."""
-    needed = " ".join(kept.inputFiles()) if kept is not None else ""
-    for path in _written[since:]:
+def release(spark: SparkSession, paths: list[str], kept: DataFrame) -> None:
+    """Delete those of the tables that nothing reads any more, which are all but those that `kept` reads, and take them off the list."""
+    needed = " ".join(kept.inputFiles())
+    for path in list(paths):
         if path.rpartition("/")[2] not in needed:
             at = spark._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            paths.remove(path)
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """The table written once to the shared folder and read again: a short lineage that a lost executor can't undo."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    _written.append(path)
+    if (paths := _on_the_way.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
