@@ -1029,12 +1029,17 @@ step("part_events", "select cast(o_orderdate as date) as event_date, concat('P',
 step("part_spans", "select symbol, min(quarter_end_date) as a, max(quarter_end_date) as z from part_universe group by 1")
 
 
-def part_changes(spark, sf_dir):
+def part_tables(spark, sf_dir) -> quality.Tables:
     q = fx("part_quotes")(spark, sf_dir)
     u = q.groupBy("symbol", F.last_day(F.add_months(F.trunc("date", "quarter"), 2)).alias("quarter_end_date")).agg(F.max("close").alias("c"))
     u = u.withColumn("r", F.row_number().over(Window.partitionBy("quarter_end_date").orderBy(F.desc("c"), "symbol"))).where("r <= 100")
     events = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("cast(o_orderdate as date) as event_date", "'merger' as event_type", "concat('P', o_custkey) as predecessor_symbols", "concat('P', o_custkey + 1) as successor_symbols")
-    return quality.unexplained_changes(u, events, part_history(spark, sf_dir))
+    return quality.Tables(universe=u, actions=events, history=part_history(spark, sf_dir))
+
+
+def part_changes(spark, sf_dir):
+    t = part_tables(spark, sf_dir)
+    return quality.unexplained_changes(t.universe, t.actions, t.history)
 
 
 @query("symbol last_quarter", """
@@ -1051,6 +1056,11 @@ def unexplained_entries(spark, sf_dir):
     return part_changes(spark, sf_dir)[1]
 
 
+@query("name status metric~", checks_sql(few("unexplained_exits", ORACLE_SQL["unexplained_exits"], 10), few("unexplained_entries", ORACLE_SQL["unexplained_entries"], None)))
+def change_checks(spark, sf_dir):
+    return all_of(quality.change_checks(part_tables(spark, sf_dir)))
+
+
 CHECK_GROUPS = ("shares_checks", "universe_checks", "price_checks", "financial_checks", "classification_checks", "cross_checks")
 EVERY_CHECK = " union all ".join([f"select name, status from ({ORACLE_SQL[g]})" for g in CHECK_GROUPS] + ["select 'exists', 'PASS' from range(6)"])
 
