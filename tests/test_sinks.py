@@ -77,6 +77,19 @@ def test_chains_of_events_end_in_cycles(spark):
     assert corpact.lineage_paths(events.where("1 = 0")).count() == 0
 
 
+def test_chains_have_no_limit_of_rows(spark):
+    """The recursion of SQL gives up at a number of rows, by default a million."""
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "50")
+    try:
+        pairs = [(f"C{i:03}", f"C{i + 1:03}") for i in range(12)] + [("C000", "D"), ("D", "C002")]
+        events = spark.createDataFrame([(DAY, "rename", a, b) for a, b in pairs], "event_date date, event_type string, predecessor_symbols string, successor_symbols string")
+        found = {(r.symbol, r.direction, r.other): (r.hop, r.path) for r in corpact.lineage_paths(events).collect()}
+    finally:
+        spark.conf.unset("spark.sql.cteRecursionRowLimit")
+    # each pair once, by its least path
+    assert len(found) == 2 * (13 * 12 // 2 + 1 + 11) and found["C000", "out", "C002"] == (2, ["C000", "C001", "C002"]) and found["C012", "in", "D"] == (11, [*(f"C{i:03}" for i in range(12, 1, -1)), "D"])
+
+
 def test_schema_guards_name_what_is_off(spark):
     df = spark.createDataFrame([(1, "x", 2.0)], "date int, symbol string, more double")
     row = quality.schema_check("prices_exists", df, "date DATE, symbol STRING, value DOUBLE", spark).first()
