@@ -162,6 +162,23 @@ def run(spark, small, **changes):
     return m, run_strategies(m, configs_table(spark, [c]))
 
 
+def test_the_panel_has_the_names_of_the_universe(spark, small):
+    """Names that are never in the universe make no row a day; their days are days of the calendar all the same."""
+    _, quotes, universe, sectors, bench, fin = small
+    more = quotes.limit(1).withColumns({"symbol": F.lit("never"), "date": F.date_add(F.lit(day(0)), 1000)})
+    m = Market.build(quotes.unionByName(more), universe, sectors, fin, bench)
+    assert {r.symbol for r in m.series.collect()} == {r.symbol for r in m.dense.select("symbol").distinct().collect()} == {r.symbol for r in universe.select("symbol").distinct().collect()}
+    assert m.cal.count() == quotes.select("date").distinct().count() + 1
+
+
+def test_raw_figures_are_summed_in_one_pass(spark):
+    from tickerloom import fixtures
+
+    df = fixtures.panel(spark, "/root/testdata/sf0.001", "fx_fin_raw")
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert {r.line_item for r in df.select("line_item").distinct().collect()} == set(fixtures.FIN_ITEMS)
+
+
 def test_holdings_equal_the_daily_recurrence(spark, small):
     rows = small[0]
     m, r = run(spark, small, cash_buffer=0.1)

@@ -81,7 +81,8 @@ def pit(spark, sf_dir, q=None, cal=None) -> DataFrame:
 
 
 def financial_panel(spark, sf_dir) -> DataFrame:
-    return fundamentals.derived(fundamentals.canonical(fx("fin_raw")(spark, sf_dir)))
+    # the derived items read the canonical ones again
+    return fundamentals.derived(staged(fundamentals.canonical(fx("fin_raw")(spark, sf_dir))))
 
 
 _built: dict[tuple, object] = {}
@@ -99,9 +100,14 @@ def once(f):
     return run
 
 
+@once
+def staged_quotes(spark, sf_dir) -> DataFrame:
+    return staged(quotes(spark, sf_dir))
+
+
 @once
 def market(spark, sf_dir) -> Market:
-    q = staged(quotes(spark, sf_dir))
+    q = staged_quotes(spark, sf_dir)
     return Market.build(q, pit(spark, sf_dir, q), fx("sector")(spark, sf_dir), financial_panel(spark, sf_dir), fx("tri")(spark, sf_dir))
 
 
