@@ -843,10 +843,10 @@ def few(name: str, bad: str, warn: int | None) -> tuple[str, str, str, str]:
 
 def quality_tables(spark, sf_dir) -> quality.Tables:
     m = market(spark, sf_dir)
-    q = quotes(spark, sf_dir)
+    q = staged_quotes(spark, sf_dir)
     gaps = spark.createDataFrame([("prices", "S1", "x"), ("prices", "S2", "x"), ("financials", "S3", "x")], "script string, symbol string, reason string")
     return quality.Tables(
-        prices=staged(panel.melt_panel(q)), shares=fx("shares")(spark, sf_dir), universe=m.universe, metadata=staged(universe.metadata(m.universe)), financials=m.financials, classification=m.sectors,
+        prices=panel.melt_panel(q), shares=fx("shares")(spark, sf_dir), universe=m.universe, metadata=staged(universe.metadata(m.universe)), financials=m.financials, classification=m.sectors,
         published=m.sectors.select("symbol", F.col("macro_sector").alias("sector")), ledger=fx("actions")(spark, sf_dir), fallback=q.where("symbol <> 'S1'"), gaps=gaps)
 
 
