@@ -67,6 +67,16 @@ def test_reports_of_a_day_replace_each_other(spark, tmp_path):
         assert sinks.read_report(spark, f"{tmp_path}/outliers", sinks.OUTLIERS, DAY).count() == n
 
 
+def test_checks_that_are_written_twice_are_computed_once(spark, monkeypatch):
+    from tickerloom import landed_queries
+
+    written, write = [], sinks.write_checks
+    monkeypatch.setattr(sinks, "write_checks", lambda df, path, day, group: (written.append((day, group, df._jdf.queryExecution().optimizedPlan().toString())), write(df, path, day, group)))
+    landed_queries.checks_sink(spark, "/root/testdata/sf0.01")
+    again = [plan for day, _, plan in written if day == landed_queries.AS_OF][1:]  # the first is of another threshold
+    assert len(again) == 6 and not any("Aggregate" in plan for plan in again)
+
+
 def test_chains_of_events_end_in_cycles(spark):
     pairs = [(f"C{i}", f"C{i + 1}") for i in range(10)] + [("R0", "R1"), ("R1", "R2|X"), ("R2", "R0"), ("self", "self"), (None, "Y"), ("Z", "")]
     events = spark.createDataFrame([(DAY, "rename", a, b) for a, b in pairs + pairs[:3]], "event_date date, event_type string, predecessor_symbols string, successor_symbols string")
