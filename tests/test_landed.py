@@ -72,3 +72,20 @@ def test_cells_of_pages_in_sql(spark):
     pages = spark.createDataFrame([("A", '<section id="quarters"><table><thead><tr><th>x</th></tr></thead><tbody><tr><td>1</td></tr></tbody></table></section>'), ("B", None)], "symbol string, html string")
     got = spark.sql("select symbol, section, head, text from {p}, lateral page_cells(html)", p=pages).collect()
     assert sorted(map(tuple, got)) == [("A", "quarters", False, "1"), ("A", "quarters", True, "x")]
+
+
+def test_names_of_characters_are_a_constant(spark):
+    """A map read from JSON isn't folded by Spark: each reference would read all names again."""
+    df = spark.range(200_000).select(scalars.clean_label(F.concat(F.lit("a &notit; "), F.col("id").cast("string"), F.lit("&eacute;"))).alias("label"))
+    assert "from_json" not in df._jdf.queryExecution().analyzed().toString()
+    assert df.where("label like 'a ¬it; %é'").count() == 200_000
+
+
+def test_landed_pages_are_few_files(spark):
+    """Pages of one-digit symbols are a file each, the others share files, and all are read."""
+    from tickerloom import landed_queries
+
+    pages = spark.range(300).selectExpr("concat('S', id) as symbol", "concat('<p>', id, '</p>') as html")
+    got = landed_queries.landed_pages(spark, pages, "few")
+    assert {(r.symbol, r.html.strip()) for r in got.collect()} == {(f"S{i}", f"<p>{i}</p>") for i in range(300)}
+    assert len(got.inputFiles()) < 60
