@@ -171,6 +171,33 @@ def test_the_panel_has_the_names_of_the_universe(spark, small):
     assert m.cal.count() == quotes.select("date").distinct().count() + 1
 
 
+def test_quotes_of_some_names_or_days_are_made_of_their_rows_alone(spark, tmp_path):
+    """The choice of names or days is made before anything is shuffled or sorted, and both steps of the quotes take one shuffle."""
+    from tickerloom import fixtures
+
+    rows = [(1, 1, 5, 1, 2.0, 100.0, 1), (1, 2, 5, 1, 3.0, 90.0, 1), (1, 2, 6, 1, 4.0, 80.0, 1), (1, 2, 6, 1, 4.0, 80.0, 1), (None, 1, 5, 1, 1.0, 70.0, 1), (3, 1, 5, None, 1.0, None, 1), (4, 1, 5, None, 2.0, 60.0, 1), (4, 1, 5, 2, 2.0, 50.0, 2), (5, 1, 5, 2, None, 40.0, None)]
+    lines = spark.createDataFrame([(*r[:6], None if r[6] is None else dt.datetime(2020, 3, r[6])) for r in rows], "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    df = fixtures.panel(spark, str(tmp_path), "fx_quotes")
+    whole = spark.sql(fixtures.QUOTES, lineitem=lines)
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(key, df.collect())) == sorted(map(key, whole.select(*df.columns).collect())) and df.count() == 4
+    names = F.broadcast(spark.createDataFrame([("S1",)], "symbol string"))
+    days = F.broadcast(spark.createDataFrame([(dt.date(2020, 3, 1),)], "date date"))
+    for chosen, on, n in ((names, "symbol", 1), (days, "date", 2)):
+        some = df.join(chosen, on, "left_semi")
+        plan = some._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("Window") < plan.index("Exchange hashpartitioning") < plan.index("LeftSemi"), plan
+        assert plan.count("Exchange hashpartitioning") == 1 and some.count() == n
+
+
+def test_the_market_has_the_figures_of_its_names(spark, small):
+    _, quotes, universe, sectors, bench, _ = small
+    fin = spark.createDataFrame([(s, day(3), "net_profit", 1.0) for s in ("A", "D", "never")], "symbol string, date date, parameter string, value double")
+    m = Market.build(quotes, universe, sectors, fin, bench)
+    assert {r.symbol for r in m.financials.collect()} == {"A", "D"} and m.financials.columns == fin.columns
+
+
 def test_raw_figures_are_summed_in_one_pass(spark):
     from tickerloom import fixtures
 

@@ -35,7 +35,8 @@ def raw_universe(live: DataFrame, existing: DataFrame, supplement: DataFrame, hi
 def pit_universe(quotes: DataFrame, cal: DataFrame, quarters: DataFrame, shares: DataFrame, top_n: int = 500, tolerance_days: int = 7) -> DataFrame:
     """The top_n symbols by market capitalisation of each quarter: close of the last trading day within the tolerance, shares of the last filing not after the quarter's end."""
     days = calendar_asof(quarters, cal, "quarter_end_date", tolerance_days).select("quarter_end_date", F.col("snap_date").alias("date"))
-    closes = quotes.join(F.broadcast(days), "date").where("close is not null").select("quarter_end_date", "symbol", F.col("close").alias("close_inr"))
+    # Spark takes the semi-join down to the rows that quotes are made of, if they are a view
+    closes = quotes.join(F.broadcast(days.select("date").distinct()), "date", "left_semi").join(F.broadcast(days), "date").where("close is not null").select("quarter_end_date", "symbol", F.col("close").alias("close_inr"))
     filed = shares.select("symbol", F.col("date").alias("filing_date"), F.col("total_shares").cast("double").alias("shares_outstanding"), F.col("free_float_shares").cast("double").alias("free_float_shares"))
     sized = asof_join(closes, filed, ["symbol"], "quarter_end_date", "filing_date", how="inner")
     sized = sized.withColumns({"market_cap_inr": F.col("close_inr") * F.col("shares_outstanding"), "free_float_market_cap_inr": F.col("close_inr") * F.col("free_float_shares")})

@@ -75,7 +75,7 @@ def recorded(configs: DataFrame, extra: list[Callable] | None = None) -> DataFra
 
 @dataclass
 class Market:
-    """Panels that all runs share. dense, adv and series have the names that are ever in the universe, as pools and holdings have no others; cal has the days of all quotes."""
+    """Panels that all runs share. dense, adv, series and financials have the names that are ever in the universe, as pools and holdings have no others; cal has the days of all quotes."""
 
     cal: DataFrame
     dense: DataFrame
@@ -87,12 +87,12 @@ class Market:
     benchmark: DataFrame
 
     @classmethod
-    def build(cls, quotes: DataFrame, universe: DataFrame, sectors: DataFrame, financials: DataFrame, benchmark: DataFrame) -> Market:
-        """The panels staged once: calendar, dense prices with traded value, the same as arrays in buckets of symbols, universe and the rest."""
-        cal, universe = staged(timeline.calendar(quotes)), staged(universe)
-        dense = panel.dense_returns(quotes.join(universe.select("symbol").distinct(), "symbol", "left_semi"), cal)
-        both = staged(panel.with_adv(dense))
-        return cls(cal, both.drop("adv"), both.select("symbol", "date", "cal_idx", "adv"), staged_by(panel.by_symbol(both), "symbol"), universe, staged(sectors), staged(financials), staged(benchmark))
+    def build(cls, quotes: DataFrame, universe: DataFrame, sectors: DataFrame, financials: DataFrame, benchmark: DataFrame, cal: DataFrame | None = None) -> Market:
+        """The panels staged once: calendar (cal, if it is staged already), dense prices with traded value, the same as arrays in buckets of symbols, universe and the rest."""
+        cal, universe = cal if cal is not None else staged(timeline.calendar(quotes)), staged(universe)
+        named = lambda df: df.join(universe.select("symbol").distinct(), "symbol", "left_semi").select(*df.columns)
+        both = staged(panel.with_adv(panel.dense_returns(staged(named(quotes)), cal)))
+        return cls(cal, both.drop("adv"), both.select("symbol", "date", "cal_idx", "adv"), staged_by(panel.by_symbol(both), "symbol"), universe, staged(sectors), staged(named(financials)), staged(benchmark))
 
 
 @dataclass

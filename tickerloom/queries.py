@@ -80,9 +80,12 @@ def pit(spark, sf_dir, q=None, cal=None) -> DataFrame:
     return universe.pit_universe(q, cal, timeline.quarter_ends(cal), fx("shares")(spark, sf_dir), TOP_N)
 
 
-def financial_panel(spark, sf_dir) -> DataFrame:
+def financial_panel(spark, sf_dir, names: DataFrame | None = None) -> DataFrame:
+    """The figures of all symbols, or of those in names."""
+    raw = fixtures.panel(spark, sf_dir, "fx_fin_raw")
+    raw = raw if names is None else raw.join(names.select("symbol").distinct(), "symbol", "left_semi").select(*raw.columns)
     # the derived items read the canonical ones again
-    return fundamentals.derived(staged(fundamentals.canonical(fx("fin_raw")(spark, sf_dir))))
+    return fundamentals.derived(staged(fundamentals.canonical(raw)))
 
 
 _built: dict[tuple, object] = {}
@@ -105,10 +108,18 @@ def staged_quotes(spark, sf_dir) -> DataFrame:
     return staged(quotes(spark, sf_dir))
 
 
+@once
+def staged_financials(spark, sf_dir) -> DataFrame:
+    return staged(financial_panel(spark, sf_dir))
+
+
 @once
 def market(spark, sf_dir) -> Market:
-    q = staged_quotes(spark, sf_dir)
-    return Market.build(q, pit(spark, sf_dir, q), fx("sector")(spark, sf_dir), financial_panel(spark, sf_dir), fx("tri")(spark, sf_dir))
+    # quotes stay a view: only those of the snapshot days and of the universe's names are made
+    q = quotes(spark, sf_dir)
+    cal = staged(timeline.calendar(q))
+    names = staged(pit(spark, sf_dir, q, cal))
+    return Market.build(q, names, fx("sector")(spark, sf_dir), financial_panel(spark, sf_dir, names), fx("tri")(spark, sf_dir), cal)
 
 
 def base_config(**changes) -> Config:
@@ -846,7 +857,7 @@ def quality_tables(spark, sf_dir) -> quality.Tables:
     q = staged_quotes(spark, sf_dir)
     gaps = spark.createDataFrame([("prices", "S1", "x"), ("prices", "S2", "x"), ("financials", "S3", "x")], "script string, symbol string, reason string")
     return quality.Tables(
-        prices=panel.melt_panel(q), shares=fx("shares")(spark, sf_dir), universe=m.universe, metadata=staged(universe.metadata(m.universe)), financials=m.financials, classification=m.sectors,
+        prices=panel.melt_panel(q), shares=fx("shares")(spark, sf_dir), universe=m.universe, metadata=staged(universe.metadata(m.universe)), financials=staged_financials(spark, sf_dir), classification=m.sectors,
         published=m.sectors.select("symbol", F.col("macro_sector").alias("sector")), ledger=fx("actions")(spark, sf_dir), fallback=q.where("symbol <> 'S1'"), gaps=gaps)
 
 
