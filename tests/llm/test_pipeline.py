@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("tickerloom.llm")
@@ -9,7 +10,7 @@ pytest.importorskip("tickerloom.llm")
 from pyspark.sql import functions as F  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from tickerloom.llm import near_copies  # noqa: E402
+from tickerloom.llm import near_copies, simhash_dedup  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -129,3 +130,36 @@ def test_near_copies_match_brute_force(spark, large):
     kept = corpus_pipeline.near_duplicate_stage(spark, docs, "")
     assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted(i for i in least if least[i] == i)
     assert near_copies.near_copies(docs.where("1 = 0")).collect() == []
+
+
+def test_the_first_round_finds_pairs_by_simhash_under_covering_masks(spark):
+    """Without any band, the components are those of pairs that agree under a mask, as all within 3 bits do, and have the similarity."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9)))
+    rows = []
+    for i in range(40):
+        words = [word() for _ in range(rng.randrange(100, 400))]
+        rows.append((10 * i, " ".join(words)))
+        for k in range(1, 6):
+            words[rng.randrange(len(words))] = word()
+            rows.append((10 * i + k, " ".join(words)))
+    rows += [(900, None), (901, ""), (902, "one two"), (903, "One  two"), (904, "again and again " * 50), (905, "again and again " * 60)]
+    _, h, ends = near_copies.shingles(pa.array([t for _, t in rows]))
+    sets = [{int(x) for x in h[a:z]} for a, z in zip(ends[:-1], ends[1:], strict=True)]
+    fps = [sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in s) > len(s)) if s else None for s in sets]
+    got = near_copies.fingerprints(h, ends)
+    assert [None if m else int(x) & (1 << 64) - 1 for x, m in zip(got.data, got.mask, strict=True)] == fps
+    like = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    meet = lambda a, b: any((fps[a] ^ fps[b]) & m == 0 for m in simhash_dedup.masks(3))
+    every = [(a, b) for a in range(len(rows)) for b in range(a) if fps[a] is not None and fps[b] is not None]
+    close = [(a, b) for a, b in every if (fps[a] ^ fps[b]).bit_count() <= 3 and sets[a] != sets[b]]
+    assert len(close) > 20 and all(meet(a, b) for a, b in close)
+    pairs = [(a, b) for a, b in every if meet(a, b) and like(a, b)] + [(1 + rows.index((900, None)), rows.index((900, None)))]
+    least = [i for i, _ in rows]
+    for _ in range(10):
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r.component_id for r in near_copies.near_copies(docs, rounds=near_copies.ROUNDS[:1]).collect()}
+    assert found == {i: c for (i, _), c in zip(rows, least, strict=True)}
+    assert len(set(near_copies.near_copies(docs).toPandas().component_id)) < len(set(found.values()))

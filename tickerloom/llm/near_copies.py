@@ -1,12 +1,14 @@
 """Near copies among documents: five-word shingles with a Jaccard similarity of 0.8 or more.
 
-Candidates come from several fingerprints of a text: BANDS hashes of BAND_HASHES MinHash values each, over all its
-shingles. Two texts of similarity s agree in a band with chance s**BAND_HASHES; at 0.8, the least that counts, they
-agree in none with a chance of 0.00036, and above it with less. One 64-bit SimHash doesn't do here: at 0.8 it
-differs in 10 bits on average. Texts of equal words become one row before any search.
+Candidates come first from SimHash: a text has a 64-bit fingerprint of its distinct shingles, and every pair of texts
+within RADIUS bits meets in a table of simhash_dedup's covering masks. Those are the closest copies; at 0.8, the least
+similarity that counts, fingerprints differ in 10 bits on average, and a covering of that radius has 2,047 tables. So the
+pairs that are further apart are found next, by BANDS hashes of BAND_HASHES MinHash values each: two texts of similarity s
+agree in a band with chance s**BAND_HASHES; at 0.8 they agree in none with a chance of 0.00036, and above it with less.
+Texts of equal words become one row before any search.
 
 Candidates are then compared exactly, by their sets of shingle hashes, and only pairs within the similarity are linked.
-Buckets with the same members are compared once, and those that an earlier round of bands has connected not at all. A bucket's links are found by a search that goes on from each linked
+Buckets with the same members are compared once, and those that an earlier round has connected not at all. A bucket's links are found by a search that goes on from each linked
 text to those not yet reached, so a bucket of copies takes about one pass. A bucket of over LARGE texts is dealt into
 parts, and each pair of parts is compared by itself: no pair is left out, and what meets in one task is bounded.
 
@@ -26,15 +28,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickerloom.llm import simhash_dedup
 from tickerloom.llm import words as W
 from tickerloom.llm.components import components
 from tickerloom.llm.tables import saved
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
+#: Bits in which the fingerprints of a pair of the first round differ at most.
+RADIUS = simhash_dedup.RADIUS
 BANDS, BAND_HASHES = 20, 5
-#: First and last band of each round of comparisons.
-ROUNDS = ((0, 2), (3, BANDS - 1))
+#: First and last band of each round of comparisons; the covering's tables count down from -1.
+ROUNDS = ((1 - (1 << (RADIUS + 1)), -1), (0, 2), (3, BANDS - 1))
 #: Bits of a shingle's hash in the sets that are compared: two given shingles share one with a chance of 2**-40.
 HASH_BITS = 40
 #: Texts of a bucket that are compared in one task are at most about twice as many.
@@ -73,12 +78,29 @@ def bands(h: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return out
 
 
+def fingerprints(h: np.ndarray, ends: np.ndarray) -> np.ma.MaskedArray:
+    """The SimHash of each text's distinct shingles: a bit is one if it is set in over half of them; none for texts without shingles."""
+    counts = np.diff(ends)
+    text = np.repeat(np.arange(len(counts)), counts)
+    order = np.lexsort((h, text))
+    h, text = h[order], text[order]
+    new = np.append(True, (h[1:] != h[:-1]) | (text[1:] != text[:-1]))[: len(h)]
+    h, n = h[new], np.bincount(text[new], minlength=len(counts))
+    some, out = np.flatnonzero(n), np.zeros(len(counts), np.uint64)
+    first = (np.cumsum(n) - n)[some]
+    for bit in range(64 if len(some) else 0):
+        ones = np.add.reduceat(h >> np.uint64(bit) & np.uint64(1), first)
+        out[some] |= (2 * ones > n[some].astype(np.uint64)).astype(np.uint64) << np.uint64(bit)
+    return np.ma.array(out.view(np.int64), mask=n == 0)
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for chunk in W.chunks(batches):
         keys, h, ends = shingles(chunk["text"])
         own = bands(h, ends).view(np.int64)
         offsets = pa.array(np.arange(len(own) + 1) * BANDS, pa.int32())
-        yield pa.RecordBatch.from_pydict({"doc_id": chunk["doc_id"], "key": keys, "bands": pa.ListArray.from_arrays(offsets, pa.array(own.reshape(-1)))})
+        fps = fingerprints(h, ends)
+        yield pa.RecordBatch.from_pydict({"doc_id": chunk["doc_id"], "key": keys, "fp": pa.array(fps.data, pa.int64(), mask=np.ma.getmaskarray(fps)), "bands": pa.ListArray.from_arrays(offsets, pa.array(own.reshape(-1)))})
 
 
 def packed(h: np.ndarray) -> bytes:
@@ -135,19 +157,21 @@ def _links(cell: pa.Table) -> pa.Table:
     return pa.table({"a": keys[pairs[:, 0]], "b": keys[pairs[:, 1]]})
 
 
-def connected(docs: DataFrame, distinct: DataFrame, large: int = LARGE) -> DataFrame:
-    """(node, label): the least key that chains of texts within the similarity reach, of keys in such chains; distinct has key and bands.
+def connected(docs: DataFrame, distinct: DataFrame, large: int = LARGE, rounds: tuple = ROUNDS) -> DataFrame:
+    """(node, label): the least key that chains of texts within the similarity reach, of keys in such chains; distinct has key, fp and bands.
 
-    Bands are compared in rounds. A bucket whose texts an earlier round has connected already has nothing to add and is left
+    The covering's tables and the bands are compared in rounds. A bucket whose texts an earlier round has connected already has nothing to add and is left
     out, so groups of copies, which share most of their bands, are compared in the first round alone.
     """
-    rows = distinct.select("key", F.posexplode("bands").alias("band", "bucket")).where("bucket <> 0")
+    close = distinct.where("fp is not null").select("key", simhash_dedup.covering(F.col("fp"), RADIUS).alias("k"))
+    close = close.select("key", (-1 - F.col("k.t")).alias("band"), F.xxhash64("k.t", "k.v").alias("bucket"))
+    rows = close.unionByName(distinct.select("key", F.posexplode("bands").alias("band", "bucket")).where("bucket <> 0"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     members = saved(rows.join(shared, "bucket").select("key", "band", "bucket"), "members")
     sets = docs.mapInArrow(_sets, "key long, shingles binary").join(members.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
     sets = saved(sets, "shingles")
     found, labels = None, None
-    for first, last in ROUNDS:
+    for first, last in rounds:
         own = members.where(F.col("band").between(first, last))
         if labels is None:
             own = own.withColumn("label", F.col("key"))
@@ -164,12 +188,12 @@ def connected(docs: DataFrame, distinct: DataFrame, large: int = LARGE) -> DataF
     return labels
 
 
-def near_copies(docs: DataFrame, large: int = LARGE) -> DataFrame:
+def near_copies(docs: DataFrame, large: int = LARGE, rounds: tuple = ROUNDS) -> DataFrame:
     """(doc_id, component_id) of each row: the least doc_id that chains of near copies reach."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    own = saved(docs.mapInArrow(_sketch, "doc_id long, key long, bands array<long>"), "sketches")
-    distinct = saved(own.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands")), "distinct")
-    linked = connected(docs.select("text"), distinct, large)
+    own = saved(docs.mapInArrow(_sketch, "doc_id long, key long, fp long, bands array<long>"), "sketches")
+    distinct = saved(own.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "distinct")
+    linked = connected(docs.select("text"), distinct, large, rounds)
     labelled = distinct.join(linked.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("label", "key").alias("label"))
     named = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
     return own.join(labelled.join(named, "label").select("key", "component_id"), "key").select("doc_id", "component_id")

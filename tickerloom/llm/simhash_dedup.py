@@ -69,7 +69,8 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda b: _fingerprints(b, size), "doc_id long, fp long")
 
 
-def _tables(fp: Column, radius: int, seed: int) -> Column:
+def covering(fp: Column, radius: int = RADIUS, seed: int = 1) -> Column:
+    """A row (t, v) for each table of a covering: two fingerprints within the radius are equal in at least one."""
     return F.explode(F.array(*(F.struct(F.lit(i).alias("t"), fp.bitwiseAND(F.lit(m)).alias("v")) for i, m in enumerate(masks(radius, seed)))))
 
 
@@ -97,7 +98,7 @@ def close_links(distinct: DataFrame, radius: int = RADIUS, small: int = SMALL, l
     found, search = [], lambda bucket: _search(bucket, radius)
     rows = distinct.select("fp", F.lit("").alias("path"))
     for level in range(COVERINGS):
-        keyed = rows.select("fp", "path", _tables(F.col("fp"), radius, level + 1).alias("k")).select("fp", F.concat_ws("/", "path", "k.t", "k.v").alias("path"))
+        keyed = rows.select("fp", "path", covering(F.col("fp"), radius, level + 1).alias("k")).select("fp", F.concat_ws("/", "path", "k.t", "k.v").alias("path"))
         sizes = keyed.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         shared = saved(keyed.join(sizes, "path"), "buckets")
         few = shared.where(F.col("n") <= small)
