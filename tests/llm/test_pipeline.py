@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -163,3 +164,40 @@ def test_the_first_round_finds_pairs_by_simhash_under_covering_masks(spark):
     found = {r.doc_id: r.component_id for r in near_copies.near_copies(docs, rounds=near_copies.ROUNDS[:1]).collect()}
     assert found == {i: c for (i, _), c in zip(rows, least, strict=True)}
     assert len(set(near_copies.near_copies(docs).toPandas().component_id)) < len(set(found.values()))
+
+
+def test_a_group_of_near_copies_is_linked_about_once(spark, monkeypatch):
+    """Links that a round adds join what earlier rounds have left apart, so their sum stays near the number of texts, not that times the tables and bands."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(300)]
+    rows = []
+    for i in range(150):
+        own = list(words)
+        own[rng.randrange(300)] = f"other{i}"
+        rows.append((i, " ".join(own)))
+    made, whole = [], near_copies.components
+    monkeypatch.setattr(near_copies, "components", lambda links: made.append(links.distinct().count()) or whole(links))
+    found = near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r.component_id for r in found} == {0} and len(found) == 150
+    assert 149 <= sum(made) < 2 * 150, made
+
+
+def test_links_of_groups_connect_what_pairs_connect():
+    rng = random.Random(6)
+    for _ in range(40):
+        base = [[rng.randrange(1 << 40) for _ in range(30)] for _ in range(4)]
+        sets = [np.unique(np.array([x if rng.random() > 0.04 else rng.randrange(1 << 40) for x in base[rng.randrange(4)]], np.uint64)) for _ in range(25)]
+        groups = np.array([rng.randrange(25) for _ in sets])
+        every = [(a, b) for a in range(25) for b in range(a) if len(np.intersect1d(sets[a], sets[b])) >= 0.8 * len(np.union1d(sets[a], sets[b]))]
+
+        def reached(pairs, groups=groups):
+            least = groups.tolist()
+            for _ in range(25):
+                for a, b in pairs:
+                    for i in [i for i, x in enumerate(least) if x in (least[a], least[b])]:
+                        least[i] = min(least[a], least[b])
+            return least
+
+        got = near_copies.links(sets, groups=groups)
+        assert set(map(frozenset, got)) <= set(map(frozenset, every)) and reached(got) == reached(every)
+        assert len(got) == len(set(groups.tolist())) - len(set(reached(every)))

@@ -9,7 +9,8 @@ Texts of equal words become one row before any search.
 
 Candidates are then compared exactly, by their sets of shingle hashes, and only pairs within the similarity are linked.
 Buckets with the same members are compared once, and those that an earlier round has connected not at all. A bucket's links are found by a search that goes on from each linked
-text to those not yet reached, so a bucket of copies takes about one pass. A bucket of over LARGE texts is dealt into
+text to those not yet reached, so a bucket of copies takes about one pass. What earlier rounds have connected counts as reached
+together, so a bucket's links are fewer than the groups that it holds, and each round joins groups, not texts. A bucket of over LARGE texts is dealt into
 parts, and each pair of parts is compared by itself: no pair is left out, and what meets in one task is bounded.
 
 Results by case: texts of fewer than five words are one shingle; null and empty texts are copies of each other;
@@ -38,8 +39,8 @@ SIMILARITY = 0.8
 #: Bits in which the fingerprints of a pair of the first round differ at most.
 RADIUS = simhash_dedup.RADIUS
 BANDS, BAND_HASHES = 20, 5
-#: First and last band of each round of comparisons; the covering's tables count down from -1.
-ROUNDS = ((1 - (1 << (RADIUS + 1)), -1), (0, 2), (3, BANDS - 1))
+#: First and last band of each round of comparisons, for each search; the covering's tables count down from -1. A search's first rounds are small, as their links join texts, later ones groups.
+ROUNDS = (((-1, -1), (1 - (1 << (RADIUS + 1)), -2)), ((0, 2), (3, BANDS - 1)))
 #: Bits of a shingle's hash in the sets that are compared: two given shingles share one with a chance of 2**-40.
 HASH_BITS = 40
 #: Texts of a bucket that are compared in one task are at most about twice as many.
@@ -120,17 +121,18 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"key": keys, "shingles": pa.array([packed(h[a:z]) for a, z in zip(ends[:-1], ends[1:], strict=True)], pa.binary())})
 
 
-def links(sets: list[np.ndarray], similarity: float = SIMILARITY) -> list[tuple[int, int]]:
-    """Pairs of sets of at least the similarity that connect all sets which chains of such pairs connect."""
+def links(sets: list[np.ndarray], similarity: float = SIMILARITY, groups: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Pairs of sets of at least the similarity that connect all sets which chains of such pairs connect; sets of equal groups are connected without a pair."""
     sizes = np.array([len(s) for s in sets])
     codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
     owner = np.repeat(np.arange(len(sets)), sizes)
     first = np.append(0, np.cumsum(sizes))
     every, marks = codes, np.zeros(int(codes.max()) + 1 if len(codes) else 0, bool)
+    groups = np.arange(len(sets)) if groups is None else groups
     free = np.ones(len(sets), bool)
     left, found, dropped = len(sets), [], 0
     for seed in range(len(sets)):
-        queue = [seed] if free[seed] else []
+        queue = np.flatnonzero(free & (groups == groups[seed])).tolist() if free[seed] else []
         left -= len(queue)
         free[queue] = False
         while queue and left:
@@ -140,11 +142,12 @@ def links(sets: list[np.ndarray], similarity: float = SIMILARITY) -> list[tuple[
             both = np.bincount(owner[marks[every]], minlength=len(sets))
             marks[own] = False
             near = np.flatnonzero(free & (both > 0) & (both >= similarity * (sizes[x] + sizes - both)))
-            found += [(x, int(y)) for y in near]
-            free[near] = False
-            left -= len(near)
-            dropped += len(near) + 1
-            queue += near.tolist()
+            found += [(x, int(y)) for y in near[np.unique(groups[near], return_index=True)[1]]]
+            reached = np.flatnonzero(free & np.isin(groups, groups[near])) if len(near) else near
+            free[reached] = False
+            left -= len(reached)
+            dropped += len(reached) + 1
+            queue += reached.tolist()
             if 2 * dropped > left:  # look no more at what is reached
                 stays = free[owner]
                 every, owner, dropped = every[stays], owner[stays], 0
@@ -152,9 +155,16 @@ def links(sets: list[np.ndarray], similarity: float = SIMILARITY) -> list[tuple[
 
 
 def _links(cell: pa.Table) -> pa.Table:
-    keys = cell["key"].to_numpy()
-    pairs = np.array(links([unpacked(x.as_py()) for x in cell["shingles"]]), np.int64).reshape(-1, 2)
-    return pa.table({"a": keys[pairs[:, 0]], "b": keys[pairs[:, 1]]})
+    labels = cell["label"].to_numpy()
+    pairs = np.array(links([unpacked(x.as_py()) for x in cell["shingles"]], groups=labels), np.int64).reshape(-1, 2)
+    return pa.table({"a": labels[pairs[:, 0]], "b": labels[pairs[:, 1]]})
+
+
+def relabelled(labels: DataFrame, moved: DataFrame) -> DataFrame:
+    """labels (node, label) after moved (node, label), whose nodes are labels or new nodes: the least node of each group that has become one."""
+    to = moved.select(F.col("node").alias("label"), F.col("label").alias("to"))
+    known = labels.join(to, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    return known.unionByName(moved.join(labels, "node", "left_anti").select("node", "label"))
 
 
 def connected(docs: DataFrame, distinct: DataFrame, large: int = LARGE, rounds: tuple = ROUNDS) -> DataFrame:
@@ -170,8 +180,8 @@ def connected(docs: DataFrame, distinct: DataFrame, large: int = LARGE, rounds:
     members = saved(rows.join(shared, "bucket").select("key", "band", "bucket"), "members")
     sets = docs.mapInArrow(_sets, "key long, shingles binary").join(members.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
     sets = saved(sets, "shingles")
-    found, labels = None, None
-    for first, last in rounds:
+    labels = None
+    for first, last in (r for search in rounds for r in search):
         own = members.where(F.col("band").between(first, last))
         if labels is None:
             own = own.withColumn("label", F.col("key"))
@@ -181,10 +191,10 @@ def connected(docs: DataFrame, distinct: DataFrame, large: int = LARGE, rounds:
         once = saved(sizes.groupBy("n", "members").agg(F.min("bucket").alias("bucket")).select("bucket", F.ceil(F.col("n") / large).cast("int").alias("parts")), "buckets")
         part = own.join(once, "bucket").withColumn("part", F.pmod(F.xxhash64("key", F.lit(3)), F.col("parts")).cast("int"))
         other = part.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
-        cells = other.select("key", "bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+        cells = other.select("key", "label", "bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
         pairs = saved(cells.join(sets, "key").groupBy("bucket", "i", "j").applyInArrow(_links, "a long, b long"), "pairs")
-        found = pairs if found is None else found.unionByName(pairs)
-        labels = components(found)
+        moved = components(pairs)
+        labels = moved if labels is None else saved(relabelled(labels, moved), "labels")
     return labels
 
 
