@@ -18,6 +18,7 @@ pytest.importorskip("tickerloom.llm")
 
 from tickerloom.llm import decontaminate, language_id, lm_score, media, packing, quality, relative_lz, secret_scan, simhash_dedup, substring_dedup, token_counts  # noqa: E402
 from tickerloom.llm import words as W  # noqa: E402
+from tickerloom.llm import components as components_module  # noqa: E402
 from tickerloom.llm.components import components  # noqa: E402
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -264,6 +265,25 @@ def test_components_of_long_chains(spark):
     assert all(got[i] == (0 if i <= 120 else 121) for i in range(201)) and got[500] == 400
 
 
+def test_components_join_the_links_of_a_task_before_any_are_shuffled(spark, monkeypatch):
+    """A chain within a task takes one round, and chunks of a random graph give the components of the whole."""
+    written = []
+    kept = components_module.saved
+    monkeypatch.setattr(components_module, "saved", lambda df, name: written.append(name) or kept(df, name))
+    chain = spark.range(3000).coalesce(1).selectExpr("id as a", "id + 1 as b")
+    assert components(chain).where("label <> 0").isEmpty()
+    assert written == ["links", "labels", "labels"]
+    rng = random.Random(5)
+    links = [(rng.randrange(-300, 300), rng.randrange(-300, 300)) for _ in range(260)]
+    parent = {x: x for pair in links for x in pair}
+    for _ in parent:
+        for a, b in links:
+            parent[a] = parent[b] = min(parent[a], parent[b])
+    for parts in (1, 7):
+        got = components(spark.createDataFrame(links, "a long, b long").repartition(parts)).collect()
+        assert sorted(map(tuple, got)) == sorted(parent.items())
+
+
 @pytest.mark.parametrize("block_bytes", [1 << 20, 60])
 def test_decontaminate(spark, docs, block_bytes):
     rows = plain(docs)
@@ -542,6 +562,24 @@ def test_output_codes_decode_like_plain_loops():
         assert abs(second - first - language_id.MARGIN) < 1e-4 or close[i] == (second - first < language_id.MARGIN)
 
 
+def test_language_id_holds_its_sample_once_in_the_driver(spark):
+    """Beside the features themselves, learning allocates less than a third of them."""
+    import tracemalloc
+
+    rng = random.Random(8)
+    n = 800
+    rows = [(i, "".join(rng.choice(("qrstuvwxyz ", "ijklmnop ")[i % 2]) for _ in range(60)), ("xx", "yy")[i % 2], i << 20) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, h long").select("text", "lang", "h").cache()
+    docs.count()
+    tracemalloc.start()
+    try:
+        model = language_id.fit(docs)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert model.names == ["xx", "yy"] and peak < 4 / 3 * n * (language_id.BUCKETS + 1) * 4
+
+
 def test_codewords_are_apart():
     for n in (2, 3, 5, 9, 40):
         code = language_id.codewords(n)

@@ -19,6 +19,7 @@ other columns are passed over.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -91,14 +92,15 @@ def codewords(n: int, seed: int = 3) -> np.ndarray:
 
 
 class OutputCodes:
-    """Binary classifiers of the bits of codewords and their weighted decoding."""
+    """Binary classifiers of the bits of codewords and their weighted decoding; rows of x are features, which a column of ones may follow."""
 
     def __init__(self, x: np.ndarray, labels: list[str]):
         self.names = sorted(set(labels))
         self.code = codewords(len(self.names))
         y = np.array([self.names.index(k) for k in labels])
         target = (self.code[y] > 0).astype(np.float32)
-        x = np.hstack([x, np.ones((len(x), 1), np.float32)])
+        if x.shape[1] == BUCKETS:
+            x = np.hstack([x, np.ones((len(x), 1), np.float32)])
         w = speed = np.zeros((x.shape[1], target.shape[1]), np.float32)
         share = 1 / np.bincount(y)[y] / len(self.names)  # languages count alike
         for step in range(STEPS):
@@ -120,7 +122,7 @@ class OutputCodes:
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for chunk in W.chunks(batches):
         x = features(chunk["text"]).astype(np.float16)
-        yield pa.RecordBatch.from_pydict({"lang": chunk["lang"], "x": pa.array([r.tobytes() for r in x], pa.binary())})
+        yield pa.RecordBatch.from_pydict({"lang": chunk["lang"], "x": pa.array([zlib.compress(r.tobytes(), 1) for r in x], pa.binary())})  # most features are zero
 
 
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> OutputCodes | None:
@@ -134,8 +136,11 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> OutputCodes | None:
     sample = docs.join(counts, "lang").where(share < each / F.col("n")).select("text", "lang").mapInArrow(_sampled, "lang string, x binary").toArrow()
     if not sample.num_rows:
         return None
-    x = np.stack([np.frombuffer(r.as_py(), np.float16) for r in sample["x"]]).astype(np.float32)
-    return OutputCodes(x, sample["lang"].to_pylist())
+    labels = sample["lang"].to_pylist()
+    x = np.ones((len(labels), BUCKETS + 1), np.float32)  # the one copy in the driver's memory
+    for row, packed in zip(x, sample["x"], strict=True):
+        row[:-1] = np.frombuffer(zlib.decompress(packed.as_py()), np.float16)
+    return OutputCodes(x, labels)
 
 
 def _answers(texts: pa.Array, model: OutputCodes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
